@@ -414,9 +414,10 @@ def number_states(t: Tables) -> DataFrame:
 def temperature_fact(t: Tables) -> DataFrame:
     """Yearly temperature figures of each state."""
     observed = temperature.observations(raw_temperatures(t))
-    fact = temperature.temperature_fact(
-        temperature.map_states(observed, number_states(t))
+    lookup = land(
+        temperature.state_lookup(number_states(t)), staging_path(t.spark, "lookup")
     )
+    fact = temperature.temperature_fact(temperature.map_states(observed, lookup))
     return fact.withColumn("avg_temp", F.round("avg_temp", 4))
 
 

@@ -13,6 +13,7 @@ from quaymart.operators import (
     merge_lookups,
     one_value_per_key,
 )
+from quaymart.sources import land, staging_path
 
 PAIRS_SQL = """pairs AS (
         SELECT CAST(split_part(c_name, '#', 2) AS BIGINT) AS number, c_nationkey AS nation
@@ -78,7 +79,9 @@ def ambiguous_numbers(t: Tables) -> DataFrame:
 def mapped_inner(t: Tables) -> DataFrame:
     """Orders mapped through the merged lookup; unmapped ones drop."""
     orders = t.orders.select("o_orderkey", F.col("o_custkey").alias("number"))
-    lookup = one_value_per_key(pairs(t), "number", "nation")
+    lookup = land(
+        one_value_per_key(pairs(t), "number", "nation"), staging_path(t.spark, "lookup")
+    )
     return map_through(orders, lookup, "number").select(
         "o_orderkey", "number", "nation"
     )

@@ -36,6 +36,7 @@ from quaymart.operators.profiling import (
 )
 from quaymart.operators.rollup import (
     counts_by_category,
+    distinct_counts,
     header_detail_rollup,
     join_measures,
     rollup,
@@ -53,6 +54,7 @@ __all__ = [
     "column_info",
     "counts_by_category",
     "coverage_totals",
+    "distinct_counts",
     "distinct_profile",
     "enforce",
     "header_detail_rollup",

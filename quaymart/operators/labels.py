@@ -36,15 +36,14 @@ def broadcast_if_small(
 ) -> DataFrame:
     """Mark a table for broadcast after measuring that it is within both bounds.
 
-    One job counts at most ``max_rows + 1`` rows.  A larger table is returned
-    unmarked: the planner then joins by shuffle, and splits skewed keys.
+    The measure is one aggregate over the table, which should be cheap to read:
+    store a derived table first.  A larger table is returned unmarked: the planner
+    then joins by shuffle, and splits skewed keys.
     """
-    size = (
-        df.select(_text_bytes(df).cast("long").alias("bytes"))
-        .limit(max_rows + 1)
-        .agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"))
-        .first()
-    )
+    size = df.agg(
+        F.count("*").alias("rows"),
+        F.sum(_text_bytes(df).cast("long")).alias("bytes"),
+    ).first()
     small = size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
     return F.broadcast(df) if small else df
 

@@ -59,6 +59,7 @@ def keep_first(
 def map_through(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Add the lookup's columns; rows whose key it lacks are dropped.
 
-    ``lookup`` must have one row per key.  It is broadcast when measured small.
+    ``lookup`` must have one row per key.  It is broadcast when measured small,
+    so it is read twice: pass a stored table rather than a long plan.
     """
     return df.join(broadcast_if_small(lookup), key, "inner")

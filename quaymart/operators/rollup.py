@@ -50,6 +50,20 @@ def sums_by_category(
     }
 
 
+def distinct_counts(
+    df: DataFrame, keys: Sequence[str], column: str, name: str
+) -> DataFrame:
+    """Exact number of distinct non-null values per group.
+
+    To be joined to a :func:`rollup` that has a quantile.  In one aggregate Spark
+    would group by the distinct column too and keep a quantile sketch for each of
+    its values; apart, the sketches stay one per group and task, and the
+    distinct values are de-duplicated in each task before the shuffle.
+    """
+    pairs = df.select(*keys, column).distinct()
+    return pairs.groupBy(*keys).agg(F.count(column).alias(name))
+
+
 def header_detail_rollup(
     df: DataFrame,
     header: Sequence[str],

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quaymart.functions import (
     bucketize,
@@ -51,14 +52,22 @@ RELEVANT_PORT = "RELEVANT"
 INVALID_CONTINENT = "INVALID"
 
 
+def _code_table(
+    spark: SparkSession, codes: list[tuple[str, str]], schema: StructType
+) -> DataFrame:
+    """A few fixed rows as a literal of the plan, which needs no scan."""
+    pairs = [F.struct(*map(F.lit, pair)) for pair in codes]
+    return spark.range(1).select(F.inline(F.array(*pairs))).toDF(*schema.fieldNames())
+
+
 def mode_labels(spark: SparkSession) -> DataFrame:
     """The travel modes as a lookup, for callers without a file of them."""
-    return spark.createDataFrame(MODES, MODE_LABELS)
+    return _code_table(spark, MODES, MODE_LABELS)
 
 
 def visa_labels(spark: SparkSession) -> DataFrame:
     """The visa types as a lookup, for callers without a file of them."""
-    return spark.createDataFrame(VISAS, VISA_LABELS)
+    return _code_table(spark, VISAS, VISA_LABELS)
 
 
 def label_arrivals(

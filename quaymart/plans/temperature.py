@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from quaymart.operators import (
     clean_lookup,
+    distinct_counts,
+    join_measures,
     map_through,
     merge_lookups,
     one_value_per_key,
@@ -34,31 +36,40 @@ def city_states(demographic_cities: DataFrame, port_cities: DataFrame) -> DataFr
     )
 
 
-def map_states(observed: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Add the state to each observation; cities in no lookup are dropped.
+def state_lookup(pairs: DataFrame) -> DataFrame:
+    """One state per city.
 
     A city name in several states goes to the first state in alphabetical order;
     :func:`quaymart.operators.ambiguous_keys` lists these.
     """
-    return map_through(observed, one_value_per_key(pairs, "City", "state_id"), "City")
+    return one_value_per_key(pairs, "City", "state_id")
+
+
+def map_states(observed: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Add the state to each observation; cities the lookup lacks are dropped."""
+    return map_through(observed, lookup, "City")
 
 
 def temperature_fact(mapped: DataFrame) -> DataFrame:
     """Yearly temperature figures of each state.
 
     The median is an observed temperature, exact for groups of up to about 5,000
-    observations and within 1/10,000 of the group in rank beyond that.
+    observations and within 1/10,000 of the group in rank beyond that.  The
+    mapped observations are read twice and should be cheap to read.
     """
+    keys = FACT_TEMPERATURE.natural_key
     temperature = F.col("AverageTemperature")
-    return rollup(
-        mapped.select("state_id", F.year("dt").alias("year"), "City", temperature),
-        FACT_TEMPERATURE.natural_key,
+    yearly = mapped.withColumn("year", F.year("dt"))
+    figures = rollup(
+        yearly,
+        keys,
         {
             "observation_count": F.count(temperature),
-            "num_of_cities": F.count_distinct("City"),
             "min_temp": F.min(temperature),
             "max_temp": F.max(temperature),
             "avg_temp": F.avg(temperature),
             "median_temp": F.percentile_approx(temperature, 0.5, 10_000),
         },
     )
+    cities = distinct_counts(yearly, keys, "City", "num_of_cities")
+    return join_measures(figures, [cities], keys)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from quaymart import schemas as S
-from quaymart.operators import enforce, map_through, one_value_per_key, table_checks
+from quaymart.operators import enforce, table_checks
 from quaymart.plans import arrivals, demographics, ports, temperature
 from quaymart.sources import (
     land,
@@ -114,17 +114,26 @@ def build_demographics(spark: SparkSession, path: str, paths: Paths) -> None:
 
 
 def build_temperature(spark: SparkSession, path: str, paths: Paths) -> None:
-    """Publish the temperature fact; needs the city lookups of two other jobs."""
+    """Publish the temperature fact; needs the city lookups of two other jobs.
+
+    The mapped observations are a small part of the raw text and are stored, so
+    that the text is parsed once.
+    """
     raw = read_csv(spark, path, schema=S.TEMPERATURES, date_format="yyyy-MM-dd")
     pairs = temperature.city_states(
         read_parquet(spark, paths.demographic_cities),
         read_parquet(spark, paths.port_cities),
     )
     lookup = land(
-        one_value_per_key(pairs, "City", "state_id"),
+        temperature.state_lookup(pairs),
         f"{paths.staging}/state_city_lookup",
     )
-    mapped = map_through(temperature.observations(raw), lookup, "City")
+    mapped = land(
+        temperature.map_states(temperature.observations(raw), lookup).select(
+            "state_id", "City", "dt", "AverageTemperature"
+        ),
+        f"{paths.staging}/temperatures",
+    )
     _publish(temperature.temperature_fact(mapped), S.FACT_TEMPERATURE, paths)
 
 
