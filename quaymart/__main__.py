@@ -1,5 +1,6 @@
-"""Run one job: ``spark-submit -m quaymart JOB --staging DIR --output DIR ...``
+"""Run one job: ``python -m quaymart JOB --staging DIR --output DIR ...``
 
+On a cluster, submit this file with the package in ``--py-files``.
 The jobs ``ports`` and ``demographics`` come before ``temperature``.
 """
 
