@@ -34,7 +34,7 @@ from quaymart.sources import land, staging_path
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINES = [
-    "share_of_total_report",
+    "share_of_total",
     "labelled_orders",
     "checked_labels",
     "arrivals_clean",
@@ -45,20 +45,20 @@ HEADLINES = [
     "demographics_fact",
     "temperature_fact",
     "yearly_summary",
-    "header_and_detail",
+    "header_detail_rollup",
     "pivot_counts",
     "pivot_sums",
     "merged_lookup",
     "mapped_inner",
     "first_order_per_customer",
     "coverage_report",
-    "distinct_counts",
-    "value_frequencies",
-    "null_counts",
+    "distinct_profile",
+    "value_counts",
+    "null_profile",
     "unstable_lines",
-    "key_checks",
+    "unique_check",
     "conformed_orders",
-    "monthly_batches",
+    "multi_path_batch",
     "published_traveller_share",
 ]
 

@@ -28,7 +28,10 @@ def _null_row(column: str) -> str:
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 
-@query(" UNION ALL ".join(map(_null_row, ["lang", "source", "quality", "toxic"])))
+@query(
+    " UNION ALL ".join(map(_null_row, ["lang", "source", "quality", "toxic"])),
+    "null_profile",
+)
 def null_counts(t: Tables) -> DataFrame:
     """Nulls of every column at once, where a left join leaves gaps."""
     labelled = with_labels(
@@ -54,7 +57,8 @@ def null_counts(t: Tables) -> DataFrame:
         string_agg(value || ':' || n, ',' ORDER BY value)
             FILTER (WHERE place <= 5) AS sample
     FROM ranked GROUP BY column_name
-    """
+    """,
+    "distinct_profile",
 )
 def distinct_counts(t: Tables) -> DataFrame:
     """Distinct values of several columns and the first few of them."""
@@ -78,7 +82,8 @@ def distinct_counts(t: Tables) -> DataFrame:
     UNION ALL
     SELECT 'user_id', CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY user_id
     ORDER BY row_count DESC, column_name, value
-    """
+    """,
+    "value_counts",
 )
 def value_frequencies(t: Tables) -> DataFrame:
     """Frequencies of all values of two columns, most frequent first."""
@@ -184,7 +189,8 @@ def common_keys(t: Tables) -> DataFrame:
         CAST(max(o_orderdate) AS DATE) AS max_date,
         min(o_totalprice) AS min_price, max(o_totalprice) AS max_price
     FROM orders
-    """
+    """,
+    "span",
 )
 def time_span(t: Tables) -> DataFrame:
     """First and last value of several columns."""

@@ -15,18 +15,33 @@ KEYS = {
 }
 
 
-def _check_row(table: str) -> str:
+def report(t: Tables) -> DataFrame:
+    return table_checks({name: getattr(t, name) for name in KEYS}, KEYS)
+
+
+def _count_row(table: str) -> str:
+    return f"""SELECT '{table}' AS table_name, count(*) AS row_count,
+        count(*) > 0 AS non_empty FROM {table}"""
+
+
+@query(" UNION ALL ".join(map(_count_row, KEYS)))
+def non_empty_check(t: Tables) -> DataFrame:
+    """Tables with their rows; the unused distinct count is not computed."""
+    return report(t).select("table_name", "row_count", "non_empty")
+
+
+def _unique_row(table: str) -> str:
     key = " || '-' || ".join(KEYS[table])
     return f"""SELECT '{table}' AS table_name, count(*) AS row_count,
-        count(DISTINCT {key}) AS distinct_keys, count(*) > 0 AS non_empty,
+        count(DISTINCT {key}) AS distinct_keys,
         count(*) = count(DISTINCT {key}) AS unique_key
     FROM {table}"""
 
 
-@query(" UNION ALL ".join(map(_check_row, KEYS)))
-def key_checks(t: Tables) -> DataFrame:
-    """Tables with rows and a unique key; one of them has repeated keys."""
-    return table_checks({name: getattr(t, name) for name in KEYS}, KEYS)
+@query(" UNION ALL ".join(map(_unique_row, KEYS)))
+def unique_check(t: Tables) -> DataFrame:
+    """Tables with a unique key; one of them has repeated keys."""
+    return report(t).select("table_name", "row_count", "distinct_keys", "unique_key")
 
 
 @query(
@@ -34,7 +49,8 @@ def key_checks(t: Tables) -> DataFrame:
     SELECT CAST((SELECT count(*) FROM orders) AS BIGINT) AS fact_total,
         CAST((SELECT count(*) FROM orders) AS BIGINT) AS source_rows,
         true AS reconciled
-    """
+    """,
+    "reconcile_check",
 )
 def reconciled_total(t: Tables) -> DataFrame:
     """A fact's total against the rows it was built from."""

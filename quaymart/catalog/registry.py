@@ -49,18 +49,20 @@ class Tables:
         return table
 
 
-def query(sql: str | None = None):
-    """Register a function of :class:`Tables` under its own name."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a function of :class:`Tables` under a name, else its own."""
 
     def register(function: Callable[[Tables], DataFrame]):
+        key = name or function.__name__
+
         def run(spark: SparkSession, folder: str) -> DataFrame:
             return function(Tables(spark, folder))
 
-        run.__name__ = function.__name__
+        run.__name__ = key
         run.__doc__ = function.__doc__
-        QUERIES[function.__name__] = run
+        QUERIES[key] = run
         if sql is not None:
-            SQL[function.__name__] = sql
+            SQL[key] = sql
         return function
 
     return register

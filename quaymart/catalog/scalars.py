@@ -103,14 +103,21 @@ def profile_dim(t: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT n_nationkey, split_part(n_name, '_', 2) AS token
-    FROM nation WHERE length(split_part(n_name, '_', 2)) = 2
+    SELECT split_part(n_name, '_', 2) AS token, count(*) AS num_suppliers
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    WHERE length(split_part(n_name, '_', 2)) = 2
+    GROUP BY 1
     """
 )
-def short_tokens(t: Tables) -> DataFrame:
-    """Last part of a code where it has two letters."""
+def region_token_ports(t: Tables) -> DataFrame:
+    """Rows per last part of a code, where that part is two characters long."""
     token = last_token(F.col("n_name"), "_").alias("token")
-    return t.nation.select("n_nationkey", token).where(F.length("token") == 2)
+    tokens = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), token)
+    return (
+        t.supplier.join(tokens.where(F.length("token") == 2), "s_nationkey")
+        .groupBy("token")
+        .agg(F.count("*").alias("num_suppliers"))
+    )
 
 
 @query(

@@ -130,7 +130,8 @@ def inferred_csv(t: Tables) -> DataFrame:
         CAST(year(o_orderdate) AS INTEGER) AS year
     FROM orders
     WHERE o_orderdate >= '1996-11-01' AND o_orderdate < '1997-03-01'
-    """
+    """,
+    "multi_path_batch",
 )
 def monthly_batches(t: Tables) -> DataFrame:
     """Orders stored by month; a range of months is read as one batch."""

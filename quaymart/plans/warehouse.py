@@ -59,12 +59,13 @@ def prepare_arrivals(
     paths: Paths,
     file_format: str = "parquet",
     refresh: str = "all",
+    rebalance: bool = False,
 ) -> DataFrame:
     """Label and clean all monthly files in one scan; store them by month and year.
 
     ``labels`` names the code files ``mode``, ``port``, ``visa`` and
-    ``citizenship``.  Files come by month, so each task writes few directories
-    and the rows are not shuffled.
+    ``citizenship``.  Files by month let each task write few directories, so the
+    rows are not shuffled; ask for a ``rebalance`` where files mix months.
     """
     raw = read_batches(spark, batches, S.ARRIVALS.fieldNames(), file_format)
 
@@ -83,7 +84,7 @@ def prepare_arrivals(
         paths.arrivals,
         partition_by=["month", "year"],
         refresh=refresh,
-        rebalance=False,
+        rebalance=rebalance,
     )
     return read_parquet(spark, paths.arrivals)
 

@@ -113,7 +113,7 @@ def load_table(
     """A published table with its own columns and types."""
     reader = spark.read.format(file_format).schema(table.schema)
     if file_format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     return reader.load(f"{root}/{table.name}").select(*table.columns)
 
 

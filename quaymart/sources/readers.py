@@ -22,13 +22,14 @@ def read_csv(
 
     Pass a schema wherever one is known: inference reads the whole input once
     more and may change type with the data, so it is for exploration.  With
-    neither, every column is text.
+    neither, every column is text.  A header that does not name the schema's
+    columns in order is an error.
     """
     reader = spark.read.option("header", True).option("sep", sep)
     if date_format:
         reader = reader.option("dateFormat", date_format)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", False)
     elif infer:
         reader = reader.option("inferSchema", True)
     return reader.csv(path)

@@ -60,6 +60,15 @@ def test_read_csv_modes(spark, tmp_path):
     ]
 
 
+def test_a_header_in_another_order_is_refused(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("label,code\nAir,1\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        read_lookup(spark, str(path), ["code", "label"]).collect()
+    good = read_lookup(spark, str(path), ["label", "code"])
+    assert rows(good, "code") == [("1",)] and good.count() == 1
+
+
 def test_monthly_paths():
     got = monthly_paths("Raw/2016/i94_%b%y_sub", dt.date(2015, 11, 1), dt.date(2016, 2, 9))
     assert got == [
