@@ -124,7 +124,7 @@ def region_token_ports(t: Tables) -> DataFrame:
     """
     SELECT event_id,
         CAST(ts AS DATE) AS event_date,
-        date_trunc('second', ts) AS event_second,
+        strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_second,
         value AS number,
         CAST(NULL AS DOUBLE) AS no_number
     FROM events
@@ -142,9 +142,7 @@ def parsed_values(t: Tables) -> DataFrame:
     return text.select(
         "event_id",
         parse_date(F.col("date_text")).alias("event_date"),
-        parse_timestamp(F.col("second_text"))
-        .cast("timestamp_ntz")
-        .alias("event_second"),
+        parse_timestamp(F.col("second_text")).cast("string").alias("event_second"),
         to_number(F.col("number_text")).alias("number"),
         to_number(F.col("event_type")).alias("no_number"),
     )

@@ -52,7 +52,7 @@ CONFORMED = Table(
     """
     SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date,
         CAST(o_custkey AS INTEGER) AS customer_id,
-        CAST(o_totalprice AS DECIMAL(18, 4)) AS price
+        CAST(CAST(o_totalprice AS DECIMAL(18, 4)) AS DOUBLE) AS price
     FROM orders
     """
 )
@@ -65,7 +65,8 @@ def conformed_orders(t: Tables) -> DataFrame:
         F.col("o_totalprice").alias("price"),
     )
     root = staging_path(t.spark, "tables")
-    return publish_table(renamed, CONFORMED, root).drop("record_id")
+    table = publish_table(renamed, CONFORMED, root).drop("record_id")
+    return table.withColumn("price", F.col("price").cast("double"))
 
 
 @query(

@@ -10,6 +10,15 @@ def rows(df, *columns):
     return sorted(map(tuple, df.collect()), key=lambda r: [(v is not None, v) for v in r])
 
 
+def final_plan(df):
+    """The physical plan as it was run, as text."""
+    df.collect()
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue().split("== Initial Plan ==")[0]
+
+
 def plan(df):
     """The physical plan before execution, as text."""
     text = io.StringIO()

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tests.helpers import plan
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(
@@ -42,6 +43,9 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
 def test_query_matches_sql(spark, duck, name):
     df = entry_points.queries()[name](spark, FOLDER)
+    text = plan(df)
+    for bad in ("CartesianProduct", "NestedLoopJoin", "Python", "RoundRobin"):
+        assert bad not in text
     cursor = duck.execute(entry_points.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(columns)

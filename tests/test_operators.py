@@ -37,7 +37,7 @@ from quaymart.operators import (
     value_counts,
     with_labels,
 )
-from tests.helpers import plan, rows
+from tests.helpers import final_plan, plan, rows
 
 # ------------------------------------------------------------------- labels
 
@@ -245,6 +245,16 @@ def test_share_of_total(spark):
     assert "NestedLoopJoin" not in text
 
 
+def test_shares_of_grouped_rows_group_them_once(spark):
+    grouped = rollup(
+        spark.range(100).select((F.col("id") % 7).alias("k"), F.lit(1).alias("v")),
+        ["k"],
+        {"n": F.sum("v"), "m": F.count("*")},
+    )
+    text = final_plan(share_of_total(grouped, {"pn": ("n", 2), "pm": ("m", 2)}))
+    assert "ReusedExchange" in text and "ReusedSubquery" in text
+
+
 # ----------------------------------------------------------------- profiles
 
 
@@ -310,6 +320,10 @@ def test_distinct_profile(sample):
     }
 
 
+def test_distinct_profile_counts_values_once(sample):
+    assert "ReusedExchange" in final_plan(distinct_profile(sample, ["name"], sample=2))
+
+
 def test_variants(spark):
     df = spark.createDataFrame(
         [("x", 1), ("x", 1), ("y", 1), ("y", 2), ("z", None), ("z", 1)],
