@@ -79,10 +79,11 @@ def label_arrivals(
 ) -> DataFrame:
     """Cut arrivals to the columns in use and add the labels of all four codes.
 
-    Keys of the code tables are text and are cast to the arrivals' own types.
+    Arrivals may come as text, and keys of the code tables do; both are cast to
+    the types of the arrivals.
     """
-    arrivals = arrivals.select(*ARRIVALS.fieldNames())
-    types = {field.name: field.dataType for field in arrivals.schema.fields}
+    types = {field.name: field.dataType for field in ARRIVALS.fields}
+    arrivals = arrivals.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
     lookups = {
         "i94mode": modes,
         "i94port": ports,

@@ -60,6 +60,7 @@ def prepare_arrivals(
     file_format: str = "parquet",
     refresh: str = "all",
     rebalance: bool = False,
+    schemas_differ: bool = False,
 ) -> DataFrame:
     """Label and clean all monthly files in one scan; store them by month and year.
 
@@ -67,7 +68,14 @@ def prepare_arrivals(
     ``citizenship``.  Files by month let each task write few directories, so the
     rows are not shuffled; ask for a ``rebalance`` where files mix months.
     """
-    raw = read_batches(spark, batches, S.ARRIVALS.fieldNames(), file_format)
+    raw = read_batches(
+        spark,
+        batches,
+        S.ARRIVALS.fieldNames(),
+        file_format,
+        schemas_differ=schemas_differ,
+        **({"header": "true"} if file_format == "csv" else {}),
+    )
 
     def lookup(name: str, schema) -> DataFrame:
         return read_lookup(spark, labels[name], schema.fieldNames())

@@ -57,18 +57,25 @@ def read_batches(
     paths: Sequence[str],
     columns: Sequence[str] = (),
     file_format: str = "parquet",
+    schema: StructType | None = None,
     schemas_differ: bool = False,
     **options: str,
 ) -> DataFrame:
     """All files of a batch as one table, in one scan.
 
     Partition columns of the directories above the files are kept when the
-    ``basePath`` option names the table root.  ``schemas_differ`` matches columns
-    by name, file by file, and fills those a file lacks with null.
+    ``basePath`` option names the table root.
+
+    Files whose columns differ are best read with a ``schema``: formats that store
+    column names then fill the columns a file lacks with null, still in one scan.
+    Where types differ too, or the format is CSV, ``schemas_differ`` reads file by
+    file, matches columns by name and widens their types.
     """
     if not paths:
         raise ValueError("a batch needs at least one path")
     reader = spark.read.format(file_format).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
     if schemas_differ:
         table = reduce(
             lambda a, b: a.unionByName(b, allowMissingColumns=True),

@@ -132,6 +132,19 @@ def test_zero_filled_fact_and_range_of_days(spark, built):
     assert "PartitionFilters: [isnotnull(" in plan(one)
 
 
+def test_arrivals_from_text_files(spark, inputs, built, tmp_path):
+    raw = spark.read.parquet(*inputs["batches"]).drop("extra")
+    text = raw.withColumn("arrdate", F.nanvl("arrdate", F.lit(None).cast("double")))
+    text.coalesce(2).write.option("header", True).csv(f"{tmp_path}/batch")
+    paths = warehouse.Paths(f"{tmp_path}/stage", f"{tmp_path}/out")
+    got = warehouse.prepare_arrivals(
+        spark, [f"{tmp_path}/batch"], inputs, paths, "csv", rebalance=True
+    )
+    assert rows(arrivals.arrivals_fact(got)) == rows(
+        arrivals.arrivals_fact(spark.read.parquet(built.arrivals))
+    )
+
+
 def test_labels_without_files(spark):
     assert rows(arrivals.mode_labels(spark), "i94mode_label") == [
         ("Air",),

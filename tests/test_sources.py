@@ -87,6 +87,9 @@ def test_read_batches(spark, tmp_path):
     assert rows(same) == [(1, "x"), (2, "y")]
     drifted = read_batches(spark, [a, b], ["n", "d"], schemas_differ=True)
     assert rows(drifted) == [(1, None), (2, 0.5)]
+    one_scan = read_batches(spark, [a, b], schema=drifted.schema)
+    assert rows(one_scan) == [(1, None), (2, 0.5)]
+    assert plan(one_scan).count("Scan") == 1 < plan(drifted).count("Scan")
     with pytest.raises(ValueError):
         read_batches(spark, [])
 
