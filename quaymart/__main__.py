@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import date
 
 from quaymart.plans import warehouse
 from quaymart.session import get_session
@@ -25,6 +26,10 @@ def parser() -> argparse.ArgumentParser:
     arrivals.add_argument("--batch", nargs="+", required=True, help="monthly files")
     arrivals.add_argument("--batch-format", default="parquet")
     arrivals.add_argument("--refresh", choices=["all", "partitions"], default="all")
+    for name in ("first", "last"):
+        arrivals.add_argument(
+            f"--{name}", type=date.fromisoformat, help=f"{name} day of the fact to replace"
+        )
     for name in ("mode", "port", "visa", "citizenship"):
         arrivals.add_argument(f"--{name}", required=True, help=f"{name} labels, CSV")
     for name in ("ports", "demographics", "temperature"):
@@ -46,7 +51,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         warehouse.prepare_arrivals(
             spark, options.batch, labels, paths, options.batch_format, options.refresh
         )
-        warehouse.build_arrivals(spark, paths)
+        warehouse.build_arrivals(spark, paths, options.first, options.last)
     elif options.job == "ports":
         warehouse.build_ports(spark, options.input, paths)
     elif options.job == "demographics":

@@ -6,8 +6,10 @@ are written below ``output``, by default as Parquet, on request as CSV.
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -97,10 +99,29 @@ def prepare_arrivals(
     return read_parquet(spark, paths.arrivals)
 
 
-def build_arrivals(spark: SparkSession, paths: Paths) -> None:
-    """Publish the arrivals fact, the traveller profiles and the dates."""
+def build_arrivals(
+    spark: SparkSession,
+    paths: Paths,
+    first: date | None = None,
+    last: date | None = None,
+) -> None:
+    """Publish the arrivals fact, the traveller profiles and the dates.
+
+    With a ``first`` or ``last`` day only the months from one to the other are
+    read and replaced in the fact; the dimensions are built from all data.
+    """
     cleaned = read_parquet(spark, paths.arrivals)
-    fact = _publish(arrivals.arrivals_fact(cleaned), S.FACT_IMMIGRATION, paths)
+    if first is not None:
+        first = first.replace(day=1)
+    if last is not None:
+        last = last.replace(day=monthrange(last.year, last.month)[1])
+    fact = publish_table(
+        arrivals.arrivals_fact(arrivals.within(cleaned, first, last)),
+        S.FACT_IMMIGRATION,
+        paths.output,
+        paths.output_format,
+        refresh="all" if first is None and last is None else "partitions",
+    )
     _publish(arrivals.traveller_profiles(cleaned), S.DIM_TRAVELLER_PROFILE, paths)
     _publish(arrivals.calendar(fact, "arrival_date"), S.DIM_DATETIME, paths)
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 from collections import Counter, defaultdict
 from decimal import Decimal
 
@@ -145,6 +146,33 @@ def test_arrivals_from_text_files(spark, inputs, built, tmp_path):
     )
 
 
+def test_a_new_month_is_added_without_reading_the_others(spark, inputs, built, tmp_path):
+    """Days 20545.. are April 2016, the others January 2016 and around 1960."""
+    paths = warehouse.Paths(f"{tmp_path}/stage", f"{tmp_path}/out")
+    raw = spark.read.parquet(*inputs["batches"])
+    land(raw.where("arrdate < 20500"), f"{tmp_path}/old")
+    land(raw.where("arrdate >= 20500"), f"{tmp_path}/new")
+
+    def prepare(batch, refresh):
+        path = f"{tmp_path}/{batch}"
+        warehouse.prepare_arrivals(spark, [path], inputs, paths, refresh=refresh)
+
+    prepare("old", "all")
+    warehouse.build_arrivals(spark, paths)
+    months = sorted(os.listdir(f"{paths.output}/fact_immigration"))
+    for _ in range(2):
+        prepare("new", "partitions")
+        warehouse.build_arrivals(spark, paths, dt.date(2016, 4, 2), dt.date(2016, 4, 3))
+    assert len(os.listdir(f"{paths.output}/fact_immigration")) == len(months) + 1
+    for contract in (S.FACT_IMMIGRATION, S.DIM_DATETIME, S.DIM_TRAVELLER_PROFILE):
+        names = [c for c in contract.columns if c != "record_id"]
+        assert rows(table(spark, paths, contract), *names) == rows(
+            table(spark, built, contract), *names
+        )
+    tables = ["fact_immigration", "dim_datetime", "dim_traveller_profile"]
+    warehouse.check_tables(spark, paths, tables)
+
+
 def test_labels_without_files(spark):
     assert rows(arrivals.mode_labels(spark), "i94mode_label") == [
         ("Air",),
