@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from quaymart import schemas as S
-from quaymart.operators import enforce, table_checks
+from quaymart.operators import enforce, reconcile, table_checks
 from quaymart.plans import arrivals, demographics, ports, temperature
 from quaymart.sources import (
     land,
@@ -182,6 +182,17 @@ def check_tables(
     return report
 
 
+def check_arrivals(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Check that the arrivals fact counts every cleaned arrival; raise if not."""
+    report = reconcile(
+        load_table(spark, S.FACT_IMMIGRATION, paths.output, paths.output_format),
+        "all_travellers",
+        read_parquet(spark, paths.arrivals),
+    )
+    enforce(report, ["reconciled"])
+    return report
+
+
 # Travellers and foreign residents of each state next to their share of the
 # country's.  The totals are scalar subqueries over the already grouped rows.
 TRAVELLER_SHARE = """

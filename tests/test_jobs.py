@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quaymart import schemas as S
 from quaymart.__main__ import main
-from quaymart.operators import QualityError, enforce, reconcile
+from quaymart.operators import QualityError
 from quaymart.plans import arrivals, temperature, warehouse
 from quaymart.sources import land, load_table
 from tests import fixtures as X
@@ -106,8 +106,8 @@ def test_arrivals_fact(spark, built):
     fact = table(spark, built, S.FACT_IMMIGRATION)
     got = sorted(tuple(r)[1:] for r in fact.collect())
     assert got == expected and len(got) > 100
-    source = spark.read.parquet(built.arrivals)
-    enforce(reconcile(fact, "all_travellers", source), ["reconciled"])
+    report = warehouse.check_arrivals(spark, built)
+    assert rows(report) == [(len(expected_arrivals()), len(expected_arrivals()), True)]
 
 
 def test_traveller_profiles(spark, built):
