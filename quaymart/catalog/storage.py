@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
     DecimalType,
-    DoubleType,
     IntegerType,
     LongType,
     StructField,
@@ -57,7 +56,7 @@ CONFORMED = Table(
     """
 )
 def conformed_orders(t: Tables) -> DataFrame:
-    """Orders cast to a contract, written by year with ids, replaced, read back."""
+    """Orders cast to a contract, written by year with ids and read back."""
     renamed = t.orders.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderdate").alias("order_date"),
