@@ -10,7 +10,6 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -18,12 +17,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, models, pre_tokenizers
+from tokenizers import models
 
 from quaymart.llm.common import quoted, slices, text_or_empty
 
 RANKS = "byte_bpe_50k.tiktoken"
-_PIECES, _LONG, _ROWS = 200_000, 64, 256
+_PIECES, _LONG, _ROWS = 300_000, 64, 256
 
 
 def byte_characters() -> dict[int, str]:
@@ -51,14 +50,12 @@ class Codec:
                 left, right = self._parts(ranks, token, rank)
                 merges.append((shown[left], shown[right]))
         vocabulary = {shown[token]: rank for token, rank in ranks.items()}
-        self._model = Tokenizer(models.BPE(vocabulary, merges))
-        # The pattern is applied before; a piece is one word whatever it holds.
-        self._model.pre_tokenizer = pre_tokenizers.ByteLevel(
-            add_prefix_space=False, use_regex=False
-        )
+        self._model = models.BPE(vocabulary, merges)
+        self._shown = table  # code points up to 255 stand for bytes
         self._split = regex.compile(pattern).findall
         self._bytes = {rank: token for token, rank in ranks.items()}
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._known: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     @staticmethod
     def _parts(ranks: dict[bytes, int], token: bytes, rank: int) -> tuple[bytes, bytes]:
@@ -72,25 +69,37 @@ class Codec:
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
         return parts[0], parts[1]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text; special tokens in a text are ordinary text."""
-        pieces = [self._split(text) for text in texts]
-        known = self._known
-        if len(known) > _PIECES:
-            known.clear()
-        new = [p for p in set(chain.from_iterable(pieces)) if p not in known]
-        own = {}
-        found = self._model.encode_batch_fast(new, add_special_tokens=False)
-        for piece, encoding in zip(new, found, strict=True):
-            (known if len(piece) <= _LONG else own)[piece] = tuple(encoding.ids)
-        look = (known | own).__getitem__ if own else known.__getitem__
-        return [list(chain.from_iterable(map(look, p))) for p in pieces]
-
-    def decode(self, ids: Iterable[int]) -> bytes:
+    def _learned(self, piece: str) -> bytes:
+        """Ids of a piece, as the bytes of 32-bit numbers."""
+        shown = piece.encode().decode("latin-1").translate(self._shown)
+        return np.array([t.id for t in self._model.tokenize(shown)], np.int32).tobytes()
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; special tokens in a text are ordinary text.
+
+        Known pieces are kept in two generations, so that frequent ones stay when the
+        older one goes.
+        """
+        result = []
+        for text in texts:
+            pieces = self._split(text)
+            found = list(map(self._known.get, pieces))
+            if None in found:
+                missing = {p for p, x in zip(pieces, found, strict=True) if x is None}
+                own = {p: self._old[p] for p in missing if p in self._old}
+                own |= {p: self._learned(p) for p in missing - own.keys()}
+                found = [own[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
+                self._known.update((p, x) for p, x in own.items() if len(p) <= _LONG)
+                if len(self._known) > _PIECES:
+                    self._known, self._old = {}, self._known
+            result.append(np.frombuffer(b"".join(found), np.int32))
+        return result
+
+    def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids; a character split over tokens is whole again."""
-        return b"".join(map(self._bytes.__getitem__, ids))
+        return b"".join(map(self._bytes.__getitem__, ids.tolist()))
 
-    def offsets(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and end code point of each token.
 
         A token that ends within a character counts it; the next token begins with
@@ -98,7 +107,7 @@ class Codec:
         """
         data = np.frombuffer(text.encode(), np.uint8)
         starts = np.cumsum((data & 0xC0) != 0x80)  # characters begun up to each byte
-        sizes = np.fromiter((len(self._bytes[i]) for i in ids), np.int64, len(ids))
+        sizes = np.array([len(self._bytes[i]) for i in ids.tolist()], np.int64)
         ends = np.cumsum(sizes)
         return starts[ends - sizes] - 1, starts[ends - 1]
 
@@ -112,6 +121,15 @@ def _place(path: str | None) -> str:
     return path or public_tokenizers.path(RANKS)
 
 
+_NONE = np.empty(0, np.int32)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    """An Arrow column of lists from arrays of numbers."""
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays)))
+
+
 def encode(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -130,10 +148,10 @@ def encode(
         for batch in slices(batches, _ROWS):
             texts = batch.column(1).to_pylist()
             ids = coder.encode(texts)
-            columns = [batch.column(0), pa.array(ids, pa.list_(pa.int32()))]
+            columns = [batch.column(0), _lists(ids)]
             if offsets:
                 spans = [coder.offsets(t, i) for t, i in zip(texts, ids, strict=True)]
-                columns += [pa.array([s[k] for s in spans], pa.list_(pa.int64())) for k in (0, 1)]
+                columns += [_lists([s[k] for s in spans]) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["doc_id", "ids", *["first", "end"] * offsets]
@@ -153,7 +171,10 @@ def decode(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(_place(path), pattern)
         for batch in slices(batches, _ROWS):
-            found = [coder.decode(ids or ()) for ids in batch.column(1).to_pylist()]
+            lists = batch.column(1)
+            found = [
+                coder.decode(x.values.to_numpy() if x.is_valid else _NONE) for x in lists
+            ]
             columns = [batch.column(0), batch.column(1), pa.array(found, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
 

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -230,8 +231,6 @@ def test_syncmers_depend_on_their_own_characters_only():
 @settings(max_examples=50, deadline=None)
 @given(st.text(alphabet="ab c\u00e9", min_size=16, max_size=80))
 def test_anchors_are_the_closed_syncmers(text):
-    import numpy as np
-
     codes = np.array([ord(c) + 1 for c in text], np.uint64)
     small = syncmers._mixed(syncmers._grams(codes, syncmers.S)).tolist()
     width = syncmers.K - syncmers.S + 1
@@ -240,7 +239,7 @@ def test_anchors_are_the_closed_syncmers(text):
         window = small[i : i + width]
         if min(window) in (window[0], window[-1]):
             expected.append(i)
-    assert syncmers.anchors(text)[1].tolist() == expected
+    assert syncmers.anchors(text)[1].tolist() == (expected or [0])  # else the whole text
 
 
 def test_syncmer_fingerprints(spark):
@@ -291,7 +290,8 @@ def test_bpe_offsets_and_split_characters(spark):
     text = "né 漢字\U0001f600 end"
     row = bpe.encode(documents(spark, [(1, text, "en", "a")]), offsets=True).first()
     coder = bpe.codec(public_tokenizers.path(bpe.RANKS), public_tokenizers.PATTERN)
-    assert coder.decode(row.ids).decode() == text
-    for i, a, b in zip(row.ids, row.first, row.end, strict=True):
-        assert coder.decode([i]) in text[a:b].encode()
-    assert any(len(coder.decode([i])) < len(text[a:b].encode()) for i, a, b in zip(row.ids, row.first, row.end))
+    assert coder.decode(np.array(row.ids)).decode() == text
+    tokens = [coder.decode(np.array([i])) for i in row.ids]
+    shown = [text[a:b].encode() for a, b in zip(row.first, row.end, strict=True)]
+    assert all(t in s for t, s in zip(tokens, shown, strict=True))
+    assert any(len(t) < len(s) for t, s in zip(tokens, shown, strict=True))
