@@ -54,6 +54,17 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE), "")
 
 
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.where(condition)`` over columns that are dear to compute.
+
+    A filter is otherwise moved below the projection, and with it a second copy of
+    what it looks at.  A filter on a row number cannot be moved.
+    """
+    (number,) = free_names(df, "number")
+    numbered = df.withColumn(number, F.monotonically_increasing_id())
+    return numbered.where(condition & (F.col(number) >= 0)).drop(number)
+
+
 def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 

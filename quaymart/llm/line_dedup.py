@@ -13,7 +13,15 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaymart.llm.common import quoted, stored, text_key, text_or_empty, word_array
+from quaymart.llm.common import (
+    WORD,
+    quoted,
+    stored,
+    text_key,
+    text_or_empty,
+    where_computed,
+    word_array,
+)
 
 MIN_SITES, MIN_WORDS, LG_K = 5, 3, 12
 
@@ -128,8 +136,8 @@ def cleaned(docs: DataFrame) -> DataFrame:
     A document left without a word by the removal goes: other documents hold all its
     lines.  Documents that lose nothing are unchanged.
     """
-    found = dedup_lines(docs).where(
-        (F.col("n_removed") == 0) | (F.size(word_array(F.col("text"))) > 0)
+    found = where_computed(
+        dedup_lines(docs), (F.col("n_removed") == 0) | F.col("text").rlike(WORD)
     )
     new = {
         "text": F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(F.col("text")),

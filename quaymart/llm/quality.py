@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaymart.llm.common import WORD, quoted, text_or_empty, word_array
+from quaymart.llm.common import WORD, quoted, text_or_empty, where_computed, word_array
 
 SYMBOLS = "#*$%&|<>"
 
@@ -183,6 +183,6 @@ def keep_good(docs: DataFrame, text_column: str = "text") -> DataFrame:
     row = F.struct(*(F.col(quoted(c)) for c in docs.columns))
     rows = docs.select(row.alias("row"), F.col(quoted(text_column)).alias("text"))
     judged = quality(rows, id_column="row")
-    return judged.where("kept").select(
+    return where_computed(judged, F.col("kept")).select(
         *(F.col(f"doc_id.{quoted(c)}").alias(c) for c in docs.columns)
     )
