@@ -10,6 +10,8 @@ import argparse
 from collections.abc import Sequence
 from datetime import date
 
+from pyspark.sql import DataFrame
+
 from quaymart.plans import warehouse
 from quaymart.session import get_session
 
@@ -25,7 +27,7 @@ def parser() -> argparse.ArgumentParser:
     arrivals = jobs.add_parser("arrivals", parents=[shared])
     arrivals.add_argument("--batch", nargs="+", required=True, help="monthly files")
     arrivals.add_argument("--batch-format", default="parquet")
-    arrivals.add_argument("--refresh", choices=["all", "partitions"], default="all")
+    arrivals.add_argument("--refresh", choices=["all", "partitions"])
     for name in ("first", "last"):
         arrivals.add_argument(
             f"--{name}", type=date.fromisoformat, help=f"{name} day of the fact to replace"
@@ -39,8 +41,20 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def show_all(df: DataFrame) -> None:
+    """Print every row, one at a time."""
+    print(*df.columns, sep="\t")
+    for row in df.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     options = parser().parse_args(arguments)
+    if options.job == "arrivals":
+        months = options.first is not None or options.last is not None
+        if months and options.refresh == "all":
+            parser().error("--first and --last keep other months, --refresh all does not")
+        options.refresh = options.refresh or ("partitions" if months else "all")
     spark = get_session(f"quaymart-{options.job}")
     paths = warehouse.Paths(options.staging, options.output, options.format)
     if options.job == "arrivals":
@@ -59,9 +73,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif options.job == "temperature":
         warehouse.build_temperature(spark, options.input, paths)
     elif options.job == "check":
-        warehouse.check_tables(spark, paths).show(truncate=False)
+        for report in (warehouse.check_tables, warehouse.check_arrivals):
+            show_all(report(spark, paths))
     else:
-        warehouse.traveller_share(spark, paths).show(100, truncate=False)
+        show_all(warehouse.traveller_share(spark, paths))
 
 
 if __name__ == "__main__":

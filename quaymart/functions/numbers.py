@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, DateType, IntegralType
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -25,11 +25,17 @@ def to_number(col: Column) -> Column:
 def strict_cast(col: Column, data_type: DataType, required: bool, name: str) -> Column:
     """Cast for a typed load: fail on a value the type cannot hold.
 
-    ``required`` also fails on null.  The tests run inside the projection, so a
+    A fraction does not fit a whole number, nor a time of day a date; rounding to a
+    decimal's scale is not a loss.  ``required`` also fails on null.  The tests run inside the projection, so a
     load needs no extra pass, and they hold with ANSI mode on or off.
     """
     cast = col.try_cast(data_type)
     lost = col.isNotNull() & cast.isNull()
+    wider = {IntegralType: "decimal(38,18)", DateType: "timestamp"}
+    for kind, name_of_wider in wider.items():
+        if isinstance(data_type, kind):
+            changed = col.try_cast(name_of_wider) != cast.cast(name_of_wider)
+            lost = lost | F.coalesce(changed, F.lit(False))
     problem = F.concat(
         F.lit(f"column {name}: cannot hold value "), col.cast("string")
     )

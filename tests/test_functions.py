@@ -208,3 +208,27 @@ def test_no_python_in_the_plan(spark):
         )
     )
     assert "Python" not in text and "Batch" not in text.replace("Batched", "")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_cast_refuses_what_it_would_cut_off(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        cases = [
+            ("3.7D", "int", None),
+            ("3.0D", "int", "3"),
+            ("TIMESTAMP'2020-01-02 13:45:00'", "date", None),
+            ("TIMESTAMP'2020-01-02 00:00:00'", "date", "2020-01-02"),
+        ]
+        for value, kind, expected in cases:
+            empty = spark.range(0).selectExpr(f"CAST(null AS {kind}) AS v")
+            cast = strict_cast(F.expr(value), empty.schema["v"].dataType, False, "v")
+            found = spark.range(1).select(cast.cast("string").alias("v"))
+            if expected is None:
+                with pytest.raises(Exception, match="cannot hold value"):
+                    found.collect()
+            else:
+                assert found.first().v == expected
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
