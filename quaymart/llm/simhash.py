@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 from quaymart.llm.common import quoted, slices, stored, text_key, text_or_empty
 from quaymart.llm.components import components
 
-SHINGLE, BITS, BLOCKS, PIECE, SEED = 4, 4, 7, 1024, 42
+SHINGLE, BITS, BLOCKS, PIECE, SEED = 4, 4, 7, 4096, 42
+#: A wider radius meets strangers by chance; a second fingerprint tells them apart.
+CHECK_SEED, CHECK_BITS = 43, 14
+_NARROW = 64  # groups up to this size are compared at once
 _CHUNK = 1 << 15  # shingles whose bits are unpacked at once
 
 
-def simhash(text: bytes, shingle: int = SHINGLE) -> int:
+def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """Bits set in over half the hashes of the word shingles, as a signed number."""
     words = text.lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
@@ -40,7 +43,7 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
         starts = (ends - lengths)[: len(words) - shingle + 1]
         spans = zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], dtype="<u8")
+    hashes = np.array([digest(joined[a:b], seed) for a, b in spans], dtype="<u8")
     ones = np.zeros(64, np.int64)
     for start in range(0, len(hashes), _CHUNK):
         part = hashes[start : start + _CHUNK]
@@ -52,16 +55,25 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = SHINGLE,
+    checked: bool = False,
 ) -> DataFrame:
-    """``doc_id, text_hash, fingerprint`` of every row; a null text is an empty one."""
+    """``doc_id, text_hash, fingerprint, check`` of every row; a null text is an empty one.
+
+    ``check`` is a fingerprint by another hash, or 0 if links are not to be ``checked``.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
-            found = [simhash(t, shingle) for t in batch.column(2).to_pylist()]
+            texts = batch.column(2).to_pylist()
+            found = [simhash(t, shingle) for t in texts]
+            check = [simhash(t, shingle, CHECK_SEED) if checked else 0 for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.int64())],
-                ["doc_id", "text_hash", "fingerprint"],
+                [batch.column(0), batch.column(1), pa.array(found, pa.int64()), pa.array(check, pa.int64())],
+                ["doc_id", "text_hash", "fingerprint", "check"],
             )
 
     rows = docs.select(
@@ -69,7 +81,7 @@ def fingerprints(
         text_key(text_column).alias("text_hash"),
         text_or_empty(text_column).cast("binary").alias("text"),
     )
-    return rows.mapInArrow(run, "doc_id long, text_hash long, fingerprint long")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fingerprint long, check long")
 
 
 def block_masks(bits: int = BITS, blocks: int = BLOCKS) -> list[int]:
@@ -85,41 +97,66 @@ def distance(a: np.ndarray, b: np.ndarray | np.int64) -> np.ndarray:
     return np.bitwise_count((a ^ b).view(np.uint64))
 
 
+def linked(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
+    """Which rows of fingerprint and check are linked."""
+    return (distance(a[..., 0], b[..., 0]) <= bits) & (distance(a[..., 1], b[..., 1]) <= CHECK_BITS)
+
+
 def forest(prints: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links among different fingerprints."""
+    """Edges of a spanning forest of the links among rows of fingerprint and check."""
     edges, left = [], prints
     while len(left):
         frontier, left = [left[0]], left[1:]
         while frontier and len(left):
             node = frontier.pop()
-            near = distance(left, node) <= bits
+            near = linked(left, node, bits)
             if near.any():
                 found = left[near]
-                edges += [(int(node), int(x)) for x in found]
+                edges += [(int(node[0]), int(x)) for x in found[:, 0]]
                 frontier += list(found)
                 left = left[~near]
     return edges
 
 
+def group_edges(prints: np.ndarray, sizes: np.ndarray, bits: int) -> list[tuple[int, int]]:
+    """Edges that connect what is linked in each of the groups that stand in a row.
+
+    Narrow groups are compared all at once, first with the next row, then with the
+    one after it, and so on.  Those with more links than rows, and wide groups, give
+    a spanning forest.
+    """
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.flatnonzero((group[1:] == group[:-1]) & (sizes[group[1:]] <= _NARROW))
+    shift, left, right = 1, [], []
+    while len(at):
+        near = at[linked(prints[at], prints[at + shift], bits)]
+        left.append(near)
+        right.append(near + shift)
+        shift += 1
+        at = at[at + shift < len(group)]
+        at = at[group[at + shift] == group[at]]
+    u = np.concatenate([*left, np.empty(0, np.int64)]).astype(np.int64)
+    v = np.concatenate([*right, np.empty(0, np.int64)]).astype(np.int64)
+    many = (np.bincount(group[u], minlength=len(sizes)) > sizes) | (sizes > _NARROW)
+    few = ~many[group[u]]
+    edges = list(zip(prints[u[few], 0].tolist(), prints[v[few], 0].tolist(), strict=True))
+    ends = np.cumsum(sizes)
+    for end, size in zip(ends[many], sizes[many], strict=True):
+        edges += forest(prints[end - size : end], bits)
+    return edges
+
+
 def _links(bits: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by group; a group that runs on is carried to the next batch."""
-        kept = [np.empty(0, np.int64)] * 4
+        kept = np.empty((0, 4), np.int64)  # key, piece, fingerprint, check
 
-        def of(columns: list[np.ndarray]) -> pa.RecordBatch:
-            choice, value, piece, prints = columns
-            same = (
-                (choice[1:] == choice[:-1]) & (value[1:] == value[:-1]) & (piece[1:] == piece[:-1])
-            )
-            edges = np.flatnonzero(~same) + 1
-            bounds = np.concatenate([[0], edges, [len(choice)]])
-            sizes = np.diff(bounds)
-            found = []
-            two = bounds[:-1][sizes == 2]
-            near = two[distance(prints[two], prints[two + 1]) <= bits]
-            found += zip(prints[near].tolist(), prints[near + 1].tolist(), strict=True)
-            for start, size in zip(bounds[:-1][sizes > 2], sizes[sizes > 2], strict=True):
-                found += forest(prints[start : start + size], bits)
+        def changes(rows: np.ndarray) -> np.ndarray:
+            return np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
+
+        def of(rows: np.ndarray) -> pa.RecordBatch:
+            bounds = np.concatenate([[0], changes(rows), [len(rows)]])
+            found = group_edges(rows[:, 2:], np.diff(bounds), bits)
             u, v = zip(*found, strict=True) if found else ((), ())
             return pa.RecordBatch.from_arrays(
                 [pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"]
@@ -127,17 +164,12 @@ def _links(bits: int):
 
         for batch in batches:
             new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            kept = [np.concatenate(x) for x in zip(kept, new, strict=True)]
-            if not len(kept[0]):
-                continue
-            last = np.flatnonzero(
-                (kept[0] != kept[0][-1]) | (kept[1] != kept[1][-1]) | (kept[2] != kept[2][-1])
-            )
-            cut = last[-1] + 1 if len(last) else 0
-            if cut:
-                yield of([x[:cut] for x in kept])
-                kept = [x[cut:] for x in kept]
-        if len(kept[0]):
+            kept = np.concatenate([kept, np.stack(new, axis=1)])
+            found = changes(kept)
+            if len(found):
+                yield of(kept[: found[-1]])
+                kept = kept[found[-1] :]
+        if len(kept):
             yield of(kept)
 
     return run
@@ -148,45 +180,42 @@ def links(
 ) -> DataFrame:
     """Edges ``u, v`` that connect just the fingerprints linked by ``bits`` or fewer.
 
-    ``prints`` has one column ``fingerprint`` of different values.  More blocks make
-    fuller keys, so fewer strangers meet, and more rows: choose them for the number
-    of fingerprints.  A crowded key is cut into pieces of about ``piece``; each pair
-    of pieces is a group of its own.
+    ``prints`` has different values of ``fingerprint``, each with its ``check``.  More
+    blocks make fuller keys, so fewer strangers meet, and more rows: choose them for
+    the number of fingerprints.  A crowded key is cut into pieces of about ``piece``;
+    each pair of pieces is a group of its own.
     """
     masks = block_masks(bits, blocks)
+    # A choice and its blocks as one hash: what collides is told apart by distance.
+    chosen = (
+        F.xxhash64(F.col("fingerprint").bitwiseAND(F.lit(m)), F.lit(i))
+        for i, m in enumerate(masks)
+    )
     keys = stored(
-        prints.select(
-            F.posexplode(
-                F.array(*(F.col("fingerprint").bitwiseAND(F.lit(m)) for m in masks))
-            ).alias("choice", "value"),
-            "fingerprint",
-        ),
-        "blocks",
+        prints.select(F.explode(F.array(*chosen)).alias("key"), "fingerprint", "check"), "blocks"
     )
     crowded = (
-        keys.groupBy("choice", "value")
+        keys.groupBy("key")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > piece)
-        .select("choice", "value", F.ceil(F.col("n") / piece).cast("int").alias("pieces"))
+        .select("key", F.ceil(F.col("n") / piece).cast("long").alias("pieces"))
     )
     crowded = stored(crowded, "crowded")
-    own = F.pmod(F.xxhash64("fingerprint", F.lit("piece")), F.col("pieces")).cast("int")
+    own = F.pmod(F.xxhash64("fingerprint", F.lit("piece")), F.col("pieces"))
     pairs = F.transform(
-        F.sequence(F.lit(0), F.col("pieces") - 1),
+        F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1),
         lambda other: F.least(own, other) * F.col("pieces") + F.greatest(own, other),
     )
-    grouped = keys.join(crowded, ["choice", "value"], "left").select(
-        "choice",
-        "value",
-        F.explode(F.when(F.col("pieces").isNull(), F.array(F.lit(0))).otherwise(pairs)).alias(
-            "piece"
-        ),
+    alone = F.array(F.lit(0).cast("long"))
+    grouped = keys.join(crowded, "key", "left").select(
+        "key",
+        F.explode(F.when(F.col("pieces").isNull(), alone).otherwise(pairs)).alias("piece"),
         "fingerprint",
+        "check",
     )
-    order = ["choice", "value", "piece"]
     return (
-        grouped.repartition(*order)
-        .sortWithinPartitions(*order, "fingerprint")
+        grouped.repartition("key", "piece")
+        .sortWithinPartitions("key", "piece", "fingerprint")
         .mapInArrow(_links(bits), "u long, v long")
         .distinct()
     )
@@ -199,17 +228,23 @@ def near_duplicates(
     shingle: int = SHINGLE,
     bits: int = BITS,
     blocks: int = BLOCKS,
+    checked: bool = False,
 ) -> DataFrame:
     """Each row's fingerprint and the first row it is linked to, over any number of links.
 
     Returns ``doc_id, text_hash, fingerprint, first`` with ``first`` a struct of the
     smallest ``doc_id`` (nulls last) and ``text_hash`` of the component.  Texts
-    without words have fingerprint zero and are linked like any other.
+    without words have fingerprint zero and are linked like any other.  ``checked``
+    links need a second fingerprint within :data:`CHECK_BITS`.
     """
-    prints = stored(fingerprints(docs, id_column, text_column, shingle), "fingerprints")
+    prints = stored(
+        fingerprints(docs, id_column, text_column, shingle, checked), "fingerprints"
+    )
     row = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash")
-    nodes = prints.groupBy("fingerprint").agg(F.min(row).alias("first"))
-    roots = components(links(nodes.select("fingerprint"), bits, blocks))
+    nodes = prints.groupBy("fingerprint").agg(
+        F.min(row).alias("first"), F.min("check").alias("check")
+    )
+    roots = components(links(nodes.select("fingerprint", "check"), bits, blocks))
     placed = nodes.join(
         roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
     ).select("fingerprint", F.coalesce("root", "fingerprint").alias("root"), "first")
@@ -229,7 +264,13 @@ def clusters(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def one_of_each(
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    bits: int = BITS,
+    blocks: int = BLOCKS,
+    checked: bool = False,
+) -> DataFrame:
     """The first document of each component, with all its columns; repeats of a row go."""
     rows = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row"))
     rows = rows.select(
@@ -238,7 +279,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         "row",
     )
     kept = (
-        near_duplicates(docs, shingle=shingle)
+        near_duplicates(docs, shingle=shingle, bits=bits, blocks=blocks, checked=checked)
         .where(
             F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
             & (F.col("text_hash") == F.col("first.text_hash"))

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 
 import corpus_pipeline
@@ -15,18 +16,18 @@ from quaymart.llm.common import show_package
 from tests.llm.helpers import TEXTS, documents, empty, table, values
 
 
-def plain_simhash(text):
+def plain_simhash(text, k=4, seed=42):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^ \t-\r]+", lower)
     if not words:
         return 0
-    n = max(1, len(words) - 3)
-    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 4]).encode(), 42) for i in range(n)]
+    n = max(1, len(words) - k + 1)
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + k]).encode(), seed) for i in range(n)]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def plain_components(prints):
-    """Smallest id reachable over links of four bits or fewer."""
+def plain_components(prints, linked=lambda a, b: (a ^ b).bit_count() <= 4):
+    """Smallest id reachable over links, of four bits or fewer if not told otherwise."""
     by_print = defaultdict(list)
     for doc_id, p in prints:
         by_print[p].append(doc_id)
@@ -37,7 +38,7 @@ def plain_components(prints):
         group, stack = {start}, [start]
         while stack:
             now = stack.pop()
-            near = {x for x in nodes if x not in group and (x ^ now).bit_count() <= 4}
+            near = {x for x in nodes if x not in group and linked(x, now)}
             group |= near
             stack += near
         least = min(d for p in group for d in by_print[p])
@@ -57,33 +58,37 @@ def test_simhash_clusters(spark):
     assert any(d != c for d, _, c in found)
 
 
-def test_links_lose_nothing_in_crowded_blocks(spark):
+@pytest.mark.parametrize(("bits", "blocks", "piece"), [(4, 7, 8), (8, 11, 4096)])
+def test_links_lose_nothing_in_crowded_blocks(spark, bits, blocks, piece):
     show_package(spark)
     rng = random.Random(7)
     prints = set()
-    for _ in range(6):  # crowds around a few centres, and strangers
+    for size in (60, 60, 60, 150):  # crowds around a few centres, and strangers
         centre = rng.getrandbits(64)
-        for _ in range(60):
+        for _ in range(size):
             prints.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(9))))
     prints |= {rng.getrandbits(64) for _ in range(200)}
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    df = spark.createDataFrame([(p,) for p in signed], "fingerprint long")
-    found = components.components(simhash.links(df, piece=8)).collect()
+    df = spark.createDataFrame([(p, p % 2) for p in signed], "fingerprint long, check long")
+    found = components.components(simhash.links(df, bits, blocks, piece)).collect()
     groups = defaultdict(set)
     for r in found:
         groups[r.root].add(r.node & (1 << 64) - 1)
-    expected = plain_components([(p, p) for p in prints])
+    expected = plain_components(
+        [(p, p) for p in prints], lambda a, b: (a ^ b).bit_count() <= bits
+    )
     own = defaultdict(set)
     for p, least in expected.items():
         own[least].add(p)
     assert sorted(map(sorted, groups.values())) == sorted(sorted(g) for g in own.values() if len(g) > 1)
 
 
-def test_every_close_pair_shares_a_block():
-    masks = np.array(simhash.block_masks(), np.int64)
+@pytest.mark.parametrize(("n_bits", "blocks"), [(4, 7), (8, 11)])
+def test_every_close_pair_shares_a_block(n_bits, blocks):
+    masks = np.array(simhash.block_masks(n_bits, blocks), np.int64)
     rng = random.Random(1)
     for _ in range(200):
-        bits = rng.sample(range(64), simhash.BITS)
+        bits = rng.sample(range(64), n_bits)
         change = np.array([sum(1 << b for b in bits)], np.uint64).view(np.int64)
         assert (change & masks == 0).any()
 
@@ -107,6 +112,18 @@ def test_one_of_each(spark):
     assert simhash.clusters(empty(spark)).collect() == []
 
 
+def test_near_dedup_stage(spark):
+    docs = table(spark, "documents")
+    rows = docs.select("doc_id", "text").collect()
+    prints = [(r.doc_id, (plain_simhash(r.text, 5), plain_simhash(r.text, 5, 43))) for r in rows]
+    root = plain_components(
+        prints,
+        lambda a, b: (a[0] ^ b[0]).bit_count() <= 8 and (a[1] ^ b[1]).bit_count() <= 14,
+    )
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({root[p] for _, p in prints})
+
+
 def plain_targets(sizes):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
