@@ -14,8 +14,9 @@ from quaymart.llm.common import read, stored
 #: No single statement: fingerprints, rounding and token ids are not SQL.
 ORACLE_SQL = None
 #: Near-duplicates are compared by runs of five words.  Texts that share 0.8 of them
-#: differ in about 10 of 64 bits; 8 is as far as 165 keys of 17 bits reach.
-SHINGLE, BITS, BLOCKS = 5, 8, 11
+#: differ in about 10 of 64 bits.  8 bits need 45 keys of 13 bits, which suits tens of
+#: millions of texts; a larger corpus wants 11 blocks, 165 keys of 17 bits.
+SHINGLE, BITS, BLOCKS = 5, 8, 10
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
