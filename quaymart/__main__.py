@@ -27,7 +27,7 @@ def parser() -> argparse.ArgumentParser:
     arrivals = jobs.add_parser("arrivals", parents=[shared])
     arrivals.add_argument("--batch", nargs="+", required=True, help="monthly files")
     arrivals.add_argument("--batch-format", default="parquet")
-    arrivals.add_argument("--refresh", choices=["all", "partitions"])
+    arrivals.add_argument("--refresh", choices=["all", "batches"])
     for name in ("first", "last"):
         arrivals.add_argument(
             f"--{name}", type=date.fromisoformat, help=f"{name} day of the fact to replace"
@@ -54,7 +54,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         months = options.first is not None or options.last is not None
         if months and options.refresh == "all":
             parser().error("--first and --last keep other months, --refresh all does not")
-        options.refresh = options.refresh or ("partitions" if months else "all")
+        options.refresh = options.refresh or ("batches" if months else "all")
     spark = get_session(f"quaymart-{options.job}")
     paths = warehouse.Paths(options.staging, options.output, options.format)
     if options.job == "arrivals":
@@ -65,7 +65,13 @@ def main(arguments: Sequence[str] | None = None) -> None:
         warehouse.prepare_arrivals(
             spark, options.batch, labels, paths, options.batch_format, options.refresh
         )
-        warehouse.build_arrivals(spark, paths, options.first, options.last)
+        warehouse.build_arrivals(
+            spark,
+            paths,
+            options.first,
+            options.last,
+            options.batch if options.refresh == "batches" else (),
+        )
     elif options.job == "ports":
         warehouse.build_ports(spark, options.input, paths)
     elif options.job == "demographics":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,10 +81,13 @@ def label_arrivals(
     """Cut arrivals to the columns in use and add the labels of all four codes.
 
     Arrivals may come as text, and keys of the code tables do; both are cast to
-    the types of the arrivals.
+    the types of the arrivals.  A column ``batch`` is kept.
     """
     types = {field.name: field.dataType for field in ARRIVALS.fields}
-    arrivals = arrivals.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+    batch = ["batch"] if "batch" in arrivals.columns else []
+    arrivals = arrivals.select(
+        *[F.col(c).cast(t).alias(c) for c, t in types.items()], *batch
+    )
     lookups = {
         "i94mode": modes,
         "i94port": ports,
@@ -130,12 +134,21 @@ def clean_arrivals(labelled: DataFrame) -> DataFrame:
     )
 
 
+def of_months(cleaned: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
+    """Cleaned arrivals of the given years and months."""
+    kept = cleaned.where(
+        (F.col("year") * 12 + F.col("month")).isin([y * 12 + m for y, m in months])
+    )
+    # The first day lets the scan skip older files.
+    return kept.where(F.col("arrdateclean") >= date(*min(months), 1)) if months else kept
+
+
 def within(
     cleaned: DataFrame, first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """Cleaned arrivals of a range of days, both ends included.
 
-    The test on year and month lets Spark skip the directories outside it.
+    The test on the day lets the scan skip files and row groups outside it.
     """
     month = F.col("year") * 12 + F.col("month")
     if first is not None:

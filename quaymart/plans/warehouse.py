@@ -12,11 +12,13 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quaymart import schemas as S
 from quaymart.operators import enforce, reconcile, table_checks
 from quaymart.plans import arrivals, demographics, ports, temperature
 from quaymart.sources import (
+    batch_name,
     land,
     load_table,
     publish,
@@ -64,18 +66,24 @@ def prepare_arrivals(
     rebalance: bool = False,
     schemas_differ: bool = False,
 ) -> DataFrame:
-    """Label and clean all monthly files in one scan; store them by month and year.
+    """Label and clean all monthly files in one scan; store them by file.
+
+    A ``refresh`` of ``batches`` replaces what the same paths brought before and
+    keeps all other rows, also those of the same months; ``all`` starts anew.
 
     ``labels`` names the code files ``mode``, ``port``, ``visa`` and
-    ``citizenship``.  Files by month let each task write few directories, so the
-    rows are not shuffled; ask for a ``rebalance`` where files mix months.
+    ``citizenship``.  A task reads few files and so writes few directories, without a
+    shuffle; ask for a ``rebalance`` where there are many small files.
     """
+    if refresh not in ("all", "batches"):
+        raise ValueError(f"unknown refresh {refresh!r}")
     raw = read_batches(
         spark,
         batches,
         S.ARRIVALS.fieldNames(),
         file_format,
         schemas_differ=schemas_differ,
+        batch_column="batch",
         **({"header": "true"} if file_format == "csv" else {}),
     )
 
@@ -92,35 +100,48 @@ def prepare_arrivals(
     publish(
         arrivals.clean_arrivals(labelled),
         paths.arrivals,
-        partition_by=["month", "year"],
-        refresh=refresh,
+        partition_by=["batch"],
+        refresh="partitions" if refresh == "batches" else "all",
         rebalance=rebalance,
     )
     return read_parquet(spark, paths.arrivals)
 
 
+def _month_end(day: date | None) -> date | None:
+    return day and day.replace(day=monthrange(day.year, day.month)[1])
+
+
 def build_arrivals(
     spark: SparkSession,
     paths: Paths,
     first: date | None = None,
     last: date | None = None,
+    batches: Sequence[str] = (),
 ) -> None:
     """Publish the arrivals fact, the traveller profiles and the dates.
 
     With a ``first`` or ``last`` day only the months from one to the other are
-    read and replaced in the fact; the dimensions are built from all data.
+    read and replaced in the fact, and with ``batches`` all months of which these
+    have rows; the dimensions are built from all data.  A month that lost its last
+    row is not emptied by this: build all months then.
     """
     cleaned = read_parquet(spark, paths.arrivals)
-    if first is not None:
-        first = first.replace(day=1)
-    if last is not None:
-        last = last.replace(day=monthrange(last.year, last.month)[1])
+    if batches:
+        # A row a month, however many arrivals there are.
+        touched = cleaned.where(F.col("batch").isin([batch_name(p) for p in batches]))
+        months = {tuple(r) for r in touched.select("year", "month").distinct().collect()}
+        if first is not None or last is not None:
+            ranged = arrivals.within(cleaned, first and first.replace(day=1), _month_end(last))
+            months |= {tuple(r) for r in ranged.select("year", "month").distinct().collect()}
+        wanted = arrivals.of_months(cleaned, sorted(months))
+    else:
+        wanted = arrivals.within(cleaned, first and first.replace(day=1), _month_end(last))
     fact = publish_table(
-        arrivals.arrivals_fact(arrivals.within(cleaned, first, last)),
+        arrivals.arrivals_fact(wanted),
         S.FACT_IMMIGRATION,
         paths.output,
         paths.output_format,
-        refresh="all" if first is None and last is None else "partitions",
+        refresh="partitions" if batches or first or last else "all",
     )
     _publish(arrivals.traveller_profiles(cleaned), S.DIM_TRAVELLER_PROFILE, paths)
     _publish(arrivals.calendar(fact, "arrival_date"), S.DIM_DATETIME, paths)

@@ -10,6 +10,7 @@ from quaymart.sources.publish import (
 from quaymart.sources.readers import (
     land,
     monthly_paths,
+    batch_name,
     read_batches,
     read_csv,
     read_lookup,
@@ -24,6 +25,7 @@ __all__ = [
     "monthly_paths",
     "publish",
     "publish_table",
+    "batch_name",
     "read_batches",
     "read_csv",
     "read_lookup",

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
+from hashlib import sha256
+from urllib.parse import quote, urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
@@ -52,6 +55,25 @@ def read_parquet(
     return table.select(*columns) if columns else table
 
 
+def batch_name(path: str) -> str:
+    """What names a batch in a directory: a hash, as paths may be long."""
+    return f"b-{sha256(path.rstrip('/').encode()).hexdigest()}"
+
+
+def _batch_of_file(paths: Sequence[str]) -> Column:
+    """The name of the batch that the file at hand belongs to; a glob's files are one each."""
+    file = F.input_file_name()
+    # The longest path first: a batch may lie below another one's folder.
+    names = [
+        F.when(
+            F.concat(file, F.lit("/")).contains(quote(urlsplit(p).path.rstrip("/")) + "/"),
+            F.lit(batch_name(p)),
+        )
+        for p in sorted(paths, key=len, reverse=True)
+    ]
+    return F.coalesce(*names, F.concat(F.lit("b-"), F.sha2(file, 256)))
+
+
 def read_batches(
     spark: SparkSession,
     paths: Sequence[str],
@@ -59,6 +81,7 @@ def read_batches(
     file_format: str = "parquet",
     schema: StructType | None = None,
     schemas_differ: bool = False,
+    batch_column: str | None = None,
     **options: str,
 ) -> DataFrame:
     """All files of a batch as one table, in one scan.
@@ -71,6 +94,7 @@ def read_batches(
     Where types differ too, or the format is CSV, ``schemas_differ`` reads file by
     file, matches columns by name and widens their types.
     """
+    # ``batch_column`` adds the ``batch_name`` of the path that a row comes from.
     if not paths:
         raise ValueError("a batch needs at least one path")
     reader = spark.read.format(file_format).options(**options)
@@ -79,11 +103,20 @@ def read_batches(
     if schemas_differ:
         table = reduce(
             lambda a, b: a.unionByName(b, allowMissingColumns=True),
-            [reader.load(path) for path in paths],
+            [
+                reader.load(path).withColumns(
+                    {batch_column: F.lit(batch_name(path))} if batch_column else {}
+                )
+                for path in paths
+            ],
         )
     else:
         table = reader.load(list(paths))
-    return table.select(*columns) if columns else table
+        if batch_column:
+            table = table.withColumn(batch_column, _batch_of_file(paths))
+    if columns:
+        table = table.select(*columns, *([batch_column] if batch_column else []))
+    return table
 
 
 def monthly_paths(template: str, first: date, last: date) -> list[str]:

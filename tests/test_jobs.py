@@ -13,7 +13,7 @@ from quaymart import schemas as S
 from quaymart.__main__ import main
 from quaymart.operators import QualityError
 from quaymart.plans import arrivals, temperature, warehouse
-from quaymart.sources import land, load_table
+from quaymart.sources import batch_name, land, load_table
 from tests import fixtures as X
 from tests.helpers import plan, rows
 from tests.test_functions import age_category
@@ -130,7 +130,7 @@ def test_zero_filled_fact_and_range_of_days(spark, built):
     day = dt.date(2016, 1, 1)
     one = arrivals.within(cleaned, day, day)
     assert one.count() == sum(r["date"] == day for r in expected_arrivals())
-    assert "PartitionFilters: [isnotnull(" in plan(one)
+    assert "PushedFilters: [IsNotNull(" in plan(one)
 
 
 def test_arrivals_from_text_files(spark, inputs, built, tmp_path):
@@ -161,8 +161,8 @@ def test_a_new_month_is_added_without_reading_the_others(spark, inputs, built, t
     warehouse.build_arrivals(spark, paths)
     months = sorted(os.listdir(f"{paths.output}/fact_immigration"))
     for _ in range(2):
-        prepare("new", "partitions")
-        warehouse.build_arrivals(spark, paths, dt.date(2016, 4, 2), dt.date(2016, 4, 3))
+        prepare("new", "batches")
+        warehouse.build_arrivals(spark, paths, batches=[f"{tmp_path}/new"])
     assert len(os.listdir(f"{paths.output}/fact_immigration")) == len(months) + 1
     for contract in (S.FACT_IMMIGRATION, S.DIM_DATETIME, S.DIM_TRAVELLER_PROFILE):
         names = [c for c in contract.columns if c != "record_id"]
@@ -173,6 +173,31 @@ def test_a_new_month_is_added_without_reading_the_others(spark, inputs, built, t
     warehouse.check_tables(spark, paths, tables)
 
 
+def test_late_rows_join_their_month(spark, inputs, built, tmp_path):
+    """The second file holds rows of a month that is there already, and is loaded twice."""
+    paths = warehouse.Paths(f"{tmp_path}/stage", f"{tmp_path}/out")
+    raw = spark.read.parquet(*inputs["batches"])
+    late = F.coalesce(F.nanvl("arrdate", F.lit(None).cast("double")), F.lit(0)) % 2 == 1
+    land(raw.where(~late), f"{tmp_path}/first file")
+    land(raw.where(late), f"{tmp_path}/second")
+    for batch, refresh in (("first file", "all"), ("second", "batches"), ("second", "batches")):
+        path = f"{tmp_path}/{batch}"
+        warehouse.prepare_arrivals(spark, [path], inputs, paths, refresh=refresh)
+        warehouse.build_arrivals(
+            spark, paths, batches=[path] if refresh == "batches" else ()
+        )
+        warehouse.check_arrivals(spark, paths)
+    for contract in (S.FACT_IMMIGRATION, S.DIM_DATETIME, S.DIM_TRAVELLER_PROFILE):
+        names = [c for c in contract.columns if c != "record_id"]
+        assert rows(table(spark, paths, contract), *names) == rows(
+            table(spark, built, contract), *names
+        )
+    staged = spark.read.parquet(paths.arrivals).select("batch").distinct().collect()
+    assert {r.batch for r in staged} == {
+        batch_name(f"{tmp_path}/{x}") for x in ("first file", "second")
+    }
+
+
 def test_labels_without_files(spark):
     assert rows(arrivals.mode_labels(spark), "i94mode_label") == [
         ("Air",),
