@@ -2,7 +2,9 @@
 
 Fingerprints are cut into ``blocks``; two that differ in at most ``bits`` bits agree
 on ``blocks - bits`` of them, so each fingerprint is put under every choice of that
-many blocks and compared only with those under the same value.  Texts with one
+many blocks and compared only with those under the same value.  What is compared may
+be longer than what is cut: further words of the fingerprint tell a similar text from
+a stranger, so pairs that share a key are linked beyond ``bits`` too.  Texts with one
 fingerprint are one node from the start.  Within a block only a spanning forest of
 the links is passed on, and crowded blocks are cut into pieces that are compared two
 by two, so no task gets an unbounded group and no link is lost.
@@ -23,17 +25,29 @@ from quaymart.llm.common import quoted, slices, stored, text_key, text_or_empty
 from quaymart.llm.components import components
 
 SHINGLE, BITS, BLOCKS, PIECE, SEED = 4, 4, 7, 4096, 42
-#: A wider radius meets strangers by chance; a second fingerprint tells them apart.
-CHECK_SEED, CHECK_BITS = 43, 14
+_MASK = (1 << 64) - 1
 _NARROW = 64  # groups up to this size are compared at once
 _CHUNK = 1 << 15  # shingles whose bits are unpacked at once
 
 
-def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Bits set in over half the hashes of the word shingles, as a signed number."""
+def remixed(hashes: np.ndarray, word: int) -> np.ndarray:
+    """Hashes for a further word of the fingerprint: multiplied and folded; word 0 as given."""
+    if word:
+        hashes = hashes ^ np.uint64(word * 0x9E3779B97F4A7C15 & _MASK)
+        hashes = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        hashes = (hashes ^ (hashes >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        hashes = hashes ^ (hashes >> np.uint64(31))
+    return hashes
+
+
+def simhash(text: bytes, shingle: int = SHINGLE, checks: int = 0, seed: int = SEED) -> list[int]:
+    """Bits set in over half the hashes of the word shingles, as signed numbers.
+
+    The first is the fingerprint; ``checks`` more follow, of the hashes mixed anew.
+    """
     words = text.lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
-        return 0
+        return [0] * (1 + checks)
     joined = b" ".join(words)
     if len(words) <= shingle:
         spans = [(0, len(joined))]
@@ -44,14 +58,17 @@ def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
         spans = zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(joined[a:b], seed) for a, b in spans], dtype="<u8")
-    ones = np.zeros(64, np.int64)
-    for start in range(0, len(hashes), _CHUNK):
-        part = hashes[start : start + _CHUNK]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(
-            axis=0, dtype=np.int64
-        )
-    bits = np.packbits(2 * ones > len(hashes), bitorder="little")
-    return int(bits.view("<i8")[0])
+    found = []
+    for word in range(1 + checks):
+        ones = np.zeros(64, np.int64)
+        for start in range(0, len(hashes), _CHUNK):
+            part = remixed(hashes[start : start + _CHUNK], word)
+            ones += np.unpackbits(
+                part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
+            ).sum(axis=0, dtype=np.int64)
+        bits = np.packbits(2 * ones > len(hashes), bitorder="little")
+        found.append(int(bits.view("<i8")[0]))
+    return found
 
 
 def fingerprints(
@@ -59,20 +76,24 @@ def fingerprints(
     id_column: str = "doc_id",
     text_column: str = "text",
     shingle: int = SHINGLE,
-    checked: bool = False,
+    checks: int = 0,
 ) -> DataFrame:
     """``doc_id, text_hash, fingerprint, check`` of every row; a null text is an empty one.
 
-    ``check`` is a fingerprint by another hash, or 0 if links are not to be ``checked``.
+    ``check`` is an array of ``checks`` further words of the fingerprint.
     """
+    schema = "doc_id long, text_hash long, fingerprint long, check array<long>"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
-            texts = batch.column(2).to_pylist()
-            found = [simhash(t, shingle) for t in texts]
-            check = [simhash(t, shingle, CHECK_SEED) if checked else 0 for t in texts]
+            found = [simhash(t.as_py(), shingle, checks) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.int64()), pa.array(check, pa.int64())],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([x[0] for x in found], pa.int64()),
+                    pa.array([x[1:] for x in found], pa.list_(pa.int64())),
+                ],
                 ["doc_id", "text_hash", "fingerprint", "check"],
             )
 
@@ -81,7 +102,7 @@ def fingerprints(
         text_key(text_column).alias("text_hash"),
         text_or_empty(text_column).cast("binary").alias("text"),
     )
-    return rows.mapInArrow(run, "doc_id long, text_hash long, fingerprint long, check long")
+    return rows.mapInArrow(run, schema)
 
 
 def block_masks(bits: int = BITS, blocks: int = BLOCKS) -> list[int]:
@@ -97,19 +118,19 @@ def distance(a: np.ndarray, b: np.ndarray | np.int64) -> np.ndarray:
     return np.bitwise_count((a ^ b).view(np.uint64))
 
 
-def linked(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
-    """Which rows of fingerprint and check are linked."""
-    return (distance(a[..., 0], b[..., 0]) <= bits) & (distance(a[..., 1], b[..., 1]) <= CHECK_BITS)
+def linked(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Which rows of fingerprint and check differ in ``most`` bits or fewer."""
+    return distance(a, b).sum(axis=-1, dtype=np.int64) <= most
 
 
-def forest(prints: np.ndarray, bits: int) -> list[tuple[int, int]]:
+def forest(prints: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the links among rows of fingerprint and check."""
     edges, left = [], prints
     while len(left):
         frontier, left = [left[0]], left[1:]
         while frontier and len(left):
             node = frontier.pop()
-            near = linked(left, node, bits)
+            near = linked(left, node, most)
             if near.any():
                 found = left[near]
                 edges += [(int(node[0]), int(x)) for x in found[:, 0]]
@@ -118,7 +139,7 @@ def forest(prints: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return edges
 
 
-def group_edges(prints: np.ndarray, sizes: np.ndarray, bits: int) -> list[tuple[int, int]]:
+def group_edges(prints: np.ndarray, sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Edges that connect what is linked in each of the groups that stand in a row.
 
     Narrow groups are compared all at once, first with the next row, then with the
@@ -129,7 +150,7 @@ def group_edges(prints: np.ndarray, sizes: np.ndarray, bits: int) -> list[tuple[
     at = np.flatnonzero((group[1:] == group[:-1]) & (sizes[group[1:]] <= _NARROW))
     shift, left, right = 1, [], []
     while len(at):
-        near = at[linked(prints[at], prints[at + shift], bits)]
+        near = at[linked(prints[at], prints[at + shift], most)]
         left.append(near)
         right.append(near + shift)
         shift += 1
@@ -142,29 +163,31 @@ def group_edges(prints: np.ndarray, sizes: np.ndarray, bits: int) -> list[tuple[
     edges = list(zip(prints[u[few], 0].tolist(), prints[v[few], 0].tolist(), strict=True))
     ends = np.cumsum(sizes)
     for end, size in zip(ends[many], sizes[many], strict=True):
-        edges += forest(prints[end - size : end], bits)
+        edges += forest(prints[end - size : end], most)
     return edges
 
 
-def _links(bits: int):
+def _links(most: int, checks: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by group; a group that runs on is carried to the next batch."""
-        kept = np.empty((0, 4), np.int64)  # key, piece, fingerprint, check
+        kept = np.empty((0, 3 + checks), np.int64)  # key, piece, fingerprint, check
 
         def changes(rows: np.ndarray) -> np.ndarray:
             return np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
 
         def of(rows: np.ndarray) -> pa.RecordBatch:
             bounds = np.concatenate([[0], changes(rows), [len(rows)]])
-            found = group_edges(rows[:, 2:], np.diff(bounds), bits)
+            found = group_edges(rows[:, 2:], np.diff(bounds), most)
             u, v = zip(*found, strict=True) if found else ((), ())
             return pa.RecordBatch.from_arrays(
                 [pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"]
             )
 
         for batch in batches:
-            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            kept = np.concatenate([kept, np.stack(new, axis=1)])
+            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            check = batch.column(3).flatten().to_numpy(zero_copy_only=False)
+            check = check.reshape(batch.num_rows, checks)
+            kept = np.concatenate([kept, np.column_stack([*new, check])])
             found = changes(kept)
             if len(found):
                 yield of(kept[: found[-1]])
@@ -176,11 +199,19 @@ def _links(bits: int):
 
 
 def links(
-    prints: DataFrame, bits: int = BITS, blocks: int = BLOCKS, piece: int = PIECE
+    prints: DataFrame,
+    bits: int = BITS,
+    blocks: int = BLOCKS,
+    checks: int = 0,
+    most: int | None = None,
+    piece: int = PIECE,
 ) -> DataFrame:
-    """Edges ``u, v`` that connect just the fingerprints linked by ``bits`` or fewer.
+    """Edges ``u, v`` that connect just what is linked.
 
-    ``prints`` has different values of ``fingerprint``, each with its ``check``.  More
+    ``prints`` has different values of ``fingerprint``, each with a ``check`` of
+    ``checks`` words.  Linked are those that share a key and differ in ``most`` bits or
+    fewer over fingerprint and check together (``bits`` if not given).  Fingerprints
+    within ``bits`` always share a key, others the less often the further apart.  More
     blocks make fuller keys, so fewer strangers meet, and more rows: choose them for
     the number of fingerprints.  A crowded key is cut into pieces of about ``piece``;
     each pair of pieces is a group of its own.
@@ -216,7 +247,7 @@ def links(
     return (
         grouped.repartition("key", "piece")
         .sortWithinPartitions("key", "piece", "fingerprint")
-        .mapInArrow(_links(bits), "u long, v long")
+        .mapInArrow(_links(bits if most is None else most, checks), "u long, v long")
         .distinct()
     )
 
@@ -228,23 +259,24 @@ def near_duplicates(
     shingle: int = SHINGLE,
     bits: int = BITS,
     blocks: int = BLOCKS,
-    checked: bool = False,
+    checks: int = 0,
+    most: int | None = None,
 ) -> DataFrame:
     """Each row's fingerprint and the first row it is linked to, over any number of links.
 
     Returns ``doc_id, text_hash, fingerprint, first`` with ``first`` a struct of the
     smallest ``doc_id`` (nulls last) and ``text_hash`` of the component.  Texts
-    without words have fingerprint zero and are linked like any other.  ``checked``
-    links need a second fingerprint within :data:`CHECK_BITS`.
+    without words have fingerprint zero and are linked like any other.  For ``checks``
+    and ``most`` see :func:`links`.
     """
     prints = stored(
-        fingerprints(docs, id_column, text_column, shingle, checked), "fingerprints"
+        fingerprints(docs, id_column, text_column, shingle, checks), "fingerprints"
     )
     row = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash")
     nodes = prints.groupBy("fingerprint").agg(
         F.min(row).alias("first"), F.min("check").alias("check")
     )
-    roots = components(links(nodes.select("fingerprint", "check"), bits, blocks))
+    roots = components(links(nodes.select("fingerprint", "check"), bits, blocks, checks, most))
     placed = nodes.join(
         roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
     ).select("fingerprint", F.coalesce("root", "fingerprint").alias("root"), "first")
@@ -269,7 +301,8 @@ def one_of_each(
     shingle: int = SHINGLE,
     bits: int = BITS,
     blocks: int = BLOCKS,
-    checked: bool = False,
+    checks: int = 0,
+    most: int | None = None,
 ) -> DataFrame:
     """The first document of each component, with all its columns; repeats of a row go."""
     rows = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row"))
@@ -279,7 +312,7 @@ def one_of_each(
         "row",
     )
     kept = (
-        near_duplicates(docs, shingle=shingle, bits=bits, blocks=blocks, checked=checked)
+        near_duplicates(docs, shingle=shingle, bits=bits, blocks=blocks, checks=checks, most=most)
         .where(
             F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
             & (F.col("text_hash") == F.col("first.text_hash"))

@@ -16,13 +16,21 @@ from quaymart.llm.common import show_package
 from tests.llm.helpers import TEXTS, documents, empty, table, values
 
 
-def plain_simhash(text, k=4, seed=42):
+def plain_remix(h, word):
+    h ^= word * 0x9E3779B97F4A7C15 % 2**64
+    h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    h = (h ^ h >> 27) * 0x94D049BB133111EB % 2**64
+    return h ^ h >> 31
+
+
+def plain_simhash(text, k=4, seed=42, word=0):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^ \t-\r]+", lower)
     if not words:
         return 0
     n = max(1, len(words) - k + 1)
     hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + k]).encode(), seed) for i in range(n)]
+    hashes = [plain_remix(h, word) for h in hashes] if word else hashes
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
@@ -69,8 +77,8 @@ def test_links_lose_nothing_in_crowded_blocks(spark, bits, blocks, piece):
             prints.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(9))))
     prints |= {rng.getrandbits(64) for _ in range(200)}
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    df = spark.createDataFrame([(p, p % 2) for p in signed], "fingerprint long, check long")
-    found = components.components(simhash.links(df, bits, blocks, piece)).collect()
+    df = spark.createDataFrame([(p, []) for p in signed], "fingerprint long, check array<long>")
+    found = components.components(simhash.links(df, bits, blocks, piece=piece)).collect()
     groups = defaultdict(set)
     for r in found:
         groups[r.root].add(r.node & (1 << 64) - 1)
@@ -113,13 +121,25 @@ def test_one_of_each(spark):
 
 
 def test_near_dedup_stage(spark):
-    docs = table(spark, "documents")
-    rows = docs.select("doc_id", "text").collect()
-    prints = [(r.doc_id, (plain_simhash(r.text, 5), plain_simhash(r.text, 5, 43))) for r in rows]
-    root = plain_components(
-        prints,
-        lambda a, b: (a[0] ^ b[0]).bit_count() <= 8 and (a[1] ^ b[1]).bit_count() <= 14,
+    docs = table(spark, "documents").unionByName(
+        table(spark, "documents").selectExpr(
+            "doc_id + 1000 AS doc_id",
+            "concat(text, ' and five more words here') AS text",
+            "lang",
+            "source",
+            "n_chars",
+        )
     )
+    rows = docs.select("doc_id", "text").collect()
+    prints = [(r.doc_id, tuple(plain_simhash(r.text, 5, word=w) for w in range(5))) for r in rows]
+    masks = [m % 2**64 for m in simhash.block_masks(8, 10)]
+
+    def linked(a, b):
+        differ = [x ^ y for x, y in zip(a, b, strict=True)]
+        return sum(map(int.bit_count, differ)) <= 60 and any(not differ[0] & m for m in masks)
+
+    root = plain_components(prints, linked)
+    assert len({root[p] for _, p in prints}) < 0.8 * len(prints)
     kept = corpus_pipeline.near_dedup(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted({root[p] for _, p in prints})
 
