@@ -22,7 +22,7 @@ from tokenizers import models
 from quaymart.llm.common import quoted, slices, text_or_empty
 
 RANKS = "byte_bpe_50k.tiktoken"
-_PIECES, _LONG, _ROWS = 300_000, 64, 256
+_PIECES, _LONG, _ROWS = 100_000, 64, 256
 
 
 def byte_characters() -> dict[int, str]:
