@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
@@ -123,13 +124,17 @@ def monthly_paths(template: str, first: date, last: date) -> list[str]:
     """Paths of the months from ``first`` to ``last``, both included.
 
     The template is a ``strftime`` pattern filled with the first of each month,
-    such as ``raw/arrivals_%b%y.parquet``; names are lower case as in the source.
+    such as ``raw/arrivals_%b%y.parquet``; what is filled in is lower case as in the
+    source, the rest stays as given.
     """
     start = first.year * 12 + first.month - 1
     end = last.year * 12 + last.month - 1
     months = [date(m // 12, m % 12 + 1, 1) for m in range(start, end + 1)]
     head, slash, name = template.rpartition("/")
-    return [head + slash + month.strftime(name).lower() for month in months]
+    return [
+        head + slash + re.sub("%.", lambda part: month.strftime(part[0]).lower(), name)
+        for month in months
+    ]
 
 
 def land(df: DataFrame, path: str) -> DataFrame:
