@@ -13,11 +13,11 @@ from quaymart.llm.common import read, stored
 
 #: No single statement: fingerprints, rounding and token ids are not SQL.
 ORACLE_SQL = None
-#: Near-duplicates are compared by runs of five words.  Texts that share 0.8 of them
-#: differ in about 10 of 64 bits.  Keys are sure to meet at 8 bits and mostly do beyond;
-#: what meets is linked at 60 of 320 bits.  45 keys of 13 bits suit tens of millions of
-#: texts; a larger corpus wants 11 blocks, 165 keys of 17 bits.
-SHINGLE, BITS, BLOCKS, CHECKS, MOST = 5, 8, 10, 4, 60
+#: Near-duplicates share 0.8 of their different runs of five words.  Such texts differ in
+#: about 10 of 64 bits.  Keys are sure to meet at 8 bits and mostly do beyond; what meets
+#: and differs in at most 80 of 320 bits is verified by the runs themselves.  45 keys of 13
+#: bits suit tens of millions of texts; a larger corpus wants 11 blocks, 165 keys of 17 bits.
+SHINGLE, BITS, BLOCKS, CHECKS, MOST, SIMILARITY = 5, 8, 10, 4, 80, 0.8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,13 @@ def line_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near-duplicates."""
     return simhash.one_of_each(
-        docs, shingle=SHINGLE, bits=BITS, blocks=BLOCKS, checks=CHECKS, most=MOST
+        docs,
+        shingle=SHINGLE,
+        bits=BITS,
+        blocks=BLOCKS,
+        checks=CHECKS,
+        most=MOST,
+        similarity=SIMILARITY,
     )
 
 

@@ -377,6 +377,35 @@ def test_gaps_are_rows(spark, tmp_path):
     ]
 
 
+def test_near_dedup_links_are_verified(spark):
+    """Texts below the similarity stay, whatever their fingerprints; a chain of real links goes."""
+    rng = random.Random(5)
+    bases = [[f"w{rng.randrange(5000)}" for _ in range(60)] for _ in range(40)]
+    rows = []
+    for i, words in enumerate(bases):
+        rows.append((10 * i, " ".join(words)))
+        for j, changed in enumerate(rng.sample(range(1, 13), 3)):
+            rows.append((10 * i + 1 + j, " ".join(words[:-changed] + [f"x{i}{j}{k}" for k in range(changed)])))
+        rows.append((10 * i + 5, " ".join(words).upper() + " \n"))
+    sets = {d: {tuple(t.lower().split()[k : k + 5]) for k in range(56)} for d, t in rows}
+    prints = {d: [plain_simhash(t, 5, word=w) for w in range(5)] for d, t in rows}
+    masks = [m % 2**64 for m in simhash.block_masks(8, 10)]
+
+    def nominated(a, b):
+        differ = [x ^ y for x, y in zip(prints[a], prints[b], strict=True)]
+        return sum(map(int.bit_count, differ)) <= 80 and any(not differ[0] & m for m in masks)
+
+    def similar(a, b):
+        return len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+
+    ids = [(d, d) for d, _ in rows]
+    root = plain_components(ids, lambda a, b: nominated(a, b) and similar(a, b))
+    assert set(root.values()) != set(plain_components(ids, nominated).values())
+    docs = documents(spark, [(d, t, "en", "a") for d, t in rows])
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
+
+
 def test_pipeline(spark):
     docs = table(spark, "documents")
     columns, seen = docs.columns, docs.count()
