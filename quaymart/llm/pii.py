@@ -4,7 +4,8 @@ What the formats find are seeds.  The words around seeds are lexical patterns; a
 pattern is trusted by the share of known instances among the different instances it
 surrounds, an unknown instance by the patterns around it.  Both are scored in turn
 over the graph of patterns and instances in Spark; instances of trusted patterns
-become known, and their places are reported with the seeds'.
+become known.  All places of what is known are reported, also those of a seed's value
+that the formats pass over, as in a longer run of digits.
 """
 
 from __future__ import annotations
@@ -189,7 +190,7 @@ def bootstrap(
     min_pattern: float = MIN_PATTERN,
     min_instance: float = MIN_INSTANCE,
 ) -> DataFrame:
-    """``kind, value`` of the unknown instances that trusted patterns discover.
+    """``kind, value`` of the seeds and of the instances that trusted patterns discover.
 
     ``found`` has ``kind, value, seed, pattern`` for each pattern around an instance.
     A pattern counts for a kind if it surrounds ``min_seeds`` or more known values and
@@ -230,8 +231,7 @@ def bootstrap(
         if n == n_known:
             break
         n_known = n
-    seeds = graph.where("seed").select("kind", "value").distinct()
-    return known.select("kind", "value").join(seeds, ["kind", "value"], "left_anti")
+    return known.select("kind", "value")
 
 
 def _spans(array: Column, names: Column) -> Column:

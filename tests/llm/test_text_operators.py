@@ -220,6 +220,21 @@ def test_pii_base_and_discovery(spark):
     assert found[101].spans == ""
 
 
+def test_places_of_known_values_that_the_formats_pass_over(spark):
+    card, other = "4111111111111111", "4012888888881881"
+    rows = [
+        (1, f"card {card} here", "en", "a"),
+        (2, f"cards {other} {card} here", "en", "a"),  # 32 digits to the format
+        (3, f"{card} 123 and 99 {card}", "en", "a"),  # with a number after and before it
+        (4, f"plain {card}", "en", "a"),
+    ]
+    found = {r.doc_id: r for r in pii.scan(documents(spark, rows)).collect()}
+    assert [found[i].n_card for i in (1, 2, 3, 4)] == [1, 0, 0, 1]
+    assert found[1].spans == "card:5:21" and found[4].spans == "card:6:22"
+    assert found[2].spans == "card:23:39"
+    assert found[3].spans == "card:0:16,card:28:44"
+
+
 def test_syncmers_depend_on_their_own_characters_only():
     text = "the quick brown fox jumps over the lazy dog, again and again and yet again"
     base = {text[p : p + syncmers.K] for p in syncmers.anchors(text)[1].tolist()}
