@@ -1,8 +1,9 @@
 """URL verdicts from rules, and from link-graph propagation where no rule fits.
 
 Hosts are nodes and hyperlinks between them edges.  Trust flows along the links from
-hosts that the rules allow, distrust against them from hosts that the rules block,
-both as personalised PageRank; a host with more distrust than trust is blocked.
+hosts with pages that the rules allow, distrust against them from hosts with pages that
+the rules block, both as personalised PageRank; a host with more distrust than trust is
+blocked.
 """
 
 from __future__ import annotations
@@ -147,21 +148,16 @@ def propagate(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def host_scores(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """``host, trust, distrust`` of every host that has a page or is linked to.
 
-    A host seeds trust if the rules allow more than half of its pages, and distrust if
-    they block more than half; its weight is that share.
+    Every host with a page under an allow rule seeds trust and every host with one under
+    a block rule distrust; its weight is the share of its pages that the rules so judge.
     """
     edges = stored(host_edges(pages), "host-edges")
     share = {
         kind: F.avg(F.coalesce((F.col("verdict") == kind).cast("double"), F.lit(0.0)))
         for kind in ("allow", "block")
     }
-    own = judged(pages, rules).groupBy("host").agg(
-        share["allow"].alias("allowed"), share["block"].alias("blocked")
-    )
-    seeds = own.select(
-        "host",
-        F.when(F.col("allowed") > 0.5, F.col("allowed")).otherwise(0.0).alias("good"),
-        F.when(F.col("blocked") > 0.5, F.col("blocked")).otherwise(0.0).alias("bad"),
+    seeds = judged(pages, rules).groupBy("host").agg(
+        share["allow"].alias("good"), share["block"].alias("bad")
     )
     linked = edges.select("dst").distinct().select(
         F.col("dst").alias("host"), F.lit(0.0).alias("good"), F.lit(0.0).alias("bad")

@@ -301,6 +301,19 @@ def test_url_verdicts(spark):
     assert url_filter.verdicts(pages(spark).where("page_id < 0")).collect() == []
 
 
+def test_every_host_with_a_ruled_page_is_a_seed(spark):
+    rows = [(i, f"http://a.example.com/x{i}", "") for i in range(9)]
+    rows += [(10, "http://a.example.com/de/1", '<a href="http://c.com/">c</a>')]
+    rows += [(20 + i, f"http://b.org/x{i}", '<a href="http://e.com/">e</a>') for i in range(3)]
+    rows += [(30, "http://b.org/fr/1", ""), (40, "http://c.com/", ""), (41, "http://e.com/", "")]
+    rows += [(42, "http://f.com/", '<a href="http://a.example.com/">a</a>')]
+    found = {r.page_id: r for r in url_filter.verdicts(pages(spark, rows)).collect()}
+    assert found[0].rule is None and found[0].verdict == "block" and found[0].distrust > 0
+    assert found[20].rule is None and found[20].verdict == "allow" and found[20].trust > 0
+    assert found[41].trust > 0 and found[41].verdict == "allow"
+    assert found[42].distrust > 0 and found[42].verdict == "block"
+
+
 def plain_archive(rows):
     last = {}
     for page_id, _, html in rows:
