@@ -1,8 +1,9 @@
 """WARC archives: a writer that stores equal payloads once, and a reader that salvages.
 
 Records are single gzip members.  The reader works through a file of any length in
-bounded memory; where a member or a record fails its checks, it looks for the next
-start of a member or version line, goes on there, and reports the bytes between.
+bounded memory, but for a member's content; where a member or a record fails its checks,
+it looks for the next start of a member or version line, also within what a member holds
+or held before its damage, goes on there, and reports the bytes between.
 """
 
 from __future__ import annotations
@@ -148,19 +149,29 @@ class Broken(Exception):
     """A member or record that fails its checks."""
 
 
-def _unpacked(source: Source) -> tuple[bytes, int]:
-    """The content of the member at the start and its length in the file."""
+def _unpacked(source: Source) -> tuple[bytes, int, str]:
+    """The content of the member at the start, its length in the file, and what broke it.
+
+    Of a member that is damaged or cut off, the content is what was unpacked before.
+    """
     unpack, content, used = zlib.decompressobj(31), bytearray(), 0
-    try:
-        while not unpack.eof:
-            if used == len(source.data) and not source.more():
-                raise Broken("cut off")
-            block = bytes(source.data[used : used + _READ])
+    while not unpack.eof:
+        if used == len(source.data) and not source.more():
+            return bytes(content), used, "cut off"
+        block = bytes(source.data[used : used + _READ])
+        before = unpack.copy()
+        try:
             content += unpack.decompress(block)
-            used += len(block) - len(unpack.unused_data)
-    except zlib.error as e:
-        raise Broken(str(e)) from e
-    return bytes(content), used
+        except zlib.error as e:
+            # A failed call gives nothing: byte by byte up to the one at fault.
+            for i in range(len(block)):
+                try:
+                    content += before.decompress(block[i : i + 1])
+                except zlib.error:
+                    return bytes(content), used + i, str(e)
+            return bytes(content), used + len(block), str(e)
+        used += len(block) - len(unpack.unused_data)
+    return bytes(content), used, ""
 
 
 _LENGTH = re.compile(rb"(?im)^content-length:[ \t]*(\d+)[ \t]*\r?$")
@@ -191,6 +202,46 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
     return fields, block, end
 
 
+def _inside(
+    content: bytes, sound: bool
+) -> Iterator[tuple[int, int, dict[str, str], bytes | None]]:
+    """``start, length, fields, block`` of what a member holds; a gap has no block.
+
+    After a record that fails its checks the next version line at the start of a line
+    is looked for.  In a member that is not ``sound`` a record must state its digest,
+    as nothing else tells whether it was damaged.
+    """
+    at, gap, reason = 0, None, ""
+    while at < len(content):
+        try:
+            head = content.find(b"\r\n\r\n", at)
+            size = _LENGTH.search(content, at, head) if head >= 0 else None
+            if not content.startswith(b"WARC/1.", at):
+                raise Broken("no record")
+            if not size:
+                raise Broken("no length" if head >= 0 else "cut off")
+            fields, block, n = parse(content[at : head + 4 + int(size[1]) + 4])
+            if not sound and "warc-block-digest" not in fields:
+                raise Broken("not checked")
+        except Broken as e:
+            if not _NOT_BLANK.search(content, at):
+                break
+            gap, reason = (at, str(e)) if gap is None else (gap, reason)
+            found = content.find(b"\nWARC/1.", at)
+            at = found + 1 if found >= 0 else len(content)
+            continue
+        if gap is not None:
+            yield gap, at - gap, {"reason": reason}, None
+            gap = None
+        yield at, n, fields, block
+        at += n
+    if gap is not None:
+        yield gap, len(content) - gap, {"reason": reason}, None
+
+
+_NOT_BLANK = re.compile(rb"[^\r\n]")
+
+
 def _plain(source: Source) -> tuple[dict[str, str], bytes, int]:
     """The record of an unpacked file at the start."""
     while (head := source.data.find(b"\r\n\r\n")) < 0 and len(source.data) < _READ:
@@ -225,42 +276,60 @@ def _next_start(source: Source) -> int:
 
 
 def read_stream(stream: BinaryIO) -> Iterator[tuple[str, int, int, dict[str, str], bytes]]:
-    """``("record", offset, length, fields, block)`` and ``("gap", offset, length, …)``."""
-    source, gap, reason = Source(stream), None, ""
+    """``("record", offset, length, fields, block)`` and ``("gap", offset, length, …)``.
+
+    Records of one member have its offset and length.  A gap within a member whose
+    packing is sound too, with its ``inner_offset`` and ``inner_length`` in the content
+    among its fields.  A damaged member is a gap after the records before the damage; its
+    ``inner_offset`` is the end of the last one, if there is one.
+    """
+    source, gap, reason, inner = Source(stream), None, "", {}
     while source.data or source.more():
         while len(source.data) < 10 and source.more():
             pass
-        records, used = [], 0
+        items, used, broken = [], 0, ""
         try:
             if source.data.startswith(MAGIC):
-                content, used = _unpacked(source)
-                while content.strip(b"\r\n"):
-                    fields, block, n = parse(content)
-                    records.append((fields, block))
-                    content = content[n:]
+                content, used, broken = _unpacked(source)
+                items = list(_inside(content, broken in ("", "cut off")))
+                if broken:
+                    # What follows the last record belongs to the gap of the member.
+                    while items and items[-1][3] is None:
+                        items.pop()
+                elif len(items) == 1 and items[0][3] is None and not items[0][0]:
+                    raise Broken(items[0][2]["reason"])
             elif source.data.startswith(b"WARC/1."):
                 fields, block, used = _plain(source)
-                records.append((fields, block))
+                items.append((0, used, fields, block))
             else:
                 raise Broken("no record")
         except Broken as e:
-            records, reason = [], reason or str(e)
-            gap = source.at if gap is None else gap
-            source.drop(_next_start(source))
+            items, broken = [], str(e)
+        if gap is not None and (items or not broken):
+            yield "gap", gap, source.at - gap, {"reason": reason, **inner}, b""
+            gap, reason, inner = None, "", {}
+        for start, n, fields, block in items:
+            if block is None:
+                fields = fields | {"inner_offset": start, "inner_length": n}
+                yield "gap", source.at, used, fields, b""
+            else:
+                yield "record", source.at, used, fields, block
+        if not broken:
+            source.drop(used)
             continue
-        if gap is not None:
-            yield "gap", gap, source.at - gap, {"reason": reason}, b""
-            gap, reason = None, ""
-        for fields, block in records:
-            yield "record", source.at, used, fields, block
-        source.drop(used)
+        reason = reason or broken
+        gap = source.at if gap is None else gap
+        if items:
+            inner = {"inner_offset": items[-1][0] + items[-1][1]}
+        source.drop(_next_start(source))
     if gap is not None:
-        yield "gap", gap, source.at - gap, {"reason": reason}, b""
+        yield "gap", gap, source.at - gap, {"reason": reason, **inner}, b""
 
 
 RECORDS = (
     "file string, kind string, offset long, length long, reason string, record_type string, "
-    "page_id long, refers_to long, payload_bytes long, payload_digest string, payload binary"
+    "page_id long, refers_to long, payload_bytes long, payload_digest string, payload binary, "
+    "inner_offset long, inner_length long"
 )
 
 
@@ -273,7 +342,7 @@ def read(files: DataFrame, payloads: bool = True) -> DataFrame:
     """Records and gaps of the archives that column ``file`` names, one task a file.
 
     A record whose payload does not have its stated digest is a gap too.  A gap has
-    ``kind`` "gap", its offset, length and reason.
+    ``kind`` "gap", its offset, length and reason, and its place within a member if known.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,6 +377,8 @@ _SCHEMA = pa.schema(
         ("payload_bytes", pa.int64()),
         ("payload_digest", pa.string()),
         ("payload", pa.binary()),
+        ("inner_offset", pa.int64()),
+        ("inner_length", pa.int64()),
     ]
 )
 
@@ -320,7 +391,7 @@ def _shown(file: str, item: tuple, payloads: bool) -> dict:
     kind, offset, length, fields, block = item
     row = dict.fromkeys(_SCHEMA.names) | {"file": file, "offset": offset, "length": length}
     if kind == "gap":
-        return row | {"kind": "gap", "reason": fields["reason"]}
+        return row | {"kind": "gap"} | fields
     payload = block.partition(b"\r\n\r\n")[2]
     stated = fields.get("warc-payload-digest", "").removeprefix("sha1:")
     revisit = fields.get("warc-type") == "revisit"
@@ -339,10 +410,11 @@ def _shown(file: str, item: tuple, payloads: bool) -> dict:
 
 
 def archived(pages: DataFrame) -> DataFrame:
-    """Pages written to archives and read back, one row a record."""
+    """Pages written to archives and read back, one row a record; a gap is an error."""
     files = write(pages, staging_path(pages.sparkSession, "warc"))
+    lost = F.raise_error(F.concat_ws(" ", F.lit("gap in archive:"), "file", "offset", "reason"))
     return (
         read(files, payloads=False)
-        .where(F.col("kind") == "record")
+        .where(F.when(F.col("kind") == "record", True).otherwise(lost.cast("boolean")))
         .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     )

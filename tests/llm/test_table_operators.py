@@ -376,6 +376,27 @@ def test_salvage_of_plain_archives():
     assert read_all(whole[0] + wrong + whole[2])[0] == [0, 2]
 
 
+def test_salvage_within_members():
+    whole = records(5)
+    bad = whole[2].replace(b"payload 2", b"payload X", 1)
+    data = warc.member(b"".join([*whole[:2], bad, *whole[3:]]))
+    found = list(warc.read_stream(io.BytesIO(data + warc.member(whole[0]))))
+    assert read_all(data)[0] == [0, 1, 3, 4]
+    (gap,) = [f for f in found if f[0] == "gap"]
+    start = len(whole[0]) + len(whole[1])
+    assert gap[1:4] == (
+        0, len(data), {"reason": "bad digest", "inner_offset": start, "inner_length": len(bad)}
+    )
+    rng = random.Random(2)
+    many = [warc.record(i, "http://x", rng.randbytes(2000), None, False) for i in range(20)]
+    one = warc.member(b"".join(many))
+    cut = one[: len(one) // 2]
+    ids, gaps = read_all(cut)
+    assert 8 <= len(ids) <= 10 and ids == list(range(len(ids))) and gaps == [(0, len(cut))]
+    crc = one[:-6] + bytes([one[-6] ^ 1]) + one[-5:]
+    assert read_all(crc)[0] == list(range(20))
+
+
 def test_gaps_are_rows(spark, tmp_path):
     members = [warc.member(r) for r in records(3)]
     path = tmp_path / "broken.warc.gz"
