@@ -1,6 +1,8 @@
 """License scan: phrases, and an exact set-similarity join with license templates.
 
-A text block is a line.  It matches a template if it holds at least a threshold
+A text block is a line, or a window of lines that follow each other without a blank one,
+long enough for the longest template wherever it begins in the first line; so a license
+broken over lines is met too.  A block matches a template if it holds at least a threshold
 share of the template's different words.  Words are ordered by how many blocks of
 the whole corpus hold them, rarest first.  A block that matches must share a word
 with the template's prefix (prefix filter), have words enough (length filter), and
@@ -105,6 +107,33 @@ def _needed(size: int, threshold: float) -> int:
     return max(1, math.ceil(round(threshold * size, 9)))
 
 
+def windows(
+    lines: list[tuple[int, set[str], set[int]]], longest: int, least: int
+) -> list[dict]:
+    """Blocks of two or more lines, given by word count, words and numbers of known words.
+
+    From each line on as many as hold any ``longest`` words in a row that begin in it;
+    what lies within the window before is left out.
+    """
+    blocks, end, total = [], 0, 0  # words of the lines between a first one and the end
+    for first in range(len(lines) - 1):
+        if end <= first:
+            end, total = first + 1, 0
+        else:
+            total -= lines[first][0] if first else 0
+        before = end
+        while end < len(lines) and total < longest - 1:
+            total += lines[end][0]
+            end += 1
+        if first and end == before or end - first < 2:
+            continue
+        known = set().union(*(x[2] for x in lines[first:end]))
+        if known and len(known) >= least:
+            size = len(set().union(*(x[1] for x in lines[first:end])))
+            blocks.append({"words": list(known), "size": size})
+    return blocks
+
+
 _SCANNED = (
     "doc_id long, text_hash long, n_words long, n_base long, first_word long, last_word long, "
     "base array<string>, blocks array<struct<words: array<int>, size: int>>, "
@@ -124,6 +153,7 @@ def scanned(
     sets = template_words(templates)
     number = {w: i for i, w in enumerate(sorted({w for s in sets.values() for w in s}))}
     least = min((_needed(len(s), threshold) for s in sets.values()), default=0)
+    longest = max((len(words(text)) for _, text in templates.values()), default=0)
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
@@ -141,9 +171,13 @@ def scanned(
     def scan(doc_id: int | None, key: int, text: str, counts: Counter) -> tuple:
         total, places, blocks = 0, [], []
         carried: list[str] = []  # phrases may run over a line break
+        paragraph: list[tuple[int, set[str], set[int]]] = []
         for line in text.split("\n"):
             tokens = words(line)
             if not tokens:
+                if not line.strip():
+                    blocks += windows(paragraph, longest, least)
+                    paragraph = []
                 continue
             found = phrase_places(carried + tokens)
             places += [
@@ -158,6 +192,8 @@ def scanned(
             counts.update(known)
             if number and len(known) >= least:
                 blocks.append({"words": known, "size": len(distinct)})
+            paragraph.append((len(tokens), distinct, set(known)))
+        blocks += windows(paragraph, longest, least)
         starts = [at for at, _ in places]
         labels = sorted({label for _, label in places})
         return (

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import duckdb
@@ -166,6 +167,21 @@ def test_licenses(spark):
     assert any(r[6] == "cc-by-nc" for r in found)
 
 
+def test_licenses_broken_over_lines(spark):
+    rows = []
+    for i, (_, template) in enumerate(licenses.TEMPLATES.values()):
+        for j, width in enumerate((12, 30, 72)):
+            lines = textwrap.wrap("some words first " + template + " and words after", width, break_long_words=False)
+            rows.append((100 * i + j, "x\n\n# " + "\n# ".join(lines) + "\n\ny", "en", "a"))
+        rows.append((100 * i + 50, template.replace(" ", "\n\n"), "en", "a"))
+    found = {r.doc_id: r for r in licenses.scan(documents(spark, rows)).collect()}
+    for i, (label, template) in enumerate(licenses.TEMPLATES.values()):
+        for j in range(3):
+            assert label in found[100 * i + j].labels.split(",")
+            assert found[100 * i + j].score == 1.0
+        assert found[100 * i + 50].score == 0.0
+
+
 def plain_spans(text):
     """The formats as they are stated, by ordinary searches."""
     found = [
