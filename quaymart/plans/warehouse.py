@@ -18,7 +18,6 @@ from quaymart import schemas as S
 from quaymart.operators import enforce, reconcile, table_checks
 from quaymart.plans import arrivals, demographics, ports, temperature
 from quaymart.sources import (
-    batch_name,
     land,
     load_table,
     publish,
@@ -28,6 +27,7 @@ from quaymart.sources import (
     read_lookup,
     read_parquet,
     register_tables,
+    staged_names,
 )
 
 
@@ -128,7 +128,7 @@ def build_arrivals(
     cleaned = read_parquet(spark, paths.arrivals)
     if batches:
         # A row a month, however many arrivals there are.
-        touched = cleaned.where(F.col("batch").isin([batch_name(p) for p in batches]))
+        touched = cleaned.where(F.col("batch").isin(staged_names(spark, batches)))
         months = {tuple(r) for r in touched.select("year", "month").distinct().collect()}
         if first is not None or last is not None:
             ranged = arrivals.within(cleaned, first and first.replace(day=1), _month_end(last))

@@ -15,6 +15,7 @@ from quaymart.sources.readers import (
     read_csv,
     read_lookup,
     read_parquet,
+    staged_names,
 )
 from quaymart.sources.staging import staging_path
 
@@ -30,6 +31,7 @@ __all__ = [
     "read_csv",
     "read_lookup",
     "read_parquet",
+    "staged_names",
     "register_tables",
     "staging_path",
 ]

@@ -61,15 +61,28 @@ def batch_name(path: str) -> str:
     return f"b-{sha256(path.rstrip('/').encode()).hexdigest()}"
 
 
+def staged_names(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The names that rows of these paths may have: the path's own and those of its files."""
+    files = spark.read.format("binaryFile").load(list(paths)).select(
+        F.concat(F.lit("b-"), F.sha2(F.input_file_name(), 256)).alias("name")
+    )
+    return sorted({*map(batch_name, paths), *(r["name"] for r in files.distinct().collect())})
+
+
 def _batch_of_file(paths: Sequence[str]) -> Column:
     """The name of the batch that the file at hand belongs to; a glob's files are one each."""
     file = F.input_file_name()
     # The longest path first: a batch may lie below another one's folder.
+    def within(path: str) -> Column:
+        parts = urlsplit(path)
+        own = quote(parts.path.rstrip("/")) + "/"
+        found = F.concat(file, F.lit("/")).contains(own)
+        if parts.netloc:  # the same path in another bucket or host is another batch
+            return F.concat(file, F.lit("/")).startswith(f"{parts.scheme}://{parts.netloc}{own}")
+        return found
+
     names = [
-        F.when(
-            F.concat(file, F.lit("/")).contains(quote(urlsplit(p).path.rstrip("/")) + "/"),
-            F.lit(batch_name(p)),
-        )
+        F.when(within(p), F.lit(batch_name(p)))
         for p in sorted(paths, key=len, reverse=True)
     ]
     return F.coalesce(*names, F.concat(F.lit("b-"), F.sha2(file, 256)))

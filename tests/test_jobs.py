@@ -198,6 +198,19 @@ def test_late_rows_join_their_month(spark, inputs, built, tmp_path):
     }
 
 
+def test_batches_of_a_glob_are_refreshed(spark, inputs, built, tmp_path):
+    paths = warehouse.Paths(f"{tmp_path}/stage", f"{tmp_path}/out")
+    raw = spark.read.parquet(*inputs["batches"])
+    land(raw.where("arrdate < 20500"), f"{tmp_path}/old")
+    land(raw.where("arrdate >= 20500"), f"{tmp_path}/new a")
+    warehouse.prepare_arrivals(spark, [f"{tmp_path}/old"], inputs, paths)
+    warehouse.build_arrivals(spark, paths)
+    new = [f"{tmp_path}/new*/*.parquet"]
+    warehouse.prepare_arrivals(spark, new, inputs, paths, refresh="batches")
+    warehouse.build_arrivals(spark, paths, batches=new)
+    warehouse.check_arrivals(spark, paths)
+
+
 def test_labels_without_files(spark):
     assert rows(arrivals.mode_labels(spark), "i94mode_label") == [
         ("Air",),
