@@ -2,6 +2,11 @@
 
 Quality rules, removal of boilerplate lines, near-duplicates, mixing of sources to
 target weights, byte-level BPE.  A stage takes all that the one before kept.
+
+Null and empty texts fail the quality rules, very long ones are judged whole like any
+other, repeated rows are one document from the near-duplicates on (equal ties go to the
+smallest id), an empty table stays empty through all stages, and extra columns are handed
+on under their own names whatever these are.
 """
 
 from __future__ import annotations
@@ -13,11 +18,6 @@ from quaymart.llm.common import read, stored
 
 #: No single statement: fingerprints, rounding and token ids are not SQL.
 ORACLE_SQL = None
-#: Near-duplicates share 0.8 of their different runs of five words.  Such texts differ in
-#: about 10 of 64 bits.  Keys are sure to meet at 8 bits and mostly do beyond; what meets
-#: and differs in at most 80 of 320 bits is verified by the runs themselves.  45 keys of 13
-#: bits suit tens of millions of texts; a larger corpus wants 11 blocks, 165 keys of 17 bits.
-SHINGLE, BITS, BLOCKS, CHECKS, MOST, SIMILARITY = 5, 8, 10, 4, 80, 0.8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,16 +31,8 @@ def line_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates."""
-    return simhash.one_of_each(
-        docs,
-        shingle=SHINGLE,
-        bits=BITS,
-        blocks=BLOCKS,
-        checks=CHECKS,
-        most=MOST,
-        similarity=SIMILARITY,
-    )
+    """The first document of each group whose fingerprints are linked, as in ``op7_simhash``."""
+    return simhash.one_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
