@@ -8,9 +8,6 @@ a stranger, so pairs that share a key are linked beyond ``bits`` too.  Texts wit
 fingerprint are one node from the start.  Within a block only a spanning forest of
 the links is passed on, and crowded blocks are cut into pieces that are compared two
 by two, so no task gets an unbounded group and no link is lost.
-
-With a ``similarity`` fingerprints only nominate: a pair is linked if the Jaccard
-similarity of the two sets of shingles, counted exactly, reaches it.
 """
 
 from __future__ import annotations
@@ -25,13 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaymart.llm.common import (
-    ascii_lower,
     quoted,
     slices,
     stored,
     text_key,
     text_or_empty,
-    word_array,
 )
 from quaymart.llm.components import components
 
@@ -128,11 +123,6 @@ def fingerprints(
     return rows.mapInArrow(run, schema)
 
 
-def words_key(column: str) -> Column:
-    """64-bit hash of a text's words, A-Z in lower case."""
-    return F.xxhash64(F.array_join(word_array(ascii_lower(text_or_empty(column))), " "))
-
-
 def block_masks(bits: int = BITS, blocks: int = BLOCKS) -> list[int]:
     """A mask for each choice of ``blocks - bits`` blocks, as signed numbers."""
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
@@ -151,14 +141,9 @@ def linked(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     return distance(a, b).sum(axis=-1, dtype=np.int64) <= most
 
 
-def forest(
-    prints: np.ndarray, most: int, names: np.ndarray | None = None
-) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links among rows of fingerprint and check.
-
-    Rows are named by their fingerprint if there are no ``names``.
-    """
-    names = prints[:, 0] if names is None else names
+def forest(prints: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the links among rows of fingerprint and check."""
+    names = prints[:, 0]
     edges, left = [], np.arange(len(prints))
     while len(left):
         frontier, left = [left[0]], left[1:]
@@ -173,9 +158,7 @@ def forest(
     return edges
 
 
-def group_edges(
-    prints: np.ndarray, sizes: np.ndarray, most: int, names: np.ndarray | None = None
-) -> list[tuple[int, int]]:
+def group_edges(prints: np.ndarray, sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Edges that connect what is linked in each of the groups that stand in a row.
 
     Narrow groups are compared all at once, first with the next row, then with the
@@ -196,29 +179,14 @@ def group_edges(
     v = np.concatenate([*right, np.empty(0, np.int64)]).astype(np.int64)
     many = (np.bincount(group[u], minlength=len(sizes)) > sizes) | (sizes > _NARROW)
     few = ~many[group[u]]
-    names = prints[:, 0] if names is None else names
+    names = prints[:, 0]
     edges = list(zip(names[u[few]].tolist(), names[v[few]].tolist(), strict=True))
     ends = np.cumsum(sizes)
     for end, size in zip(ends[many], sizes[many], strict=True):
-        edges += forest(prints[end - size : end], most, names[end - size : end])
+        edges += forest(prints[end - size : end], most)
     return edges
 
 
-def apart(
-    prints: np.ndarray, sizes: np.ndarray, most: int, names: np.ndarray, roots: np.ndarray
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs in a group that fingerprints link and that have different roots."""
-    for end, size in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True):
-        start = end - size
-        if (roots[start:end] == roots[start]).all():
-            continue
-        for i in range(start, end - 1):
-            others = np.flatnonzero(roots[i + 1 : end] != roots[i]) + i + 1
-            others = others[linked(prints[others], prints[i], most)]
-            if len(others):
-                yield np.repeat(names[i], len(others)), names[others]
-
-
 def _links(most: int, checks: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by group; a group that runs on is carried to the next batch."""
@@ -304,197 +272,6 @@ def links(
     )
 
 
-def _nominated(most: int, checks: int, rooted: bool):
-    """Pairs of nodes in sorted groups ``key, piece, node, fingerprint, root, check``.
-
-    Without roots they connect what fingerprints link, with roots they are all the
-    linked pairs of different roots.
-    """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = np.empty((0, 5 + checks), np.int64)
-
-        def changes(rows: np.ndarray) -> np.ndarray:
-            return np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
-
-        def batch_of(u, v) -> pa.RecordBatch:
-            u, v = np.asarray(u, np.int64), np.asarray(v, np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"]
-            )
-
-        def of(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            sizes = np.diff(np.concatenate([[0], changes(rows), [len(rows)]]))
-            names, prints = rows[:, 2], rows[:, [3, *range(5, 5 + checks)]]
-            if not rooted:
-                found = group_edges(prints, sizes, most, names)
-                if found:
-                    yield batch_of(*zip(*found, strict=True))
-                return
-            held, n = [], 0
-            for pair in apart(prints, sizes, most, names, rows[:, 4]):
-                held.append(pair)
-                n += len(pair[0])
-                if n > 1 << 16:
-                    yield batch_of(*map(np.concatenate, zip(*held, strict=True)))
-                    held, n = [], 0
-            if held:
-                yield batch_of(*map(np.concatenate, zip(*held, strict=True)))
-
-        for batch in batches:
-            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            check = batch.column(5).flatten().to_numpy(zero_copy_only=False)
-            check = check.reshape(batch.num_rows, checks)
-            kept = np.concatenate([kept, np.column_stack([*new, check])])
-            found = changes(kept)
-            if len(found):
-                yield from of(kept[: found[-1]])
-                kept = kept[found[-1] :]
-        if len(kept):
-            yield from of(kept)
-
-    return run
-
-
-def shingle_sets(docs: DataFrame, text_column: str, shingle: int) -> DataFrame:
-    """``node, shingles`` of every row: the hash of its words and its different shingles."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 200):
-            sets = [
-                np.unique(shingle_hashes(t.as_py(), shingle)).view("<i8")
-                for t in batch.column(1)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]
-            )
-
-    rows = docs.select("node", text_or_empty(text_column).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "node long, shingles array<long>")
-
-
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Those of the pairs ``u, v`` whose sets of shingles reach the Jaccard similarity.
-
-    ``texts`` has a row ``node, text`` for each node.
-    """
-    asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = stored(shingle_sets(texts.join(asked, "node", "left_semi"), "text", shingle), "shingles")
-    one = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-    other = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - F.col("both")
-    return (
-        pairs.join(one, "u")
-        .join(other, "v")
-        .select("u", "v", "a", "b", both.alias("both"))
-        .where(F.col("both") >= F.round(F.lit(similarity) * union, 9))
-        .select("u", "v")
-    )
-
-
-def similar_documents(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    shingle: int = SHINGLE,
-    bits: int = BITS,
-    blocks: int = BLOCKS,
-    checks: int = 0,
-    most: int | None = None,
-    similarity: float = 0.8,
-    piece: int = PIECE,
-) -> DataFrame:
-    """As :func:`near_duplicates`, over links that the shingles themselves confirm.
-
-    A node is a text's words, so texts alike but for case and white space are one.
-    What shares a key and differs in ``most`` bits or fewer is a candidate.  The first
-    candidates connect each block; once those that hold are merged, every other
-    candidate whose two ends are still apart is verified too, so the components are
-    those of all candidates that reach the ``similarity``.
-    """
-    most = bits if most is None else most
-    texts = docs.select(
-        F.col(quoted(id_column)).cast("long").alias("doc_id"),
-        text_or_empty(text_column).alias("text"),
-    ).withColumn("node", words_key("text"))
-    prints = fingerprints(texts, "doc_id", "text", shingle, checks, "node")
-    prints = stored(prints, "fingerprints")
-    row = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash")
-    nodes = prints.groupBy("node").agg(
-        F.min(row).alias("first"),
-        F.min("fingerprint").alias("fingerprint"),
-        F.min("check").alias("check"),
-    )
-    nodes = stored(nodes, "nodes")
-    own = nodes.select("node", "first.doc_id", "first.text_hash")
-    same = F.col("t.doc_id").eqNullSafe(F.col("o.doc_id")) & (
-        text_key(F.col("t.text")) == F.col("o.text_hash")
-    )
-    # A text a node; a row may stand there more than once.
-    once = (
-        texts.alias("t")
-        .join(own.alias("o"), (F.col("t.node") == F.col("o.node")) & same)
-        .select("t.node", "t.text")
-    )
-
-    masks = block_masks(bits, blocks)
-    chosen = (
-        F.xxhash64(F.col("fingerprint").bitwiseAND(F.lit(m)), F.lit(i))
-        for i, m in enumerate(masks)
-    )
-    keys = stored(
-        nodes.select(F.explode(F.array(*chosen)).alias("key"), "node", "fingerprint", "check"),
-        "blocks",
-    )
-    # A key of one node has no pair.
-    met = stored(
-        keys.groupBy("key")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > 1)
-        .select("key", F.ceil(F.col("n") / piece).cast("long").alias("pieces")),
-        "met",
-    )
-    place = F.pmod(F.xxhash64("node", F.lit("piece")), F.col("pieces"))
-    placed = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1),
-        lambda other: F.least(place, other) * F.col("pieces") + F.greatest(place, other),
-    )
-
-    def candidates(roots: DataFrame | None) -> DataFrame:
-        rows = keys.join(met, "key")
-        if roots is None:
-            rows = rows.withColumn("root", F.col("node"))
-        else:
-            rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        return (
-            rows.select(
-                "key", F.explode(placed).alias("piece"), "node", "fingerprint", "root", "check"
-            )
-            .repartition("key", "piece")
-            .sortWithinPartitions("key", "piece", "node")
-            .mapInArrow(_nominated(most, checks, roots is not None), "u long, v long")
-            .distinct()
-        )
-
-    first = stored(candidates(None), "candidates")
-    held = stored(verified(first, once, shingle, similarity), "verified")
-    rest = candidates(components(held)).join(first, ["u", "v"], "left_anti")
-    rest = stored(rest, "candidates")
-    if not rest.isEmpty():
-        more = verified(rest, once, shingle, similarity)
-        held = stored(held.unionByName(more), "verified")
-    roots = components(held)
-    grouped = nodes.join(roots, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"), "first"
-    )
-    grouped = stored(grouped, "placed")
-    least = grouped.groupBy("root").agg(F.min("first").alias("first"))
-    return prints.join(
-        grouped.select("node", "root").join(least, "root").drop("root"), "node"
-    ).select("doc_id", "text_hash", "fingerprint", "first")
-
-
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -546,12 +323,11 @@ def one_of_each(
     blocks: int = BLOCKS,
     checks: int = 0,
     most: int | None = None,
-    similarity: float | None = None,
 ) -> DataFrame:
-    """The first document of each component, with all its columns; repeats of a row go.
+    """The first document of each component of :func:`near_duplicates`, with all its columns.
 
-    Links are those of :func:`similar_documents` if a ``similarity`` is given, else
-    those of the fingerprints alone.
+    Of repeated rows and of ties in ``doc_id`` and text one row stays.  Texts without words
+    are one component; an empty table gives an empty one.
     """
     rows = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row"))
     rows = rows.select(
@@ -559,11 +335,8 @@ def one_of_each(
         text_key(F.col("row.text")).alias("text_hash"),
         "row",
     )
-    rule = {"shingle": shingle, "bits": bits, "blocks": blocks, "checks": checks, "most": most}
-    found = (
-        near_duplicates(docs, **rule)
-        if similarity is None
-        else similar_documents(docs, similarity=similarity, **rule)
+    found = near_duplicates(
+        docs, shingle=shingle, bits=bits, blocks=blocks, checks=checks, most=most
     )
     kept = (
         found.where(

@@ -145,6 +145,9 @@ class Source:
         self.at += n
 
 
+_SLICE = 1 << 10
+
+
 class Broken(Exception):
     """A member or record that fails its checks."""
 
@@ -158,7 +161,8 @@ def _unpacked(source: Source) -> tuple[bytes, int, str]:
     while not unpack.eof:
         if used == len(source.data) and not source.more():
             return bytes(content), used, "cut off"
-        block = bytes(source.data[used : used + _READ])
+        # Small slices first: most false starts of a member end within a few bytes.
+        block = bytes(source.data[used : used + min(max(used, _SLICE), _READ)])
         before = unpack.copy()
         try:
             content += unpack.decompress(block)
@@ -208,8 +212,8 @@ def _inside(
     """``start, length, fields, block`` of what a member holds; a gap has no block.
 
     After a record that fails its checks the next version line at the start of a line
-    is looked for.  In a member that is not ``sound`` a record must state its digest,
-    as nothing else tells whether it was damaged.
+    is looked for.  In a member that is not ``sound``, cut off ones among them, a record
+    must state its digest, as nothing else tells whether it was damaged.
     """
     at, gap, reason = 0, None, ""
     while at < len(content):
@@ -284,6 +288,8 @@ def read_stream(stream: BinaryIO) -> Iterator[tuple[str, int, int, dict[str, str
     ``inner_offset`` is the end of the last one, if there is one.
     """
     source, gap, reason, inner = Source(stream), None, "", {}
+    packed = False  # whether the gap at hand began with a member
+    given: set[bytes] = set()  # what damaged members gave, which may also stand in raw bytes
     while source.data or source.more():
         while len(source.data) < 10 and source.more():
             pass
@@ -291,15 +297,21 @@ def read_stream(stream: BinaryIO) -> Iterator[tuple[str, int, int, dict[str, str
         try:
             if source.data.startswith(MAGIC):
                 content, used, broken = _unpacked(source)
-                items = list(_inside(content, broken in ("", "cut off")))
+                items = list(_inside(content, not broken))
                 if broken:
+                    own = [hashlib.sha1(content[a : a + n]).digest() for a, n, _, b in items if b is not None]
                     # What follows the last record belongs to the gap of the member.
                     while items and items[-1][3] is None:
                         items.pop()
+                    given.update(own)
                 elif len(items) == 1 and items[0][3] is None and not items[0][0]:
                     raise Broken(items[0][2]["reason"])
             elif source.data.startswith(b"WARC/1."):
                 fields, block, used = _plain(source)
+                if hashlib.sha1(bytes(source.data[:used])).digest() in given:
+                    raise Broken("already read")
+                if packed and "warc-block-digest" not in fields:
+                    raise Broken("not checked")  # perhaps the raw bytes of a damaged member
                 items.append((0, used, fields, block))
             else:
                 raise Broken("no record")
@@ -307,7 +319,7 @@ def read_stream(stream: BinaryIO) -> Iterator[tuple[str, int, int, dict[str, str
             items, broken = [], str(e)
         if gap is not None and (items or not broken):
             yield "gap", gap, source.at - gap, {"reason": reason, **inner}, b""
-            gap, reason, inner = None, "", {}
+            gap, reason, inner, packed = None, "", {}, False
         for start, n, fields, block in items:
             if block is None:
                 fields = fields | {"inner_offset": start, "inner_length": n}
@@ -318,6 +330,7 @@ def read_stream(stream: BinaryIO) -> Iterator[tuple[str, int, int, dict[str, str
             source.drop(used)
             continue
         reason = reason or broken
+        packed = packed or source.data.startswith(MAGIC)
         gap = source.at if gap is None else gap
         if items:
             inner = {"inner_offset": items[-1][0] + items[-1][1]}
@@ -339,7 +352,10 @@ def _id(value: str | None) -> int | None:
 
 
 def read(files: DataFrame, payloads: bool = True) -> DataFrame:
-    """Records and gaps of the archives that column ``file`` names, one task a file.
+    """Records and gaps of the archives that column ``file`` names.
+
+    The files are dealt by name over twice as many tasks as there are files, a number that
+    adaptive execution leaves alone; an archive is read by one task.
 
     A record whose payload does not have its stated digest is a gap too.  A gap has
     ``kind`` "gap", its offset, length and reason, and its place within a member if known.
@@ -360,7 +376,7 @@ def read(files: DataFrame, payloads: bool = True) -> DataFrame:
                     if rows:
                         yield _batch(rows)
 
-    spread = files.select("file").repartition(F.col("file"))
+    spread = files.select("file").repartition(max(1, 2 * files.count()), F.col("file"))
     return spread.mapInArrow(run, RECORDS)
 
 
@@ -410,7 +426,13 @@ def _shown(file: str, item: tuple, payloads: bool) -> dict:
 
 
 def archived(pages: DataFrame) -> DataFrame:
-    """Pages written to archives and read back, one row a record; a gap is an error."""
+    """Pages written to archives and read back, one row a record; a gap is an error.
+
+    Null and empty html are the same empty payload, a very long one is one record like any
+    other.  Of equal payloads the largest ``page_id`` is the response, rows that repeat it are
+    responses too, and a null id is smaller than any other.  An empty table gives no records;
+    columns other than ``page_id, url, html`` are ignored, whatever their names.
+    """
     files = write(pages, staging_path(pages.sparkSession, "warc"))
     lost = F.raise_error(F.concat_ws(" ", F.lit("gap in archive:"), "file", "offset", "reason"))
     return (

@@ -4,11 +4,14 @@ import gzip
 import io
 import random
 import re
+import time
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quaymart.llm import components, mixing, simhash, url_filter, warc
@@ -16,21 +19,13 @@ from quaymart.llm.common import show_package
 from tests.llm.helpers import TEXTS, documents, empty, table, values
 
 
-def plain_remix(h, word):
-    h ^= word * 0x9E3779B97F4A7C15 % 2**64
-    h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 % 2**64
-    h = (h ^ h >> 27) * 0x94D049BB133111EB % 2**64
-    return h ^ h >> 31
-
-
-def plain_simhash(text, k=4, seed=42, word=0):
+def plain_simhash(text, k=4, seed=42):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^ \t-\r]+", lower)
     if not words:
         return 0
     n = max(1, len(words) - k + 1)
     hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + k]).encode(), seed) for i in range(n)]
-    hashes = [plain_remix(h, word) for h in hashes] if word else hashes
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
@@ -121,27 +116,24 @@ def test_one_of_each(spark):
 
 
 def test_near_dedup_stage(spark):
-    docs = table(spark, "documents").unionByName(
-        table(spark, "documents").selectExpr(
-            "doc_id + 1000 AS doc_id",
-            "concat(text, ' and five more words here') AS text",
-            "lang",
-            "source",
-            "n_chars",
-        )
+    """One document of each component of the 4-bit links over 4-word shingles, no other rule."""
+    rng = random.Random(5)
+    chains = []
+    for i in range(20):  # one word more at a time: ends of a chain are linked through its middle
+        words = [f"w{rng.randrange(5000)}" for _ in range(120)]
+        chains += [(2000 + 10 * i + j, " ".join(words[: 120 - j])) for j in range(4)]
+    docs = documents(spark, [(d, t, "en", "a") for d, t in chains]).unionByName(
+        table(spark, "documents"), allowMissingColumns=True
     )
+    docs = docs.unionByName(docs.withColumn("doc_id", docs.doc_id + 10_000))
     rows = docs.select("doc_id", "text").collect()
-    prints = [(r.doc_id, tuple(plain_simhash(r.text, 5, word=w) for w in range(5))) for r in rows]
-    masks = [m % 2**64 for m in simhash.block_masks(8, 10)]
-
-    def linked(a, b):
-        differ = [x ^ y for x, y in zip(a, b, strict=True)]
-        return sum(map(int.bit_count, differ)) <= 60 and any(not differ[0] & m for m in masks)
-
-    root = plain_components(prints, linked)
-    assert len({root[p] for _, p in prints}) < 0.8 * len(prints)
+    prints = [(r.doc_id, plain_simhash(r.text)) for r in rows]
+    root = plain_components(prints)
+    linked = {root[p] for _, p in prints}
+    assert len(linked) < len({p for _, p in prints}) < len(prints)
     kept = corpus_pipeline.near_dedup(spark, docs, "")
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({root[p] for _, p in prints})
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(linked)
 
 
 def plain_targets(sizes):
@@ -253,15 +245,14 @@ def plain_scores(rows):
     for kind, way in (("allow", 0), ("block", 1)):
         seed = {}
         for h, rules in nodes.items():
-            share = rules.count(kind) / len(rules) if rules else 0
-            seed[h] = share if share > 0.5 else 0
+            seed[h] = rules.count(kind) / len(rules) if rules else 0
         total = sum(seed.values()) or 1
         seed = {h: s / total for h, s in seed.items()}
         out = Counter()
         for e, n in edges.items():
             out[e[way]] += n
         now = dict(seed)
-        for _ in range(100):
+        for _ in range(400):
             came = Counter()
             for e, n in edges.items():
                 came[e[1 - way]] += now[e[way]] * n / out[e[way]]
@@ -290,12 +281,15 @@ def test_url_verdicts(spark):
     expected = Counter()
     for page_id, url, _ in PAGES:
         host, path, rule, verdict = plain_rule(url)
-        default = "block" if scores["block"][host] > scores["allow"][host] + 1e-6 else "allow"
+        assert abs(scores["block"][host] - scores["allow"][host]) > 1e-3 or not (
+            scores["block"][host] or scores["allow"][host]
+        )
+        default = "block" if scores["block"][host] > scores["allow"][host] else "allow"
         expected[page_id, host, path, rule, verdict or default] += 1
     assert Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in found) == expected
     for r in found:
-        assert abs(r.trust - scores["allow"][r.host]) < 1e-4
-        assert abs(r.distrust - scores["block"][r.host]) < 1e-4
+        assert abs(r.trust - scores["allow"][r.host]) < 1e-5
+        assert abs(r.distrust - scores["block"][r.host]) < 1e-5
     own = {r.host: r.verdict for r in found}
     assert own["notexample.com"] == "block" and own["d.com"] == "allow"
     assert url_filter.verdicts(pages(spark).where("page_id < 0")).collect() == []
@@ -314,6 +308,19 @@ def test_every_host_with_a_ruled_page_is_a_seed(spark):
     assert found[42].distrust > 0 and found[42].verdict == "block"
 
 
+def test_scores_reach_the_end_of_a_long_chain(spark, monkeypatch):
+    """120 hosts in a row: as many rounds as the tolerance takes, a looser one here for time."""
+    monkeypatch.setattr(url_filter, "TOLERANCE", 1e-4)
+    rows = [(0, "http://h0.org/fr/", '<a href="http://h1.com/">n</a>')]
+    rows += [(i, f"http://h{i}.com/", f'<a href="http://h{i + 1}.com/">n</a>') for i in range(1, 120)]
+    scores = plain_scores(rows)["allow"]
+    found = {r.host: r.trust for r in url_filter.host_scores(pages(spark, rows)).collect()}
+    assert set(found) == set(scores)
+    for host, trust in scores.items():
+        assert abs(found[host] - trust) < 1e-3
+    assert found["h52.com"] > 0
+
+
 def plain_archive(rows):
     last = {}
     for page_id, _, html in rows:
@@ -359,13 +366,59 @@ def test_salvage_of_broken_archives():
     assert read_all(bytes(broken)) == ([0, 1, 3, 4], [(ends[2], len(members[2]))])
     cut = b"".join(members[:2]) + members[2][:40] + members[3] + members[4][:-5]
     ids, gaps = read_all(cut)
-    assert ids == [0, 1, 3] and gaps[0] == (ends[2], 40) and sum(gaps[1]) == len(cut)
+    # Only the trailer of the last one is cut: its own digest tells that it is whole.
+    assert ids == [0, 1, 3, 4] and gaps[0] == (ends[2], 40) and sum(gaps[1]) == len(cut)
     junk = b"junk \x1f\x8b\x08 more" * 50
     assert read_all(junk + members[0]) == ([0], [(0, len(junk))])
     assert read_all(b"") == ([], [])
     assert read_all(gzip.compress(b"".join(records(3)))) == ([0, 1, 2], [])
 
 
+def stored_member(data):
+    packer = zlib.compressobj(0, zlib.DEFLATED, 31)
+    return packer.compress(data) + packer.flush()
+
+
+def test_nothing_unchecked_and_nothing_twice_from_a_cut_member():
+    """A stored member shows its records in its raw bytes too."""
+    whole = records(4)
+    one = stored_member(b"".join(whole))
+    altered = one.replace(b"payload 2", b"payload X", 1)
+    assert altered != one
+    for n, expected in ((4, [0, 1, 3]), (8, [0, 1, 3]), (20, [0, 1])):
+        ids, gaps = read_all(altered[:-n])
+        assert ids == expected and gaps
+    assert read_all(one[:-8])[0] == [0, 1, 2, 3]
+    # Without digests nothing of a member whose check sum was never seen is handed out.
+    bare = [re.sub(rb"WARC-(Block|Payload)-Digest: [^\r]+\r\n", b"", r) for r in whole]
+    packed = stored_member(b"".join(bare))
+    assert read_all(packed)[0] == [0, 1, 2, 3]
+    tight = warc.member(b"".join(bare))
+    assert read_all(tight[:-8])[0] == [] and read_all(tight)[0] == [0, 1, 2, 3]
+    assert read_all(packed.replace(b"payload 2", b"payload X", 1)[:-8])[0] == []
+
+
+def test_false_member_starts_are_searched_in_linear_time():
+    junk = (warc.MAGIC + b"\x00" * 7) * 60_000
+    began = time.monotonic()
+    ids, gaps = read_all(junk + warc.member(records(1)[0]))
+    assert ids == [0] and gaps == [(0, len(junk))]
+    assert time.monotonic() - began < 20
+
+
+def test_archives_are_read_by_many_tasks(spark, tmp_path):
+    paths = []
+    for i, record in enumerate(records(8)):
+        path = tmp_path / f"{i}.warc.gz"
+        path.write_bytes(warc.member(record))
+        paths.append((str(path),))
+    show_package(spark)
+    found = warc.read(spark.createDataFrame(paths, "file string").coalesce(1))
+    tasks = found.select("page_id", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.page_id for r in tasks) == list(range(8))
+    assert len({r.task for r in tasks}) >= 4
+
+
 def test_salvage_of_plain_archives():
     whole = records(4)
     assert read_all(b"".join(whole)) == ([0, 1, 2, 3], [])
@@ -411,35 +464,6 @@ def test_gaps_are_rows(spark, tmp_path):
     ]
 
 
-def test_near_dedup_links_are_verified(spark):
-    """Texts below the similarity stay, whatever their fingerprints; a chain of real links goes."""
-    rng = random.Random(5)
-    bases = [[f"w{rng.randrange(5000)}" for _ in range(60)] for _ in range(40)]
-    rows = []
-    for i, words in enumerate(bases):
-        rows.append((10 * i, " ".join(words)))
-        for j, changed in enumerate(rng.sample(range(1, 13), 3)):
-            rows.append((10 * i + 1 + j, " ".join(words[:-changed] + [f"x{i}{j}{k}" for k in range(changed)])))
-        rows.append((10 * i + 5, " ".join(words).upper() + " \n"))
-    sets = {d: {tuple(t.lower().split()[k : k + 5]) for k in range(56)} for d, t in rows}
-    prints = {d: [plain_simhash(t, 5, word=w) for w in range(5)] for d, t in rows}
-    masks = [m % 2**64 for m in simhash.block_masks(8, 10)]
-
-    def nominated(a, b):
-        differ = [x ^ y for x, y in zip(prints[a], prints[b], strict=True)]
-        return sum(map(int.bit_count, differ)) <= 80 and any(not differ[0] & m for m in masks)
-
-    def similar(a, b):
-        return len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
-
-    ids = [(d, d) for d, _ in rows]
-    root = plain_components(ids, lambda a, b: nominated(a, b) and similar(a, b))
-    assert set(root.values()) != set(plain_components(ids, nominated).values())
-    docs = documents(spark, [(d, t, "en", "a") for d, t in rows])
-    kept = corpus_pipeline.near_dedup(spark, docs, "")
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
-
-
 def test_pipeline(spark):
     docs = table(spark, "documents")
     columns, seen = docs.columns, docs.count()

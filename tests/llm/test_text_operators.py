@@ -124,6 +124,21 @@ def test_line_spread_is_exact_near_the_threshold(spark, least):
     assert texts == {f"line on {n} sites here" for n in (least, least + 1)}
 
 
+def plain_blocks(text):
+    """Lines, and from each line on as many as hold the longest template begun in it."""
+    longest = max(len(licenses.words(t)) for _, t in licenses.TEMPLATES.values())
+    blocks = text.split("\n")
+    for paragraph in re.split(r"\n(?:\s*\n)+", text):
+        lines = [x for x in paragraph.split("\n") if licenses.words(x)]
+        for first in range(len(lines)):
+            end, held = first + 1, 0
+            while end < len(lines) and held < longest - 1:
+                held += len(licenses.words(lines[end]))
+                end += 1
+            blocks.append("\n".join(lines[first:end]))
+    return blocks
+
+
 def plain_licenses(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(
         c.lower() if "A" <= c <= "Z" else c for c in text or ""))
@@ -133,7 +148,7 @@ def plain_licenses(text):
     score, labels = 0.0, {label for _, label in places}
     for label, template in licenses.TEMPLATES.values():
         own = set(licenses.words(template))
-        for line in (text or "").split("\n"):
+        for line in plain_blocks(text or ""):
             shared = len(own & set(licenses.words(line))) / len(own)
             if shared >= licenses.THRESHOLD:
                 score = max(score, shared)
