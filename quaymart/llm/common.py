@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -54,6 +55,14 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE), "")
 
 
+_BYTE_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+
+
+def byte_words(text: bytes) -> list[bytes]:
+    """Words of digits, letters and all beyond ASCII, A-Z in lower case, of UTF-8 text."""
+    return _BYTE_WORD.findall(text.lower())  # bytes: A-Z alone are changed
+
+
 def where_computed(df: DataFrame, condition: Column) -> DataFrame:
     """``df.where(condition)`` over columns that are dear to compute.
 

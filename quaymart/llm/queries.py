@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from quaymart.llm import (
     bpe,
+    decontaminate,
     licenses,
     line_dedup,
     mixing,
     pii,
     quality,
+    ranked_search,
     simhash,
+    spelling,
     sql,
     syncmers,
     url_filter,
@@ -77,6 +80,23 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(read(spark, folder, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    docs, items = read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    return ranked_search.search(docs, items)
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with the form each is a variant of."""
+    return spelling.variants(read(spark, folder, "documents"))
+
+
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of each document that stand in windows of benchmark items."""
+    docs, items = read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    return decontaminate.contamination(docs, items)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_warc,
         op10_quality,
+        op11_ranked_search,
+        op12_spelling_variants,
+        op13_decontamination,
     )
 }
 SQL: dict[str, str] = dict(sql.SQL)

@@ -1,0 +1,270 @@
+"""Ranked search, spelling variants and decontamination against plain Python."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quaymart.llm import decontaminate, ranked_search, spelling
+from quaymart.llm.common import byte_words, show_package
+from tests.llm.helpers import LONG, TEXTS, documents, empty, table, values
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LETTERS = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def items(spark, rows):
+    """Benchmark items with columns whose names operators use themselves."""
+    show_package(spark)
+    return spark.createDataFrame(
+        [(*r, "x", 1, "x", 1) for r in rows],
+        "item_id long, text string, terms string, size int, window string, n int",
+    )
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aZ09-_\nÉéİK\U0001f600 @[`{\x7f", max_size=40))
+def test_words_of_bytes_are_those_of_the_text(text):
+    found = [w.decode() for w in byte_words(text.encode())]
+    assert found == WORD.findall(lowered(text)) == [lowered(t) for t in TERM.findall(text)]
+
+
+def plain_search(docs, queries, size=10):
+    """Every document scored for every item."""
+    held = [(d, Counter(TERM.findall(lowered(t)))) for d, t in docs]
+    n_docs = sum(bool(c) for _, c in held)
+    total = sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    found = []
+    for item_id, text in dict.fromkeys((i, t or "") for i, t in queries):
+        scores = []
+        for doc_id, c in held:
+            n, score = sum(c.values()), 0
+            for t in set(TERM.findall(lowered(text))) & set(c):
+                m = 100 - 90 + 90 * n * n_docs // total
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                score += w * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id))
+        scores.sort(key=lambda s: (s[0], s[1], s[2] or 0))
+        found += [(item_id, i + 1, s[2], -s[0]) for i, s in enumerate(scores[:size])]
+    return Counter(found)
+
+
+QUERIES = [
+    (1, "Shared line of words, and other text"),
+    (1, "shared LINE"),
+    (2, None),
+    (3, ""),
+    (4, "gamma delta beta word word id"),
+    (4, "gamma delta beta word word id"),
+    (None, "a b z"),
+    (5, "nothing-here-stands"),
+    (6, "Ünï ß 漢字"),
+]
+
+
+@pytest.mark.parametrize("block_terms", [1 << 18, 8])
+def test_ranked_search(spark, block_terms):
+    docs = documents(spark, TEXTS + [(20 + i % 30, f"line {i % 3} of words " * (1 + i % 7), "en", "a") for i in range(90)])
+    found = ranked_search.search(docs, items(spark, QUERIES), block_terms=block_terms)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert Counter(values(found)) == plain_search(rows, QUERIES)
+    assert ranked_search.search(empty(spark), items(spark, QUERIES)).collect() == []
+    assert ranked_search.search(docs, items(spark, QUERIES).where("item_id < 0")).collect() == []
+
+
+def test_masks_are_evaluated_until_safely_finished(spark):
+    """The best of many batches, with fewer documents scored than there are."""
+    rng = np.random.default_rng(4)
+    best, whole, scored = ranked_search.Best(5), [], 0
+    for batch in range(40):
+        docs, column = np.nonzero(rng.random((200, 12)) < 0.2)
+        gains = rng.integers(0, 50, len(docs)) * (column + 1)
+        ids = rng.permutation(200) + 1000 * batch
+        no_id = rng.random(200) < 0.05
+        scored += ranked_search.evaluate(best, docs, column, gains, 12, no_id, ids)
+        sums = np.bincount(docs, gains, 200).astype(int)
+        whole += [(-s, bool(x), int(i)) for s, x, i in zip(sums, no_id, ids, strict=True) if s > 0]
+    expected = sorted(whole)[:5]
+    assert list(zip((-best.scores).tolist(), best.no_id.tolist(), best.ids.tolist())) == expected
+    assert scored < 0.6 * 40 * 200
+
+
+def test_items_of_many_terms_are_taken_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(ranked_search, "CELLS", 50)
+    docs = documents(spark)
+    (numbers,) = [{t: i for i, t in enumerate(sorted({w for r in TEXTS for w in byte_words((r[1] or "").encode())}))}]
+    counts = ranked_search.counted(docs, spark.sparkContext.broadcast(numbers)).collect()
+    batch = spark.createDataFrame(counts, "doc_id long, n long, terms array<int>, counts array<int>").toArrow()
+    every = np.arange(len(numbers), dtype=np.int32)
+
+    class Shared:
+        value = ([(1, 1, every)], np.full(len(numbers), 7, np.int64))
+
+    class Frame:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return [b.to_pylist() for b in run(batch.to_batches())]
+
+    found = ranked_search.ranked(Frame(), Shared(), 10, 100)
+    monkeypatch.undo()
+    assert found == ranked_search.ranked(Frame(), Shared(), 10, 100) and found
+
+
+def plain_words(docs):
+    counts = Counter()
+    for doc_id, text in docs:
+        for run in LETTERS.findall(text or ""):
+            run = lowered(run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(a) + 1 == len(b) and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_variants(docs):
+    words = plain_words(docs)
+    near, by_size = defaultdict(set), defaultdict(list)
+    for w in words:
+        by_size[len(w)].append(w)
+    for w in words:
+        for size in (len(w), len(w) + 1):
+            for x in by_size[size]:
+                if w != x and one_edit(w, x):
+                    near[w].add(x)
+                    near[x].add(w)
+    form = {}
+    for w, others in near.items():
+        first = min(others, key=lambda x: (-words[x], x))
+        if words[first] >= 2 * words[w]:
+            form[w] = first
+    found = []
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        found.append((w, form.get(w), root, n, len(near[w]), words[form[w]] if w in form else None))
+    return Counter(found)
+
+
+def compared(spark, rows, **options):
+    docs = documents(spark, rows)
+    found = spelling.variants(docs, **options).collect()
+    expected = plain_variants([(r[0], r[1]) for r in rows])
+    assert Counter(map(tuple, found)) == expected
+    return found
+
+
+def test_spelling_variants(spark):
+    rng = random.Random(3)
+    base = ["".join(rng.choice("abcdé") for _ in range(rng.randrange(5, 9))) for _ in range(40)]
+    rows = [(1000 + i, " ".join(rng.choices(base, k=300)), "en", "a") for i in range(60)]
+    rows += [(2000, "chaineds " * 3 + "chained " * 9 + "chaine " * 30 + "chain " * 99, "en", "a")]
+    found = compared(spark, TEXTS + rows)
+    assert any(r.form for r in found) and any(r.root not in (r.word, r.form) for r in found)
+    assert spelling.variants(empty(spark)).collect() == []
+
+
+def test_edges_of_words_and_long_words(spark):
+    """Edits at both ends, words within words, runs of a letter, words on both sides of ``long``."""
+    rng = random.Random(8)
+    stem = "".join(rng.choice("abcde") for _ in range(60))
+    words = ["aaaaa", "aaaaaa", "aaaaaaa", "baaaaa", "aaaaab", "aabaaa", "baaaa", "ÿaaaa", "aaaa×", "abcde", "xabcde"]
+    words += ["abcdex", "abxcde", "bcdef", "abcdf", stem[:48], stem[:49], "z" + stem[:47], stem[:30] + "z" + stem[31:49]]
+    words += [stem, stem[:20] + stem[21:], stem + "q", "q" + stem[1:], "a" * 400, "a" * 401, "a" * 200 + "b" + "a" * 200]
+    text = " ".join(w for i, w in enumerate(words) for _ in range(3 + 5 * (i % 4)))
+    rows = [(i, text.upper() if i % 2 else text, "en", "a") for i in range(4)]
+    found = {r.word: r for r in compared(spark, rows)}
+    assert found["a" * 401].n_near == 2 and found[stem[:48]].n_near >= 2
+    assert Counter(map(tuple, compared(spark, rows, long=6))) == Counter(map(tuple, found.values()))
+
+
+def test_a_letter_left_out_by_hash():
+    rng = random.Random(2)
+    words = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 12))) for _ in range(300)]
+    for a in words[:60]:
+        keys = spelling.without_a_letter(a)
+        rest = {a[:i] + a[i + 1 :] for i in range(len(a))}
+        assert len(keys) == 1 + len(rest)
+        assert {spelling.without_a_letter(x)[0] for x in rest if x} <= set(keys[1:].tolist())
+
+
+def plain_contamination(docs, queries, size=10):
+    own = [(i, WORD.findall(lowered(t))) for i, t in queries]
+    found = []
+    for doc_id, text in docs:
+        words = WORD.findall(lowered(text))
+        places = defaultdict(list)
+        for n in {min(size, len(w)) for _, w in own if w}:
+            for i in range(len(words) - n + 1):
+                places[tuple(words[i : i + n])].append(i)
+        hit, met = set(), set()
+        for item_id, w in own:
+            n = min(size, len(w))
+            for i in range(len(w) - n + 1) if w else ():
+                at = places.get(tuple(w[i : i + n]), ())
+                met |= {"" if item_id is None else str(item_id)} if at else set()
+                hit |= {p for a in at for p in range(a, a + n)}
+        ids = hashlib.sha256(",".join(sorted(met)).encode()).hexdigest()
+        found.append((doc_id, len(words), len(hit), len(met), ids, bool(hit)))
+    return Counter(found)
+
+
+def test_decontamination(spark):
+    rng = random.Random(6)
+    few = ["alpha", "beta", "gamma", "x", "Éa"]  # so few words that grams repeat and tie
+    item_rows = [(i, " ".join(rng.choices(few, k=rng.choice([1, 3, 4, 7, 9, 10, 11, 14, 40])))) for i in range(40)]
+    item_rows += [(7, "another text of item seven, of more than ten words in all"), (None, "no id but words"), (90, None), (91, " ,")]
+    item_rows += [(92, "one two three four five six shared line of words"), (92, "one two three four five six shared line of words")]
+    rows = TEXTS + [(100 + i, ", ".join(rng.choices(few, k=rng.randrange(60))).upper(), "en", "a") for i in range(80)]
+    rows += [(300 + i, f"{'a ' * i}No ID, but words {item_rows[3][1]} end", "en", "a") for i in range(5)]
+    rows += [(400, " ".join(t for _, t in item_rows if t) + LONG, "en", "a")]
+    found = decontaminate.contamination(documents(spark, rows), items(spark, item_rows))
+    expected = plain_contamination([(r[0], r[1]) for r in rows], item_rows)
+    assert Counter(map(tuple, found.collect())) == expected
+    assert {r[5] for r in expected} == {True, False}
+    none = decontaminate.contamination(documents(spark), items(spark, item_rows).where("item_id < 0"))
+    assert not any(r.contaminated for r in none.collect()) and none.count() == len(TEXTS)
+    assert decontaminate.contamination(empty(spark), items(spark, item_rows)).collect() == []
+
+
+def test_a_full_filter_loses_nothing(spark, monkeypatch):
+    docs, held = table(spark, "documents"), table(spark, "benchmark")
+    expected = values(decontaminate.contamination(docs, held))
+    monkeypatch.setattr(decontaminate, "FILTER_LEAST", 6)
+    monkeypatch.setattr(decontaminate, "FILTER_MOST", 6)
+    assert values(decontaminate.contamination(docs, held)) == expected
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=10, max_size=40), st.integers(1, 10), st.data())
+def test_equal_windows_keep_the_same_gram(words, size, data):
+    """The guarantee: wherever a window stands, its kept gram is kept there, at the same place."""
+    hashes = decontaminate.word_hashes([b"%d" % w for w in words])
+    start = data.draw(st.integers(0, len(words) - size))
+    alone = decontaminate.gram_hashes(hashes[start : start + size], size)
+    per_window = decontaminate.shape(size)[1]
+    (own,) = decontaminate.kept_grams(alone, per_window).tolist()
+    kept = decontaminate.kept_grams(decontaminate.gram_hashes(hashes, size), per_window)
+    assert start + own in kept.tolist()
