@@ -28,6 +28,8 @@ def parser() -> argparse.ArgumentParser:
     arrivals.add_argument("--batch", nargs="+", required=True, help="monthly files")
     arrivals.add_argument("--batch-format", default="parquet")
     arrivals.add_argument("--refresh", choices=["all", "batches"])
+    arrivals.add_argument("--rebalance", action="store_true", help="many small files")
+    arrivals.add_argument("--schemas-differ", action="store_true", help="read file by file")
     for name in ("first", "last"):
         arrivals.add_argument(
             f"--{name}", type=date.fromisoformat, help=f"{name} day of the fact to replace"
@@ -38,6 +40,8 @@ def parser() -> argparse.ArgumentParser:
         jobs.add_parser(name, parents=[shared]).add_argument("--input", required=True)
     jobs.add_parser("check", parents=[shared])
     jobs.add_parser("share", parents=[shared])
+    clean = jobs.add_parser("clean", parents=[shared], help="delete old versions of tables")
+    clean.add_argument("--keep", type=int, default=2, help="versions to keep")
     return top
 
 
@@ -63,14 +67,21 @@ def main(arguments: Sequence[str] | None = None) -> None:
             for name in ("mode", "port", "visa", "citizenship")
         }
         warehouse.prepare_arrivals(
-            spark, options.batch, labels, paths, options.batch_format, options.refresh
+            spark,
+            options.batch,
+            labels,
+            paths,
+            options.batch_format,
+            options.refresh,
+            options.rebalance,
+            options.schemas_differ,
         )
         warehouse.build_arrivals(
             spark,
             paths,
             options.first,
             options.last,
-            options.batch if options.refresh == "batches" else (),
+            options.refresh == "batches",
         )
     elif options.job == "ports":
         warehouse.build_ports(spark, options.input, paths)
@@ -81,6 +92,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif options.job == "check":
         for report in (warehouse.check_tables, warehouse.check_arrivals):
             show_all(report(spark, paths))
+    elif options.job == "clean":
+        for folder in warehouse.remove_old(spark, paths, options.keep):
+            print(folder)
     else:
         show_all(warehouse.traveller_share(spark, paths))
 

@@ -81,12 +81,12 @@ def label_arrivals(
     """Cut arrivals to the columns in use and add the labels of all four codes.
 
     Arrivals may come as text, and keys of the code tables do; both are cast to
-    the types of the arrivals.  A column ``batch`` is kept.
+    the types of the arrivals.  A column ``file`` is kept.
     """
     types = {field.name: field.dataType for field in ARRIVALS.fields}
-    batch = ["batch"] if "batch" in arrivals.columns else []
+    file = ["file"] if "file" in arrivals.columns else []
     arrivals = arrivals.select(
-        *[F.col(c).cast(t).alias(c) for c, t in types.items()], *batch
+        *[F.col(c).cast(t).alias(c) for c, t in types.items()], *file
     )
     lookups = {
         "i94mode": modes,

@@ -6,8 +6,8 @@ are written below ``output``, by default as Parquet, on request as CSV.
 
 from __future__ import annotations
 
-from calendar import monthrange
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -18,8 +18,15 @@ from quaymart import schemas as S
 from quaymart.operators import enforce, reconcile, table_checks
 from quaymart.plans import arrivals, demographics, ports, temperature
 from quaymart.sources import (
+    Part,
+    Version,
+    commit,
+    covers,
+    find_version,
     land,
+    load_parts,
     load_table,
+    new_folder,
     publish,
     publish_table,
     read_batches,
@@ -27,7 +34,8 @@ from quaymart.sources import (
     read_lookup,
     read_parquet,
     register_tables,
-    staged_names,
+    remove_old_versions,
+    written_parts,
 )
 
 
@@ -41,15 +49,15 @@ class Paths:
 
     @property
     def arrivals(self) -> str:
-        return f"{self.staging}/immigration_data"
+        return f"{self.staging}/arrivals"
 
     @property
     def port_cities(self) -> str:
-        return f"{self.staging}/state_city_lookup_ports"
+        return f"{self.staging}/port_cities"
 
     @property
     def demographic_cities(self) -> str:
-        return f"{self.staging}/state_city_lookup_demo"
+        return f"{self.staging}/demographic_cities"
 
 
 def _publish(df: DataFrame, table: S.Table, paths: Paths) -> DataFrame:
@@ -68,8 +76,10 @@ def prepare_arrivals(
 ) -> DataFrame:
     """Label and clean all monthly files in one scan; store them by file.
 
-    A ``refresh`` of ``batches`` replaces what the same paths brought before and
-    keeps all other rows, also those of the same months; ``all`` starts anew.
+    A ``refresh`` of ``batches`` replaces whatever came before from files that the given
+    paths, folders and globs cover, also from files that are gone now, and keeps all other
+    rows, also those of the same months; ``all`` starts anew.  Each version of the staged
+    arrivals names its files and the months each has rows of.
 
     ``labels`` names the code files ``mode``, ``port``, ``visa`` and
     ``citizenship``.  A task reads few files and so writes few directories, without a
@@ -83,7 +93,7 @@ def prepare_arrivals(
         S.ARRIVALS.fieldNames(),
         file_format,
         schemas_differ=schemas_differ,
-        batch_column="batch",
+        file_column="file",
         **({"header": "true"} if file_format == "csv" else {}),
     )
 
@@ -97,18 +107,68 @@ def prepare_arrivals(
         visas=lookup("visa", S.VISA_LABELS),
         citizenship=lookup("citizenship", S.CITIZENSHIP_LABELS),
     )
+    now = find_version(spark, paths.arrivals)
+    folder = new_folder()
     publish(
         arrivals.clean_arrivals(labelled),
-        paths.arrivals,
-        partition_by=["batch"],
-        refresh="partitions" if refresh == "batches" else "all",
+        f"{paths.arrivals}/{folder}",
+        partition_by={"batch": "concat('b-', sha2(file, 256))"},
         rebalance=rebalance,
     )
-    return read_parquet(spark, paths.arrivals)
+    added = _described(spark, paths, written_parts(spark, paths.arrivals, folder, True))
+    kept = []
+    if now and refresh == "batches":
+        kept = [p for p in now.parts if not any(covers(b, p.about["file"]) for b in batches)]
+    commit(spark, paths.arrivals, [*kept, *added], after=now)
+    return staged_arrivals(spark, paths)
+
+
+def _month(year, month):
+    """Months in a row, as numbers."""
+    return year * 12 + month - 1
+
+
+def _described(spark: SparkSession, paths: Paths, parts: Sequence[Part]) -> list[Part]:
+    """Parts of staged arrivals with their file and months; a row for each is collected."""
+    if not parts:
+        return []
+    rows = (
+        load_parts(spark, paths.arrivals, parts)
+        .groupBy("file", F.concat(F.lit("batch=b-"), F.sha2("file", 256)).alias("part"))
+        .agg(F.array_sort(F.collect_set(_month(F.col("year"), F.col("month")))).alias("months"))
+        .collect()
+    )
+    about = {r["part"]: {"file": r["file"], "months": ",".join(map(str, r["months"]))} for r in rows}
+    return [Part(p.part, p.folder, about[p.part]) for p in parts]
+
+
+def staged_arrivals(
+    spark: SparkSession, paths: Paths, months: Iterable[int] | None = None
+) -> DataFrame:
+    """Cleaned arrivals; with ``months`` those of files that have rows of one of them."""
+    now = find_version(spark, paths.arrivals)
+    if now is None:
+        raise ValueError(f"no staged arrivals at {paths.arrivals}")
+    wanted = None if months is None else set(months)
+    parts = [p for p in now.parts if wanted is None or wanted & _months(p)]
+    if not parts and now.parts:  # no file has such rows: the columns of any
+        return load_parts(spark, paths.arrivals, now.parts[:1]).where(F.lit(False))
+    return load_parts(spark, paths.arrivals, parts)
+
+
+def _months(part: Part) -> set[int]:
+    return {int(m) for m in part.about["months"].split(",")}
+
+
+def _changed_months(before: Version, now: Version) -> set[int]:
+    """Months with rows in what one version has and the other has not."""
+    old, new = ({(p.part, p.folder): p for p in v.parts} for v in (before, now))
+    return set().union(*(_months((old | new)[k]) for k in old.keys() ^ new.keys()))
 
 
-def _month_end(day: date | None) -> date | None:
-    return day and day.replace(day=monthrange(day.year, day.month)[1])
+def _directory(month: int) -> str:
+    """The directory of a month in the arrivals fact and the calendar."""
+    return f"month_={month % 12 + 1}/year_={month // 12}"
 
 
 def build_arrivals(
@@ -116,35 +176,82 @@ def build_arrivals(
     paths: Paths,
     first: date | None = None,
     last: date | None = None,
-    batches: Sequence[str] = (),
+    changes: bool = False,
 ) -> None:
     """Publish the arrivals fact, the traveller profiles and the dates.
 
-    With a ``first`` or ``last`` day only the months from one to the other are
-    read and replaced in the fact, and with ``batches`` all months of which these
-    have rows; the dimensions are built from all data.  A month that lost its last
-    row is not emptied by this: build all months then.
+    With ``changes`` only months are built anew of which staged files had or have rows
+    that came, went or were replaced since the last such build, and with a ``first`` or
+    ``last`` day the months from one to the other, both whole.  A month without rows is
+    emptied.  Only files with rows of these months are read; profiles that are new there
+    are added, others stay.  A build that was broken off is made good by the next one.
     """
-    cleaned = read_parquet(spark, paths.arrivals)
-    if batches:
-        # A row a month, however many arrivals there are.
-        touched = cleaned.where(F.col("batch").isin(staged_names(spark, batches)))
-        months = {tuple(r) for r in touched.select("year", "month").distinct().collect()}
-        if first is not None or last is not None:
-            ranged = arrivals.within(cleaned, first and first.replace(day=1), _month_end(last))
-            months |= {tuple(r) for r in ranged.select("year", "month").distinct().collect()}
-        wanted = arrivals.of_months(cleaned, sorted(months))
+    staged = find_version(spark, paths.arrivals)
+    calendar = find_version(spark, f"{paths.output}/{S.DIM_DATETIME.name}")
+    # The calendar is published last: it tells what the whole build has seen.
+    seen = calendar and calendar.about.get("arrivals")
+    about = {"arrivals": str(staged.number)} if staged else {}
+    if (changes and not seen) or (first is None and last is None and not changes):
+        cleaned = staged_arrivals(spark, paths)
+        fact = publish_table(
+            arrivals.arrivals_fact(cleaned), S.FACT_IMMIGRATION, paths.output, paths.output_format
+        )
+        _publish(arrivals.traveller_profiles(cleaned), S.DIM_TRAVELLER_PROFILE, paths)
+        publish_table(
+            arrivals.calendar(fact, "arrival_date"),
+            S.DIM_DATETIME,
+            paths.output,
+            paths.output_format,
+            about=about,
+        )
+        return
+
+    months = set()
+    if changes:
+        months = _changed_months(find_version(spark, paths.arrivals, int(seen)), staged)
     else:
-        wanted = arrivals.within(cleaned, first and first.replace(day=1), _month_end(last))
-    fact = publish_table(
+        about = dict(calendar.about) if calendar else {}
+    if first is not None or last is not None:
+        held = set().union(*map(_months, staged.parts))
+        if calendar:
+            names = [re.findall(r"\d+", p.part) for p in calendar.parts]
+            held |= {_month(int(year), int(month)) for month, year in names}
+        start = _month(first.year, first.month) if first else min(held, default=0)
+        end = _month(last.year, last.month) if last else max(held, default=0)
+        months |= {m for m in held if start <= m <= end}
+    directories = [_directory(m) for m in sorted(months)]
+    wanted = arrivals.of_months(
+        staged_arrivals(spark, paths, months), [(m // 12, m % 12 + 1) for m in sorted(months)]
+    )
+    new = arrivals.traveller_profiles(wanted)
+    if find_version(spark, f"{paths.output}/{S.DIM_TRAVELLER_PROFILE.name}"):
+        known = load_table(spark, S.DIM_TRAVELLER_PROFILE, paths.output, paths.output_format)
+        new = new.join(known.select("profile_id"), "profile_id", "left_anti")
+    new = land(new, f"{paths.staging}/new_profiles")
+    if not new.isEmpty():
+        publish_table(
+            new, S.DIM_TRAVELLER_PROFILE, paths.output, paths.output_format, refresh="append"
+        )
+    publish_table(
         arrivals.arrivals_fact(wanted),
         S.FACT_IMMIGRATION,
         paths.output,
         paths.output_format,
-        refresh="partitions" if batches or first or last else "all",
+        refresh="partitions",
+        drop=directories,
+    )
+    fact = load_table(
+        spark, S.FACT_IMMIGRATION, paths.output, paths.output_format, directories
+    )
+    publish_table(
+        arrivals.calendar(fact, "arrival_date"),
+        S.DIM_DATETIME,
+        paths.output,
+        paths.output_format,
+        refresh="partitions",
+        drop=directories,
+        about=about,
     )
-    _publish(arrivals.traveller_profiles(cleaned), S.DIM_TRAVELLER_PROFILE, paths)
-    _publish(arrivals.calendar(fact, "arrival_date"), S.DIM_DATETIME, paths)
 
 
 def build_ports(spark: SparkSession, path: str, paths: Paths) -> None:
@@ -208,12 +315,18 @@ def check_arrivals(spark: SparkSession, paths: Paths) -> DataFrame:
     report = reconcile(
         load_table(spark, S.FACT_IMMIGRATION, paths.output, paths.output_format),
         "all_travellers",
-        read_parquet(spark, paths.arrivals),
+        staged_arrivals(spark, paths),
     )
     enforce(report, ["reconciled"])
     return report
 
 
+def remove_old(spark: SparkSession, paths: Paths, keep: int = 2) -> list[str]:
+    """Delete what only versions before the last ``keep`` hold, of all tables."""
+    tables = [paths.arrivals, *(f"{paths.output}/{n}" for n in S.TABLES)]
+    return [f"{t}/{folder}" for t in tables for folder in remove_old_versions(spark, t, keep)]
+
+
 # Travellers and foreign residents of each state next to their share of the
 # country's.  The totals are scalar subqueries over the already grouped rows.
 TRAVELLER_SHARE = """

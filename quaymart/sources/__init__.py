@@ -6,32 +6,54 @@ from quaymart.sources.publish import (
     publish,
     publish_table,
     register_tables,
+    table_folders,
+    with_ids,
 )
 from quaymart.sources.readers import (
+    covers,
     land,
     monthly_paths,
-    batch_name,
     read_batches,
     read_csv,
     read_lookup,
     read_parquet,
-    staged_names,
 )
-from quaymart.sources.staging import staging_path
+from quaymart.sources.staging import remove_folder, remove_staging, staging_path
+from quaymart.sources.versions import (
+    Part,
+    Version,
+    commit,
+    find_version,
+    load_parts,
+    new_folder,
+    remove_old_versions,
+    written_parts,
+)
 
 __all__ = [
+    "Part",
+    "Version",
+    "commit",
     "conform",
+    "covers",
+    "find_version",
     "land",
+    "load_parts",
     "load_table",
     "monthly_paths",
+    "new_folder",
     "publish",
     "publish_table",
-    "batch_name",
     "read_batches",
     "read_csv",
     "read_lookup",
     "read_parquet",
-    "staged_names",
     "register_tables",
+    "remove_folder",
+    "remove_old_versions",
+    "remove_staging",
     "staging_path",
+    "table_folders",
+    "with_ids",
+    "written_parts",
 ]

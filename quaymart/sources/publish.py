@@ -10,6 +10,16 @@ from pyspark.sql.types import StructType
 
 from quaymart.functions import sequence_id, stable_id, strict_cast
 from quaymart.schemas import TABLES, Table
+from quaymart.sources.readers import land
+from quaymart.sources.staging import staging_path
+from quaymart.sources.versions import (
+    Version,
+    commit,
+    find_version,
+    load_parts,
+    new_folder,
+    written_parts,
+)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -74,6 +84,48 @@ def publish(
     return path
 
 
+def _directories(df: DataFrame, partitions: Mapping[str, str]) -> set[str]:
+    """The directories, named by whole numbers, that the rows of ``df`` go to.
+
+    A row for each is collected.
+    """
+    names = df.select(*(F.expr(e).alias(c) for c, e in partitions.items())).distinct().collect()
+    return {"/".join(f"{c}={r[c]}" for c in partitions) for r in names}
+
+
+def with_ids(rows: DataFrame, table: Table, root: str) -> DataFrame:
+    """``rows`` with the table's surrogate id, the same for a natural key in every load.
+
+    A table of keys below ``root`` maps natural keys to ids.  Keys it lacks are added with
+    ids beyond all given so far, in the stage that writes them; ids are then read from the
+    written keys, so a lost executor cannot make two rows share one.  It is partitioned
+    like the table: a refresh of some partitions reads only their keys.  ``rows`` is read
+    several times and should be a stored table.
+    """
+    spark = rows.sparkSession
+    path = f"{root}/keys/{table.name}"
+    natural = list(table.natural_key)
+    schema = StructType([f for f in table.schema.fields if f.name in (table.key, *natural)])
+    now = find_version(spark, path)
+    touched = _directories(rows, table.partitions) if table.partitions else {""}
+
+    def held(version: Version | None) -> DataFrame:
+        parts = [p for p in version.parts if p.part in touched] if version else []
+        return load_parts(spark, path, parts, schema)
+
+    new = rows.select(*natural).distinct().join(held(now), natural, "left_anti")
+    first = int(now.about["next"]) if now else 0
+    new = new.select((F.lit(first) + sequence_id()).alias(table.key), *natural)
+    folder = new_folder()
+    publish(new, f"{path}/{folder}", partition_by=table.partitions, rebalance=False)
+    added = written_parts(spark, path, folder, bool(table.partitions))
+    last = load_parts(spark, path, added, schema).agg(F.max(table.key)).first()[0]
+    if last is not None:
+        parts = (*(now.parts if now else ()), *added)
+        now = commit(spark, path, parts, {"next": str(last + 1)}, now)
+    return rows.join(held(now), natural)
+
+
 def publish_table(
     df: DataFrame,
     table: Table,
@@ -81,40 +133,71 @@ def publish_table(
     file_format: str = "parquet",
     refresh: str = "all",
     stable_ids: bool = False,
+    drop: Iterable[str] = (),
+    about: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Conform to the table's contract, write below ``root`` and read back.
+    """Conform to the table's contract, write a new version below ``root`` and read it back.
 
-    A key that ``df`` lacks is a surrogate id and is added here: a sequence when
-    the whole table is written, a hash of the natural key with ``stable_ids`` and
-    whenever other rows stay in the table, as a sequence would repeat their ids.
+    Readers see the old version until the new one is whole; a load that fails leaves the
+    old one.  ``refresh`` is ``all`` (replace the table), ``partitions`` (replace those
+    that occur in ``df`` and those that ``drop`` names) or ``append`` (add rows).
+
+    A key that ``df`` lacks is a surrogate id and is added here, from the table of keys
+    (:func:`with_ids`) or, with ``stable_ids``, as a hash of the natural key.  ``about``
+    is kept with the version.
     """
-    sequence = None
-    schema = table.schema
+    if refresh not in ("all", "partitions", "append"):
+        raise ValueError(f"unknown refresh {refresh!r}")
+    if refresh == "partitions" and not table.partitions:
+        raise ValueError("a refresh of partitions needs partitions")
+    spark = df.sparkSession
+    path = f"{root}/{table.name}"
+    now = find_version(spark, path)
     if table.key not in df.columns:
-        if stable_ids or refresh != "all":
+        if stable_ids:
             df = df.withColumn(table.key, stable_id(table.natural_key))
         else:
-            sequence = table.key
-            schema = StructType([f for f in schema.fields if f.name != sequence])
-    publish(
-        conform(df, schema),
-        f"{root}/{table.name}",
-        file_format=file_format,
-        partition_by=table.partitions,
-        refresh=refresh,
-        sequence=sequence,
-    )
-    return load_table(df.sparkSession, table, root, file_format)
+            without = StructType([f for f in table.schema.fields if f.name != table.key])
+            rows = land(conform(df, without), staging_path(spark, table.name))
+            df = with_ids(rows, table, root)
+    folder = new_folder()
+    publish(conform(df, table.schema), f"{path}/{folder}", file_format, table.partitions)
+    added = written_parts(spark, path, folder, bool(table.partitions))
+    kept = now.parts if now and refresh != "all" else ()
+    if refresh == "partitions":
+        gone = {p.part for p in added} | set(drop)
+        kept = tuple(p for p in kept if p.part not in gone)
+    commit(spark, path, (*kept, *added), about, now)
+    return load_table(spark, table, root, file_format)
 
 
 def load_table(
-    spark: SparkSession, table: Table, root: str, file_format: str = "parquet"
+    spark: SparkSession,
+    table: Table,
+    root: str,
+    file_format: str = "parquet",
+    directories: Iterable[str] | None = None,
 ) -> DataFrame:
-    """A published table with its own columns and types."""
-    reader = spark.read.format(file_format).schema(table.schema)
-    if file_format == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
-    return reader.load(f"{root}/{table.name}").select(*table.columns)
+    """A published table with its own columns and types, or just some of its directories.
+
+    A folder of files without versions is read as it is.
+    """
+    path = f"{root}/{table.name}"
+    options = {"header": "true", "enforceSchema": "false"} if file_format == "csv" else {}
+    now = find_version(spark, path)
+    if now is None:
+        reader = spark.read.format(file_format).schema(table.schema).options(**options)
+        return reader.load(path).select(*table.columns)
+    wanted = None if directories is None else set(directories)
+    parts = [p for p in now.parts if wanted is None or p.part in wanted]
+    found = load_parts(spark, path, parts, table.schema, file_format, **options)
+    return found.select(*table.columns)
+
+
+def table_folders(spark: SparkSession, table: Table, root: str) -> list[str]:
+    """The directories that hold the table now, for a bulk copy by another system."""
+    now = find_version(spark, f"{root}/{table.name}")
+    return [f"{root}/{table.name}/{p.path}" for p in now.parts] if now else []
 
 
 def register_tables(

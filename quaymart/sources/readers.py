@@ -6,10 +6,9 @@ import re
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
-from hashlib import sha256
-from urllib.parse import quote, urlsplit
+from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -56,36 +55,47 @@ def read_parquet(
     return table.select(*columns) if columns else table
 
 
-def batch_name(path: str) -> str:
-    """What names a batch in a directory: a hash, as paths may be long."""
-    return f"b-{sha256(path.rstrip('/').encode()).hexdigest()}"
-
-
-def staged_names(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The names that rows of these paths may have: the path's own and those of its files."""
-    files = spark.read.format("binaryFile").load(list(paths)).select(
-        F.concat(F.lit("b-"), F.sha2(F.input_file_name(), 256)).alias("name")
-    )
-    return sorted({*map(batch_name, paths), *(r["name"] for r in files.distinct().collect())})
-
+def _glob_pattern(glob: str) -> str:
+    """A regular expression for the paths that a file glob names."""
+    found, depth, i = [], 0, 0
+    while i < len(glob):
+        c = glob[i]
+        if c == "\\" and i + 1 < len(glob):
+            i += 1
+            found.append(re.escape(glob[i]))
+        elif c == "[" and "]" in glob[i + 2 :]:
+            end = glob.index("]", i + 2)
+            inner = glob[i + 1 : end].replace("\\", "\\\\")
+            found.append("[^" + inner[1:] + "]" if inner[0] in "!^" else f"[{inner}]")
+            i = end
+        elif c in "{}" or (c == "," and depth):
+            depth += {"{": 1, "}": -1, ",": 0}[c]
+            found.append({"{": "(?:", "}": ")", ",": "|"}[c])
+        else:
+            found.append({"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c)))
+        i += 1
+    return "".join(found)
+
+
+def covers(path: str, file: str) -> bool:
+    """Whether a file, as ``input_file_name`` gives it, belongs to a path, folder or glob.
+
+    A path without a scheme is that of any store, a relative one may stand below any
+    folder; only whole parts of a path count.
+    """
+    parts, own = _uri(path), urlsplit(file)
+    if parts[0] and (parts[0], parts[1]) != (own.scheme, own.netloc):
+        return False
+    glob = re.sub(r"(?<=.)/+$", "", parts[2])
+    start = "" if glob.startswith("/") else "(?:.*/)?"
+    inner = unquote(own.path)
+    return re.fullmatch(f"{start}{_glob_pattern(glob)}(?:/.*)?", inner, re.DOTALL) is not None
 
-def _batch_of_file(paths: Sequence[str]) -> Column:
-    """The name of the batch that the file at hand belongs to; a glob's files are one each."""
-    file = F.input_file_name()
-    # The longest path first: a batch may lie below another one's folder.
-    def within(path: str) -> Column:
-        parts = urlsplit(path)
-        own = quote(parts.path.rstrip("/")) + "/"
-        found = F.concat(file, F.lit("/")).contains(own)
-        if parts.netloc:  # the same path in another bucket or host is another batch
-            return F.concat(file, F.lit("/")).startswith(f"{parts.scheme}://{parts.netloc}{own}")
-        return found
 
-    names = [
-        F.when(within(p), F.lit(batch_name(p)))
-        for p in sorted(paths, key=len, reverse=True)
-    ]
-    return F.coalesce(*names, F.concat(F.lit("b-"), F.sha2(file, 256)))
+def _uri(path: str) -> tuple[str, str, str]:
+    """Scheme, host and path; what stands after ``?`` and ``#`` is part of the path."""
+    found = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(.*)", path, re.DOTALL)
+    return (found[1], found[2] or "", found[3]) if found else ("", "", path)
 
 
 def read_batches(
@@ -95,7 +105,7 @@ def read_batches(
     file_format: str = "parquet",
     schema: StructType | None = None,
     schemas_differ: bool = False,
-    batch_column: str | None = None,
+    file_column: str | None = None,
     **options: str,
 ) -> DataFrame:
     """All files of a batch as one table, in one scan.
@@ -107,29 +117,24 @@ def read_batches(
     column names then fill the columns a file lacks with null, still in one scan.
     Where types differ too, or the format is CSV, ``schemas_differ`` reads file by
     file, matches columns by name and widens their types.
+
+    ``file_column`` adds the file that a row comes from.
     """
-    # ``batch_column`` adds the ``batch_name`` of the path that a row comes from.
     if not paths:
         raise ValueError("a batch needs at least one path")
     reader = spark.read.format(file_format).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
+    named = {file_column: F.input_file_name()} if file_column else {}
     if schemas_differ:
         table = reduce(
             lambda a, b: a.unionByName(b, allowMissingColumns=True),
-            [
-                reader.load(path).withColumns(
-                    {batch_column: F.lit(batch_name(path))} if batch_column else {}
-                )
-                for path in paths
-            ],
+            [reader.load(path).withColumns(named) for path in paths],
         )
     else:
-        table = reader.load(list(paths))
-        if batch_column:
-            table = table.withColumn(batch_column, _batch_of_file(paths))
+        table = reader.load(list(paths)).withColumns(named)
     if columns:
-        table = table.select(*columns, *([batch_column] if batch_column else []))
+        table = table.select(*columns, *named)
     return table
 
 
@@ -137,15 +142,14 @@ def monthly_paths(template: str, first: date, last: date) -> list[str]:
     """Paths of the months from ``first`` to ``last``, both included.
 
     The template is a ``strftime`` pattern filled with the first of each month,
-    such as ``raw/arrivals_%b%y.parquet``; what is filled in is lower case as in the
-    source, the rest stays as given.
+    such as ``raw/%Y/arrivals_%b%y.parquet``; what is filled in, in any part of the path,
+    is lower case as in the source, the rest stays as given.
     """
     start = first.year * 12 + first.month - 1
     end = last.year * 12 + last.month - 1
     months = [date(m // 12, m % 12 + 1, 1) for m in range(start, end + 1)]
-    head, slash, name = template.rpartition("/")
     return [
-        head + slash + re.sub("%.", lambda part: month.strftime(part[0]).lower(), name)
+        re.sub("%.", lambda part: month.strftime(part[0]).lower(), template)
         for month in months
     ]
 

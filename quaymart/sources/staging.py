@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 
@@ -24,3 +26,19 @@ def staging_path(spark: SparkSession, name: str) -> str:
             context.setCheckpointDir(tempfile.mkdtemp(prefix="quaymart-"))
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/quaymart/{uuid.uuid4().hex}/{name}"
+
+
+def remove_folder(path: str) -> None:
+    """Delete a folder and all in it, given by a path or a URI; none there is no error."""
+    found = re.match(r"([a-z][a-z0-9+.-]*):/*", path)
+    if found and found[1] != "file":
+        store, inner = fs.FileSystem.from_uri(path)
+    else:
+        store, inner = fs.LocalFileSystem(), "/" + path[found.end() :] if found else path
+    if store.get_file_info(inner).type == fs.FileType.Directory:
+        store.delete_dir(inner)
+
+
+def remove_staging(spark: SparkSession) -> None:
+    """Delete all intermediate tables; no query may still read them."""
+    remove_folder(staging_path(spark, "").rsplit("/", 2)[0])

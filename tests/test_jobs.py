@@ -13,7 +13,7 @@ from quaymart import schemas as S
 from quaymart.__main__ import main
 from quaymart.operators import QualityError
 from quaymart.plans import arrivals, temperature, warehouse
-from quaymart.sources import batch_name, land, load_table
+from quaymart.sources import find_version, land, load_table, publish_table, remove_old_versions
 from tests import fixtures as X
 from tests.helpers import plan, rows
 from tests.test_functions import age_category
@@ -124,7 +124,7 @@ def test_calendar(spark, built):
 
 
 def test_zero_filled_fact_and_range_of_days(spark, built):
-    cleaned = spark.read.parquet(built.arrivals)
+    cleaned = warehouse.staged_arrivals(spark, built)
     fact = arrivals.arrivals_fact(cleaned, fill_zero=True)
     assert fact.where("land_travellers IS NULL").count() == 0
     day = dt.date(2016, 1, 1)
@@ -142,10 +142,27 @@ def test_arrivals_from_text_files(spark, inputs, built, tmp_path):
         spark, [f"{tmp_path}/batch"], inputs, paths, "csv", rebalance=True
     )
     assert rows(arrivals.arrivals_fact(got)) == rows(
-        arrivals.arrivals_fact(spark.read.parquet(built.arrivals))
+        arrivals.arrivals_fact(warehouse.staged_arrivals(spark, built))
     )
 
 
+def parts(spark, paths, contract):
+    return {p.part: p.folder for p in find_version(spark, f"{paths.output}/{contract.name}").parts}
+
+
+ARRIVAL_TABLES = (S.FACT_IMMIGRATION, S.DIM_DATETIME, S.DIM_TRAVELLER_PROFILE)
+
+
+def same_tables(spark, paths, others):
+    for contract in ARRIVAL_TABLES:
+        names = [c for c in contract.columns if c != "record_id"]
+        assert rows(table(spark, paths, contract), *names) == rows(
+            table(spark, others, contract), *names
+        )
+    warehouse.check_tables(spark, paths, [c.name for c in ARRIVAL_TABLES])
+    warehouse.check_arrivals(spark, paths)
+
+
 def test_a_new_month_is_added_without_reading_the_others(spark, inputs, built, tmp_path):
     """Days 20545.. are April 2016, the others January 2016 and around 1960."""
     paths = warehouse.Paths(f"{tmp_path}/stage", f"{tmp_path}/out")
@@ -159,18 +176,22 @@ def test_a_new_month_is_added_without_reading_the_others(spark, inputs, built, t
 
     prepare("old", "all")
     warehouse.build_arrivals(spark, paths)
-    months = sorted(os.listdir(f"{paths.output}/fact_immigration"))
+    before = parts(spark, paths, S.FACT_IMMIGRATION)
+    ids = rows(table(spark, paths, S.FACT_IMMIGRATION), *S.FACT_IMMIGRATION.natural_key, "record_id")
     for _ in range(2):
         prepare("new", "batches")
-        warehouse.build_arrivals(spark, paths, batches=[f"{tmp_path}/new"])
-    assert len(os.listdir(f"{paths.output}/fact_immigration")) == len(months) + 1
-    for contract in (S.FACT_IMMIGRATION, S.DIM_DATETIME, S.DIM_TRAVELLER_PROFILE):
-        names = [c for c in contract.columns if c != "record_id"]
-        assert rows(table(spark, paths, contract), *names) == rows(
-            table(spark, built, contract), *names
-        )
-    tables = ["fact_immigration", "dim_datetime", "dim_traveller_profile"]
-    warehouse.check_tables(spark, paths, tables)
+        warehouse.build_arrivals(spark, paths, changes=True)
+    after = parts(spark, paths, S.FACT_IMMIGRATION)
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+    assert set(ids) <= set(
+        rows(table(spark, paths, S.FACT_IMMIGRATION), *S.FACT_IMMIGRATION.natural_key, "record_id")
+    )
+    same_tables(spark, paths, built)
+    # Only files with rows of the month are read for it.
+    (april,) = set(after) - set(before)
+    month = next(m for m in range(24_000, 24_300) if warehouse._directory(m) == april)
+    read = warehouse.staged_arrivals(spark, paths, [month]).inputFiles()
+    assert read and len(read) < len(warehouse.staged_arrivals(spark, paths).inputFiles())
 
 
 def test_late_rows_join_their_month(spark, inputs, built, tmp_path):
@@ -183,32 +204,130 @@ def test_late_rows_join_their_month(spark, inputs, built, tmp_path):
     for batch, refresh in (("first file", "all"), ("second", "batches"), ("second", "batches")):
         path = f"{tmp_path}/{batch}"
         warehouse.prepare_arrivals(spark, [path], inputs, paths, refresh=refresh)
-        warehouse.build_arrivals(
-            spark, paths, batches=[path] if refresh == "batches" else ()
-        )
+        warehouse.build_arrivals(spark, paths, changes=refresh == "batches")
         warehouse.check_arrivals(spark, paths)
-    for contract in (S.FACT_IMMIGRATION, S.DIM_DATETIME, S.DIM_TRAVELLER_PROFILE):
+    same_tables(spark, paths, built)
+
+
+def test_a_glob_replaces_what_its_files_brought(spark, inputs, built, tmp_path):
+    """Files written again under new names, and files of a glob refreshed one by one."""
+    paths = warehouse.Paths(f"{tmp_path}/stage", f"{tmp_path}/out")
+    raw = spark.read.parquet(*inputs["batches"])
+    land(raw.where("arrdate < 20500"), f"{tmp_path}/old")
+    land(raw.where("arrdate >= 20500"), f"{tmp_path}/new a")
+    new = [f"{tmp_path}/new*/*.parquet"]
+    warehouse.prepare_arrivals(spark, [f"{tmp_path}/old", *new], inputs, paths)
+    warehouse.build_arrivals(spark, paths)
+    n = warehouse.staged_arrivals(spark, paths).count()
+    for again in (new, [f"{tmp_path}/new a"], [f"file:{tmp_path}/new [ab]/part-*.parquet"]):
+        land(raw.where("arrdate >= 20500").repartition(3), f"{tmp_path}/new a")
+        warehouse.prepare_arrivals(spark, again, inputs, paths, refresh="batches")
+        assert warehouse.staged_arrivals(spark, paths).count() == n
+        warehouse.build_arrivals(spark, paths, changes=True)
+        same_tables(spark, paths, built)
+
+
+def test_months_that_a_corrected_file_has_left(spark, inputs, built, tmp_path):
+    """The second file is first loaded with all its rows in the wrong month, then corrected."""
+    paths = warehouse.Paths(f"{tmp_path}/stage", f"{tmp_path}/out")
+    raw = spark.read.parquet(*inputs["batches"])
+    second = F.col("arrdate") >= 20500
+    land(raw.where(~second), f"{tmp_path}/first")
+    land(raw.where(second).withColumn("arrdate", F.lit(20700.0)), f"{tmp_path}/second")
+    warehouse.prepare_arrivals(
+        spark, [f"{tmp_path}/first", f"{tmp_path}/second"], inputs, paths
+    )
+    warehouse.build_arrivals(spark, paths)
+    wrong = table(spark, paths, S.FACT_IMMIGRATION).where("arrival_date = DATE'2016-09-03'")
+    assert wrong.count() > 0
+    land(raw.where(second), f"{tmp_path}/second")
+    warehouse.prepare_arrivals(
+        spark, [f"{tmp_path}/second"], inputs, paths, refresh="batches"
+    )
+    # A second change before the build: both are made good.
+    land(raw.where(~second), f"{tmp_path}/first")
+    warehouse.prepare_arrivals(spark, [f"{tmp_path}/first"], inputs, paths, refresh="batches")
+    warehouse.build_arrivals(spark, paths, changes=True)
+    names = [c for c in S.FACT_IMMIGRATION.columns if c != "record_id"]
+    for contract in (S.FACT_IMMIGRATION, S.DIM_DATETIME):
         names = [c for c in contract.columns if c != "record_id"]
         assert rows(table(spark, paths, contract), *names) == rows(
             table(spark, built, contract), *names
         )
-    staged = spark.read.parquet(paths.arrivals).select("batch").distinct().collect()
-    assert {r.batch for r in staged} == {
-        batch_name(f"{tmp_path}/{x}") for x in ("first file", "second")
-    }
+    warehouse.check_arrivals(spark, paths)
+    assert "month_=9/year_=2016" not in parts(spark, paths, S.FACT_IMMIGRATION)
 
 
-def test_batches_of_a_glob_are_refreshed(spark, inputs, built, tmp_path):
+def test_a_range_of_days_is_built_again(spark, inputs, built, tmp_path):
+    paths = warehouse.Paths(built.staging, f"{tmp_path}/out")
+    warehouse.build_arrivals(spark, paths)
+    before = parts(spark, paths, S.FACT_IMMIGRATION)
+    day = dt.date(2016, 1, 15)
+    warehouse.build_arrivals(spark, paths, first=day, last=day)
+    after = parts(spark, paths, S.FACT_IMMIGRATION)
+    assert {p for p in after if after[p] != before[p]} == {"month_=1/year_=2016"}
+    same_tables(spark, paths, built)
+    only = warehouse.Paths(built.staging, f"{tmp_path}/only")
+    warehouse.build_arrivals(spark, only, first=day, last=day)
+    assert set(parts(spark, only, S.FACT_IMMIGRATION)) == {"month_=1/year_=2016"}
+
+
+def test_ids_stay_over_refreshes_and_builds(spark, inputs, tmp_path):
+    """Three refreshes and a build of everything; a key that left and returned has its old id."""
     paths = warehouse.Paths(f"{tmp_path}/stage", f"{tmp_path}/out")
     raw = spark.read.parquet(*inputs["batches"])
     land(raw.where("arrdate < 20500"), f"{tmp_path}/old")
-    land(raw.where("arrdate >= 20500"), f"{tmp_path}/new a")
-    warehouse.prepare_arrivals(spark, [f"{tmp_path}/old"], inputs, paths)
-    warehouse.build_arrivals(spark, paths)
-    new = [f"{tmp_path}/new*/*.parquet"]
-    warehouse.prepare_arrivals(spark, new, inputs, paths, refresh="batches")
-    warehouse.build_arrivals(spark, paths, batches=new)
-    warehouse.check_arrivals(spark, paths)
+    seen = {}
+    for i, keep in enumerate(("true", "i94mode = 1", "true", "i94mode <> 1", "true")):
+        land(raw.where(f"arrdate >= 20500 AND {keep}"), f"{tmp_path}/new")
+        if i == 0:
+            both = [f"{tmp_path}/old", f"{tmp_path}/new"]
+            warehouse.prepare_arrivals(spark, both, inputs, paths)
+        else:
+            warehouse.prepare_arrivals(
+                spark, [f"{tmp_path}/new"], inputs, paths, refresh="batches"
+            )
+        warehouse.build_arrivals(spark, paths, changes=0 < i < 4)
+        fact = table(spark, paths, S.FACT_IMMIGRATION)
+        now = {tuple(r)[1:]: r[0] for r in fact.select("record_id", *S.FACT_IMMIGRATION.natural_key).collect()}
+        assert len(set(now.values())) == len(now) == fact.count()
+        assert all(seen.get(k, v) == v for k, v in now.items())
+        seen |= now
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_a_write_that_fails_leaves_the_old_table(spark, built, tmp_path):
+    states = table(spark, built, S.DIM_STATE)
+    expected = rows(states)
+    publish_table(states, S.DIM_STATE, str(tmp_path))
+    bad = states.withColumn(
+        "state_name",
+        F.when(F.col("state_id") == "IA", F.raise_error(F.lit("lost"))).otherwise("x"),
+    ).repartition(3)
+    with pytest.raises(Exception, match="lost"):
+        publish_table(bad, S.DIM_STATE, str(tmp_path))
+    assert rows(load_table(spark, S.DIM_STATE, str(tmp_path))) == expected
+    reader = load_table(spark, S.DIM_STATE, str(tmp_path))
+    publish_table(states.limit(1), S.DIM_STATE, str(tmp_path))
+    # A reader that began before sees the old version to its end.
+    assert rows(reader) == expected
+    assert load_table(spark, S.DIM_STATE, str(tmp_path)).count() == 1
+    for _ in range(2):
+        publish_table(states, S.DIM_STATE, str(tmp_path))
+        assert rows(load_table(spark, S.DIM_STATE, str(tmp_path))) == expected
+    removed = remove_old_versions(spark, f"{tmp_path}/dim_state", keep=1)
+    assert len(removed) == 3
+    assert rows(load_table(spark, S.DIM_STATE, str(tmp_path))) == expected
+
+
+def test_two_writers_are_an_error(spark, built, tmp_path):
+    states = table(spark, built, S.DIM_STATE)
+    publish_table(states, S.DIM_STATE, str(tmp_path))
+    log = f"{tmp_path}/dim_state/log"
+    spark.read.parquet(log).write.mode("append").parquet(f"{tmp_path}/copy")
+    spark.read.parquet(f"{tmp_path}/copy").write.mode("append").parquet(log)
+    with pytest.raises(ValueError, match="two writers"):
+        load_table(spark, S.DIM_STATE, str(tmp_path))
 
 
 def test_labels_without_files(spark):
@@ -321,7 +440,7 @@ def test_temperature_fact_shuffles_partial_results_only(spark, built):
 
 
 def test_arrivals_fact_is_one_shuffle(spark, built):
-    text = plan(arrivals.arrivals_fact(spark.read.parquet(built.arrivals)))
+    text = plan(arrivals.arrivals_fact(warehouse.staged_arrivals(spark, built)))
     assert text.count("Scan") == 1 and text.count("Exchange") == 1
     assert "Join" not in text and "Python" not in text
     columns = text.split("ReadSchema: struct<")[1].split(">")[0].split(",")
@@ -377,7 +496,10 @@ def test_command_line(spark, inputs, tmp_path, capsys):
     main(["arrivals", *folders, *labels, "--batch", *inputs["batches"]])
     for job in ("ports", "demographics", "temperature"):
         main([job, *folders, "--input", inputs[job]])
+    main(["arrivals", *folders, *labels, "--refresh", "batches", "--batch", *inputs["batches"]])
     main(["check", *folders])
     main(["share", *folders])
+    main(["clean", *folders, "--keep", "1"])
+    main(["check", *folders])
     shown = capsys.readouterr().out
     assert "fact_temperature" in shown and "state_traveller_perc" in shown

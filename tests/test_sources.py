@@ -9,6 +9,7 @@ from quaymart import schemas as S
 from quaymart.sources import (
     conform,
     land,
+    covers,
     load_table,
     monthly_paths,
     publish,
@@ -19,6 +20,7 @@ from quaymart.sources import (
     read_parquet,
     register_tables,
     staging_path,
+    table_folders,
 )
 from tests.helpers import plan, rows
 
@@ -207,9 +209,10 @@ def test_ids_are_given_after_the_last_shuffle(spark, tmp_path):
     )
     table = publish_table(fact, S.FACT_TEMPERATURE, str(tmp_path))
     assert table.select("record_id").distinct().count() == 30
-    assert os.path.isdir(f"{tmp_path}/fact_temperature/year_=1900")
-    pruned = spark.read.parquet(f"{tmp_path}/fact_temperature").where("year_ = 1900")
-    assert "PartitionFilters: [isnotnull(year_" in plan(pruned)
+    year = load_table(spark, S.FACT_TEMPERATURE, str(tmp_path), directories=["year_=1900"])
+    assert len(year.inputFiles()) == 1 and rows(year, "year") == [(1900,)]
+    folders = table_folders(spark, S.FACT_TEMPERATURE, str(tmp_path))
+    assert len(folders) == 30 and all(os.path.isdir(f) for f in folders)
 
 
 def test_register_tables(spark, port_counts, tmp_path):
@@ -218,3 +221,30 @@ def test_register_tables(spark, port_counts, tmp_path):
     total = spark.sql("SELECT sum(num_of_ports) AS n FROM fact_ports")
     assert rows(total) == [(sum(range(50)),)]
     assert load_table(spark, S.FACT_PORTS, str(tmp_path)).count() == 50
+
+
+@pytest.mark.parametrize(
+    ("path", "file", "expected"),
+    [
+        ("raw", "file:///x/raw/a.parquet", True),
+        ("raw/", "file:///x/myraw/a.parquet", False),
+        ("/x/raw", "file:///x/raw/a/b.parquet", True),
+        ("/raw", "file:///x/raw/a.parquet", False),
+        ("/x/r*/*.parquet", "s3://b/x/raw/a.parquet", True),
+        ("/x/*.parquet", "file:///x/raw/a.parquet", False),
+        ("s3://b/x", "s3://c/x/a.parquet", False),
+        ("s3://b/x", "s3://b/x/a.parquet", True),
+        ("file:/x/y z", "file:///x/y%20z/a.parquet", True),
+        ("/x/a{1,2}.csv", "file:///x/a2.csv", True),
+        ("/x/a[!1].csv", "file:///x/a1.csv", False),
+        ("/x/a?.csv", "file:///x/a#.csv".replace("#", "%23"), True),
+        ("/x/a.csv", "file:///x/abcsv", False),
+    ],
+)
+def test_files_that_a_path_covers(path, file, expected):
+    assert covers(path, file) is expected
+
+
+def test_every_part_of_a_month_template_is_filled():
+    months = monthly_paths("Raw/%Y/a_%b%y.parquet", dt.date(2016, 12, 1), dt.date(2017, 1, 1))
+    assert months == ["Raw/2016/a_dec16.parquet", "Raw/2017/a_jan17.parquet"]
