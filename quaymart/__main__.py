@@ -37,7 +37,10 @@ def parser() -> argparse.ArgumentParser:
     for name in ("mode", "port", "visa", "citizenship"):
         arrivals.add_argument(f"--{name}", required=True, help=f"{name} labels, CSV")
     for name in ("ports", "demographics", "temperature"):
-        jobs.add_parser(name, parents=[shared]).add_argument("--input", required=True)
+        job = jobs.add_parser(name, parents=[shared])
+        job.add_argument("--input", required=True)
+        if name == "demographics":
+            job.add_argument("--most-unreadable", type=int, help="rows that may be left out")
     jobs.add_parser("check", parents=[shared])
     jobs.add_parser("share", parents=[shared])
     clean = jobs.add_parser("clean", parents=[shared], help="delete old versions of tables")
@@ -86,11 +89,17 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif options.job == "ports":
         warehouse.build_ports(spark, options.input, paths)
     elif options.job == "demographics":
-        warehouse.build_demographics(spark, options.input, paths)
+        most = options.most_unreadable
+        unreadable = warehouse.build_demographics(spark, options.input, paths, most)
+        show_all(unreadable.groupBy("file").count())
     elif options.job == "temperature":
         warehouse.build_temperature(spark, options.input, paths)
     elif options.job == "check":
-        for report in (warehouse.check_tables, warehouse.check_arrivals):
+        for report in (
+            warehouse.check_tables,
+            warehouse.check_totals,
+            warehouse.check_references,
+        ):
             show_all(report(spark, paths))
     elif options.job == "clean":
         for folder in warehouse.remove_old(spark, paths, options.keep):

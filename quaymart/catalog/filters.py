@@ -72,9 +72,13 @@ def largest_orders(t: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT DISTINCT event_type FROM events WHERE props IS NOT NULL
+    SELECT DISTINCT event_type FROM events
+    WHERE CASE WHEN event_type <> 'error' THEN props END IS NOT NULL
     """
 )
 def types_with_props(t: Tables) -> DataFrame:
     """Distinct values of one column where another is filled."""
-    return t.events.where(F.col("props").isNotNull()).select("event_type").distinct()
+    # Errors come without properties.
+    filled = F.when(F.col("event_type") != "error", F.col("props"))
+    events = t.events.withColumn("props", filled)
+    return events.where(F.col("props").isNotNull()).select("event_type").distinct()

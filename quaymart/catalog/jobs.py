@@ -6,6 +6,8 @@ status the mode and the visa.  Orders stand for cities, suppliers for ports, and
 the roots of order prices for temperatures.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +16,16 @@ from quaymart.catalog.lookups import PAIRS_SQL, pairs
 from quaymart.catalog.registry import Tables, query
 from quaymart.functions import date_to_epoch_day, last_token
 from quaymart.plans import arrivals, demographics, ports, temperature, warehouse
-from quaymart.sources import land, publish_table, staging_path
+from quaymart.sources import land, load_table, publish, publish_table, staging_path
 
 
 def sold_items(t: Tables) -> DataFrame:
-    """Items with their order and its customer, cut to the columns in use."""
+    """Items with their order and its customer, cut to the columns in use.
+
+    Where ``t`` has them stored (:func:`with_items`) they are not joined again.
+    """
+    if "sold" in vars(t):
+        return t.sold
     customers = t.customer.select(
         "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal"
     )
@@ -26,6 +33,20 @@ def sold_items(t: Tables) -> DataFrame:
     return t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+def with_items(t: Tables) -> Tables:
+    """The same tables with the sold items joined once and stored."""
+    stored = Tables(t.spark, t._folder)
+    stored.sold = land(
+        sold_items(t).select(
+            "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag",
+            "l_linestatus", "l_quantity", "o_orderkey", "o_orderdate", "o_orderpriority",
+            "o_orderstatus", "o_totalprice", "c_nationkey", "c_mktsegment", "c_acctbal",
+        ),
+        staging_path(t.spark, "items"),
+    )
+    return stored
+
+
 ITEMS_SQL = """items AS (
         SELECT * FROM lineitem
         JOIN orders ON l_orderkey = o_orderkey
@@ -52,7 +73,8 @@ def raw_arrivals(t: Tables) -> DataFrame:
     return sold_items(t).select(
         F.col("c_nationkey").cast("double").alias("i94cit"),
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("i94port"),
-        date_to_epoch_day(F.col("l_shipdate")).alias("arrdate"),
+        # The last items of long orders have no date.
+        F.when(F.col("l_linenumber") != 7, date_to_epoch_day(F.col("l_shipdate"))).alias("arrdate"),
         mode.alias("i94mode"),
         visa.alias("i94visa"),
         (F.col("c_acctbal") / 80).alias("i94bir"),
@@ -116,7 +138,7 @@ CLEANED_SQL = f"""{ITEMS_SQL}, coded AS (
         JOIN supplier ON l_suppkey = s_suppkey AND s_acctbal > 0
         JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey AND r_name <> 'MIDDLE EAST'
-        WHERE l_shipdate IS NOT NULL
+        WHERE l_shipdate IS NOT NULL AND l_linenumber <> 7
     ), aged AS (
         SELECT *, CASE
             WHEN age >= 0 AND age < 18 THEN 'Below 18'
@@ -381,7 +403,8 @@ def raw_temperatures(t: Tables) -> DataFrame:
     )
     return t.orders.select(
         F.to_date("o_orderdate").alias("dt"),
-        F.sqrt("o_totalprice").alias("AverageTemperature"),
+        # Orders in one state have no temperature.
+        F.when(F.col("o_orderstatus") != "P", F.sqrt("o_totalprice")).alias("AverageTemperature"),
         F.col("o_custkey").cast("string").alias("City"),
         country.alias("Country"),
     )
@@ -394,6 +417,16 @@ def number_states(t: Tables) -> DataFrame:
     )
 
 
+def mapped_temperatures(t: Tables) -> DataFrame:
+    """Observations with their state, stored: the fact reads them twice."""
+    lookup = land(
+        temperature.state_lookup(number_states(t)), staging_path(t.spark, "lookup")
+    )
+    mapped = temperature.map_states(temperature.observations(raw_temperatures(t)), lookup)
+    columns = ["state_id", "City", "dt", "AverageTemperature"]
+    return land(mapped.select(*columns), staging_path(t.spark, "mapped"))
+
+
 @query(
     f"""
     WITH {PAIRS_SQL}, lookup AS (
@@ -407,17 +440,13 @@ def number_states(t: Tables) -> DataFrame:
         round(avg(sqrt(o_totalprice)), 4) AS avg_temp,
         quantile_disc(sqrt(o_totalprice), 0.5) AS median_temp
     FROM orders JOIN lookup ON o_custkey = number
-    WHERE o_orderpriority <> '5-LOW' AND o_totalprice IS NOT NULL
+    WHERE o_orderpriority <> '5-LOW' AND o_totalprice IS NOT NULL AND o_orderstatus <> 'P'
     GROUP BY state_id, year(o_orderdate)
     """
 )
 def temperature_fact(t: Tables) -> DataFrame:
     """Yearly temperature figures of each state."""
-    observed = temperature.observations(raw_temperatures(t))
-    lookup = land(
-        temperature.state_lookup(number_states(t)), staging_path(t.spark, "lookup")
-    )
-    fact = temperature.temperature_fact(temperature.map_states(observed, lookup))
+    fact = temperature.temperature_fact(mapped_temperatures(t))
     return fact.withColumn("avg_temp", F.round("avg_temp", 4))
 
 
@@ -445,6 +474,7 @@ def temperature_fact(t: Tables) -> DataFrame:
 def published_traveller_share(t: Tables) -> DataFrame:
     """Two facts published under their contracts, checked, then queried in SQL."""
     paths = warehouse.Paths(staging_path(t.spark, "stage"), staging_path(t.spark, "out"))
+    t = with_items(t)
     publish_table(arrivals.arrivals_fact(cleaned(t)), S.FACT_IMMIGRATION, paths.output)
     publish_table(
         demographics.demographics_fact(raw_demographics(t)),
@@ -454,3 +484,135 @@ def published_traveller_share(t: Tables) -> DataFrame:
     names = ["fact_immigration", "fact_demographics"]
     warehouse.check_tables(t.spark, paths, names)
     return warehouse.traveller_share(t.spark, paths, names)
+
+
+_MEASURES = {
+    "fact_immigration": "all_travellers",
+    "fact_ports": "num_of_ports",
+    "fact_demographics": "total_pop",
+    "fact_temperature": "observation_count",
+}
+
+
+@query(
+    f"""
+    WITH {CLEANED_SQL}, travellers AS ({FACT_SQL}), {PORTS_SQL}, {STATE_FACT_SQL},
+    {PAIRS_SQL}, lookup AS (
+        SELECT number, min(lpad(CAST(nation AS VARCHAR), 2, '0')) AS state_id
+        FROM pairs GROUP BY number
+    ), observed AS (
+        SELECT state_id, year(o_orderdate) AS year, count(*) AS n
+        FROM orders JOIN lookup ON o_custkey = number
+        WHERE o_orderpriority <> '5-LOW' AND o_orderstatus <> 'P'
+        GROUP BY state_id, year(o_orderdate)
+    )
+    SELECT 'fact_immigration' AS table_name, count(*) AS row_count,
+        CAST(sum(all_travellers) AS BIGINT) AS total FROM travellers
+    UNION ALL SELECT 'fact_ports', count(DISTINCT (state_id, port_type)), count(*) FROM ports
+    UNION ALL SELECT 'fact_demographics', count(*), CAST(sum(total_pop) AS BIGINT) FROM fact
+    UNION ALL SELECT 'fact_temperature', count(*), CAST(sum(n) AS BIGINT) FROM observed
+    UNION ALL SELECT 'dim_state', count(DISTINCT c_nationkey), NULL FROM items
+    UNION ALL SELECT 'dim_datetime', count(DISTINCT arrdateclean), NULL FROM cleaned
+    UNION ALL SELECT 'dim_traveller_profile', count(DISTINCT profile_id), NULL FROM cleaned
+    """
+)
+def published_star_schema(t: Tables) -> DataFrame:
+    """All seven tables published from inputs read once, checked, then counted and summed."""
+    root = staging_path(t.spark, "out")
+    t = with_items(t)
+    staged = land(cleaned(t), staging_path(t.spark, "cleaned"))
+    located = land(ports.country_ports(raw_ports(t)), staging_path(t.spark, "ports"))
+    cities = raw_demographics(t)
+    fact = publish_table(arrivals.arrivals_fact(staged), S.FACT_IMMIGRATION, root)
+    built = [
+        (S.FACT_PORTS, ports.ports_fact(located)),
+        (S.FACT_DEMOGRAPHICS, demographics.demographics_fact(cities)),
+        (S.FACT_TEMPERATURE, temperature.temperature_fact(mapped_temperatures(t))),
+        (S.DIM_STATE, demographics.states(cities)),
+        (S.DIM_DATETIME, arrivals.calendar(fact, "arrival_date")),
+        (S.DIM_TRAVELLER_PROFILE, arrivals.traveller_profiles(staged)),
+    ]
+    tables = {"fact_immigration": fact}
+    for contract, df in built:
+        tables[contract.name] = publish_table(df, contract, root)
+    warehouse.check_references(t.spark, warehouse.Paths("", root))
+    none = F.lit(None).cast("bigint")
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(
+                F.lit(name).alias("table_name"),
+                F.count("*").alias("row_count"),
+                (F.sum(_MEASURES[name]).cast("bigint") if name in _MEASURES else none).alias("total"),
+            )
+            for name, df in tables.items()
+        ],
+    )
+
+
+@query(f"WITH {CLEANED_SQL} {FACT_SQL}")
+def refreshed_arrivals(t: Tables) -> DataFrame:
+    """The fact after three batches, of which one was corrected and one written anew.
+
+    The second batch is first loaded with all its arrivals 40 days late, so that its rows
+    leave months when it is corrected; the third is a glob whose files get new names.
+    """
+    paths = warehouse.Paths(staging_path(t.spark, "stage"), staging_path(t.spark, "out"))
+    raw = land(raw_arrivals(t), staging_path(t.spark, "raw"))
+    root = staging_path(t.spark, "batches")
+    labels = {}
+    for name, lookup in {
+        "mode": arrivals.mode_labels(t.spark),
+        "visa": arrivals.visa_labels(t.spark),
+        "port": port_lookup(t),
+        "citizenship": citizenship_lookup(t),
+    }.items():
+        labels[name] = publish(lookup, f"{root}/labels/{name}", "csv")
+
+    def batch(number: int, days_late: int = 0) -> str:
+        rows = raw.where(F.pmod(F.xxhash64("i94port"), F.lit(3)) == number)
+        land(rows.withColumn("arrdate", F.col("arrdate") + days_late), f"{root}/b{number}")
+        return f"{root}/b{number}" if number < 2 else f"{root}/b{number}/*.parquet"
+
+    first = [batch(0), batch(1, days_late=40), batch(2)]
+    warehouse.prepare_arrivals(t.spark, first, labels, paths)
+    warehouse.build_arrivals(t.spark, paths)
+    for number in (1, 2):
+        again = [batch(number)]
+        warehouse.prepare_arrivals(t.spark, again, labels, paths, refresh="batches")
+        warehouse.build_arrivals(t.spark, paths, changes=True)
+    warehouse.check_arrivals(t.spark, paths)
+    fact = load_table(t.spark, S.FACT_IMMIGRATION, paths.output).drop("record_id")
+    keys = S.FACT_IMMIGRATION.natural_key
+    return fact.select(
+        *keys, *[F.col(c).cast("bigint").alias(c) for c in fact.columns if c not in keys]
+    )
+
+
+@query(
+    f"""
+    WITH {CLEANED_SQL}, fact AS ({FACT_SQL})
+    SELECT state_id, arrival_date, profile_id, all_travellers, true AS same_id,
+        true AS unique_id FROM fact
+    """
+)
+def lasting_ids(t: Tables) -> DataFrame:
+    """Ids after a load of the early years, of all years, and of all again: none has changed."""
+    root = staging_path(t.spark, "out")
+    fact = land(arrivals.arrivals_fact(cleaned(t)), staging_path(t.spark, "fact"))
+    keys = list(S.FACT_IMMIGRATION.natural_key)
+    first = publish_table(fact.where(F.year("arrival_date") < 1998), S.FACT_IMMIGRATION, root)
+    early = first.select(*keys, F.col("record_id").alias("early_id"))
+    for _ in range(2):
+        last = publish_table(fact, S.FACT_IMMIGRATION, root)
+    holders = last.groupBy("record_id").agg(F.count("*").alias("n"))
+    return (
+        last.join(early, keys, "left")
+        .join(holders, "record_id")
+        .select(
+            *keys,
+            F.col("all_travellers").cast("bigint").alias("all_travellers"),
+            F.coalesce(F.col("record_id") == F.col("early_id"), F.lit(True)).alias("same_id"),
+            (F.col("n") == 1).alias("unique_id"),
+        )
+    )

@@ -17,7 +17,8 @@ from quaymart.sources import land, staging_path
 
 PAIRS_SQL = """pairs AS (
         SELECT CAST(split_part(c_name, '#', 2) AS BIGINT) AS number, c_nationkey AS nation
-        FROM customer WHERE c_acctbal > 0
+        FROM customer
+        WHERE c_acctbal > 0 AND c_mktsegment NOT IN ('HOUSEHOLD', 'FURNITURE')
         UNION
         SELECT CAST(split_part(s_name, '#', 2) AS BIGINT) AS number, s_nationkey AS nation
         FROM supplier
@@ -26,19 +27,26 @@ PAIRS_SQL = """pairs AS (
 
 def numbered(df: DataFrame, name: str, nation: str) -> DataFrame:
     number = last_token(F.col(name), "#").cast("bigint")
-    return df.select(number.alias("number"), F.col(nation).alias("nation"))
+    return df.select(number.alias("number"), F.col(nation).cast("string").alias("nation"))
 
 
 def pairs(t: Tables) -> DataFrame:
-    """Numbers of customers and suppliers with their nations; some have several."""
-    return merge_lookups(
+    """Numbers of customers and suppliers with their nations; some have several.
+
+    Customers of one segment have no nation, those of another the text of none.
+    """
+    segment = F.col("c_mktsegment")
+    nation = F.when(segment == "FURNITURE", "None").when(
+        segment != "HOUSEHOLD", F.col("c_nationkey").cast("string")
+    )
+    customers = t.customer.where("c_acctbal > 0").withColumn("nation", nation)
+    merged = merge_lookups(
         [
-            clean_lookup(
-                numbered(t.customer.where("c_acctbal > 0"), "c_name", "c_nationkey")
-            ),
+            clean_lookup(numbered(customers, "c_name", "nation")),
             clean_lookup(numbered(t.supplier, "s_name", "s_nationkey")),
         ]
     )
+    return merged.withColumn("nation", F.col("nation").cast("int"))
 
 
 @query(f"WITH {PAIRS_SQL} SELECT * FROM pairs")

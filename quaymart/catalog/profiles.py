@@ -155,19 +155,41 @@ def coverage_report(t: Tables) -> DataFrame:
 
 @query(
     """
-    WITH segments AS (SELECT DISTINCT upper(event_type) AS name FROM events),
-    roles AS (SELECT DISTINCT upper(source) AS name FROM documents)
+    WITH brands AS (SELECT DISTINCT upper(lower(p_brand)) AS name FROM part),
+    small AS (SELECT DISTINCT upper(p_brand) AS name FROM part WHERE p_size = 1)
     SELECT count(*) AS total_keys,
-        count(*) FILTER (WHERE name IN (SELECT name FROM roles)) AS in_sources
-    FROM segments
+        count(*) FILTER (WHERE name IN (SELECT name FROM small)) AS in_small
+    FROM brands
     """
 )
 def case_blind_coverage(t: Tables) -> DataFrame:
-    """Coverage of names compared in upper case."""
-    events = t.events.select(F.upper("event_type").alias("name"))
-    sources = t.documents.select(F.upper("source").alias("name"))
-    flags = membership_flags(events, "name", {"in_sources": (sources, "name")})
-    return coverage_totals(flags, ["in_sources"])
+    """Coverage of names that two tables write in different case."""
+    written = t.part.select(F.lower("p_brand").alias("brand"))
+    small = t.part.where("p_size = 1").select(F.upper("p_brand").alias("name"))
+    brands = written.select(F.upper("brand").alias("name"))
+    return coverage_totals(
+        membership_flags(brands, "name", {"in_small": (small, "name")}), ["in_small"]
+    )
+
+
+_SIGNED_SQL = "round(c_acctbal / 4000) * 0.5 + 0.0"
+
+
+@query(
+    f"""
+    SELECT 'tier' AS column_name, count(DISTINCT tier) AS distinct_count,
+        count(*) AS row_count, string_agg(DISTINCT CAST(tier AS VARCHAR), ',' ORDER BY
+            CAST(tier AS VARCHAR)) AS sample
+    FROM (SELECT {_SIGNED_SQL} AS tier FROM customer)
+    """
+)
+def double_profile(t: Tables) -> DataFrame:
+    """Distinct values of a column of doubles in which zeros of both signs occur."""
+    tiers = t.customer.select((F.round(F.col("c_acctbal") / 4000) * 0.5).alias("tier"))
+    values = F.transform("sample_values", lambda s: s["value"])
+    return distinct_profile(tiers, ["tier"]).select(
+        "column_name", "distinct_count", "row_count", F.array_join(values, ",").alias("sample")
+    )
 
 
 @query(

@@ -25,6 +25,7 @@ from quaymart.sources import (
     publish_table,
     read_batches,
     read_csv,
+    read_csv_checked,
     read_lookup,
     read_parquet,
     staging_path,
@@ -188,3 +189,52 @@ def landed_table(t: Tables) -> DataFrame:
     parquet = staging_path(t.spark, "supplier")
     land(parsed, parquet)
     return read_parquet(t.spark, parquet, t.supplier.columns)
+
+
+@query(
+    """
+    SELECT CASE WHEN s_nationkey % 2 = 0 THEN 'even' ELSE 'odd' END AS folder,
+        count(*) FILTER (WHERE s_acctbal >= 2000) AS good_rows,
+        count(*) FILTER (WHERE s_acctbal < 2000) AS bad_rows,
+        round(coalesce(sum(s_acctbal) FILTER (WHERE s_acctbal >= 2000), 0), 2) AS balance
+    FROM supplier GROUP BY 1
+    """
+)
+def unreadable_rows(t: Tables) -> DataFrame:
+    """Readable and unreadable rows of text files by folder, from one parse.
+
+    Low balances are written as text, and the lowest without their last field.
+    """
+    root = staging_path(t.spark, "suppliers")
+    balance = F.col("s_acctbal")
+    fields = ["s_suppkey", "s_name", "s_nationkey"]
+    full = F.concat_ws(";", *fields, F.when(balance < 2000, "low").otherwise(balance.cast("string")))
+    line = F.when(balance < 0, F.concat_ws(";", *fields)).otherwise(full)
+    header = t.spark.range(1).select(F.lit(";".join(t.supplier.columns)).alias("line"))
+    for folder, rest in (("even", 0), ("odd", 1)):
+        lines = t.supplier.where(F.col("s_nationkey") % 2 == rest)
+        rows = lines.select(F.lit(1).alias("place"), line.alias("line"))
+        named = header.select(F.lit(0).alias("place"), "line").unionByName(rows)
+        # The header comes first; one small file each.
+        named.repartition(1).sortWithinPartitions("place").select("line").write.text(f"{root}/{folder}")
+    good, bad = read_csv_checked(
+        t.spark,
+        [f"{root}/even", f"{root}/odd"],
+        t.supplier.schema,
+        staging_path(t.spark, "parsed"),
+        ";",
+    )
+    parity = F.when(F.col("s_nationkey") % 2 == 0, "even").otherwise("odd")
+    folder = F.element_at(F.split("file", "/"), -2)
+    amounts = good.select(
+        parity.alias("folder"), F.lit(1).alias("good"), F.lit(0).alias("bad"), "s_acctbal"
+    ).unionByName(
+        bad.select(
+            folder.alias("folder"), F.lit(0).alias("good"), F.lit(1).alias("bad"), F.lit(0.0).alias("s_acctbal")
+        )
+    )
+    return amounts.groupBy("folder").agg(
+        F.sum("good").alias("good_rows"),
+        F.sum("bad").alias("bad_rows"),
+        F.round(F.sum("s_acctbal"), 2).alias("balance"),
+    )

@@ -11,7 +11,7 @@ from quaymart.functions.dates import (
 )
 from quaymart.functions.ids import sequence_id, stable_id
 from quaymart.functions.numbers import percentage, ratio, strict_cast, to_number
-from quaymart.functions.text import composite_key, last_token
+from quaymart.functions.text import composite_key, last_token, quoted
 
 __all__ = [
     "bucketize",
@@ -24,6 +24,7 @@ __all__ = [
     "parse_date",
     "parse_timestamp",
     "percentage",
+    "quoted",
     "ratio",
     "sequence_id",
     "stable_id",

@@ -28,3 +28,8 @@ def composite_key(parts: Sequence[Column | tuple[Column, int]]) -> Column:
         for part in parts
     ]
     return F.lower(F.concat(*pieces))
+
+
+def quoted(name: str) -> str:
+    """A column name as ``F.col`` takes it whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"

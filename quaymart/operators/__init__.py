@@ -2,8 +2,12 @@
 
 from quaymart.operators.checks import (
     QualityError,
+    Reference,
+    collected,
     enforce,
+    orphans,
     reconcile,
+    reconcile_totals,
     table_checks,
 )
 from quaymart.operators.labels import (
@@ -47,10 +51,12 @@ from quaymart.operators.shares import share_of_total
 __all__ = [
     "InvalidLookup",
     "QualityError",
+    "Reference",
     "ambiguous_keys",
     "attribute_variants",
     "broadcast_if_small",
     "clean_lookup",
+    "collected",
     "column_info",
     "counts_by_category",
     "coverage_totals",
@@ -67,8 +73,10 @@ __all__ = [
     "null_profile",
     "numeric_summary",
     "one_value_per_key",
+    "orphans",
     "prepare_lookups",
     "reconcile",
+    "reconcile_totals",
     "rollup",
     "schema_difference",
     "share_of_total",

@@ -8,17 +8,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quaymart.functions import quoted
 from quaymart.operators.labels import broadcast_if_small
 
 
 def clean_lookup(df: DataFrame, placeholder: str | None = "None") -> DataFrame:
     """Drop rows with a null in any column, or the text a null was written as."""
-    kept = df.na.drop("any")
-    if placeholder is None:
-        return kept
     for name in df.columns:
-        kept = kept.where(F.col(name).cast("string") != placeholder)
-    return kept
+        value = F.col(quoted(name))
+        df = df.where(value.isNotNull())
+        if placeholder is not None:
+            df = df.where(value.cast("string") != placeholder)
+    return df
 
 
 def merge_lookups(lookups: Sequence[DataFrame]) -> DataFrame:
@@ -32,14 +33,14 @@ def one_value_per_key(lookup: DataFrame, key: str, value: str) -> DataFrame:
     Keys with several values are not told apart by anything in the lookup; the
     smallest is a choice that does not change from run to run.
     """
-    return lookup.groupBy(key).agg(F.min(value).alias(value))
+    return lookup.groupBy(F.col(quoted(key))).agg(F.min(quoted(value)).alias(value))
 
 
 def ambiguous_keys(lookup: DataFrame, key: str, value: str) -> DataFrame:
     """Keys with more than one value, and how many they have."""
     return (
-        lookup.groupBy(key)
-        .agg(F.count_distinct(value).alias("num_values"))
+        lookup.groupBy(F.col(quoted(key)))
+        .agg(F.count_distinct(quoted(value)).alias("num_values"))
         .where(F.col("num_values") > 1)
     )
 
@@ -52,7 +53,7 @@ def keep_first(
     The filter on the row number lets Spark keep one row per key in each task
     before the shuffle, so a key with very many rows is no bottleneck.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*map(quoted, keys)).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 

@@ -8,11 +8,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaymart.functions import percentage
+from quaymart.functions import percentage, quoted
 
 
 def _quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return F.col(quoted(name))
+
+
+def _as_text(df: DataFrame, name: str) -> Column:
+    """A value as text; a negative zero is zero."""
+    value = _quoted(name)
+    if dict(df.dtypes)[name] in ("float", "double"):
+        value = value + F.lit(0.0).cast(dict(df.dtypes)[name])
+    return value.cast("string")
 
 
 def _one_row_each(
@@ -102,7 +110,7 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 *[
                     F.struct(
                         F.lit(c).alias("column_name"),
-                        _quoted(c).cast("string").alias("value"),
+                        _as_text(df, c).alias("value"),
                     )
                     for c in columns
                 ]
@@ -144,7 +152,8 @@ def attribute_variants(
     df: DataFrame, keys: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:
     """Every distinct combination of key and attributes, in key order."""
-    return df.select(*keys, *attributes).distinct().orderBy(*keys, *attributes)
+    columns = [_quoted(c) for c in (*keys, *attributes)]
+    return df.select(*columns).distinct().orderBy(*columns)
 
 
 def unstable_keys(
@@ -152,9 +161,9 @@ def unstable_keys(
 ) -> DataFrame:
     """Keys whose attributes are not always the same, and how many variants."""
     return (
-        df.select(*keys, *attributes)
+        df.select(*[_quoted(c) for c in (*keys, *attributes)])
         .distinct()
-        .groupBy(*keys)
+        .groupBy(*[_quoted(c) for c in keys])
         .agg(F.count("*").alias("num_variants"))
         .where(F.col("num_variants") > 1)
     )

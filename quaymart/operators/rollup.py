@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quaymart.functions import quoted
+
 
 def rollup(
     df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]
@@ -16,7 +18,8 @@ def rollup(
     One scan and, without distinct counts, one shuffle of partial sums, however
     many measures there are.  Rows with a null key form a group of their own.
     """
-    return df.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
+    by = [F.col(quoted(k)) for k in keys]
+    return df.groupBy(*by).agg(*[m.alias(name) for name, m in measures.items()])
 
 
 def _filled(total: Column, fill_zero: bool) -> Column:

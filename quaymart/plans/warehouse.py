@@ -15,7 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymart import schemas as S
-from quaymart.operators import enforce, reconcile, table_checks
+from quaymart.operators import (
+    Reference,
+    collected,
+    enforce,
+    orphans,
+    reconcile_totals,
+    table_checks,
+)
 from quaymart.plans import arrivals, demographics, ports, temperature
 from quaymart.sources import (
     Part,
@@ -31,6 +38,7 @@ from quaymart.sources import (
     publish_table,
     read_batches,
     read_csv,
+    read_csv_checked,
     read_lookup,
     read_parquet,
     register_tables,
@@ -51,6 +59,10 @@ class Paths:
     def arrivals(self) -> str:
         return f"{self.staging}/arrivals"
 
+    @property
+    def ports(self) -> str:
+        return f"{self.staging}/ports"
+
     @property
     def port_cities(self) -> str:
         return f"{self.staging}/port_cities"
@@ -238,7 +250,7 @@ def build_arrivals(
         paths.output,
         paths.output_format,
         refresh="partitions",
-        drop=directories,
+        directories=directories,
     )
     fact = load_table(
         spark, S.FACT_IMMIGRATION, paths.output, paths.output_format, directories
@@ -249,7 +261,7 @@ def build_arrivals(
         paths.output,
         paths.output_format,
         refresh="partitions",
-        drop=directories,
+        directories=directories,
         about=about,
     )
 
@@ -257,18 +269,26 @@ def build_arrivals(
 def build_ports(spark: SparkSession, path: str, paths: Paths) -> None:
     """Publish the ports fact and store the cities with ports."""
     raw = read_csv(spark, path).select(*S.PORTS.fieldNames())
-    kept = land(ports.country_ports(raw), f"{paths.staging}/ports")
+    kept = land(ports.country_ports(raw), paths.ports)
     _publish(ports.ports_fact(kept), S.FACT_PORTS, paths)
     land(ports.port_cities(kept), paths.port_cities)
 
 
-def build_demographics(spark: SparkSession, path: str, paths: Paths) -> None:
-    """Publish the demographics fact and the states, store the cities."""
-    raw = read_csv(spark, path, schema=S.DEMOGRAPHICS, sep=";")
-    cities = land(raw, f"{paths.staging}/demographics")
+def build_demographics(
+    spark: SparkSession, path: str, paths: Paths, most_unreadable: int | None = None
+) -> DataFrame:
+    """Publish the demographics fact and the states, store the cities.
+
+    Returns the unreadable rows, ``file, record``; they are left out, and are an error
+    beyond ``most_unreadable``.
+    """
+    cities, unreadable = read_csv_checked(
+        spark, path, S.DEMOGRAPHICS, f"{paths.staging}/demographics", ";", most=most_unreadable
+    )
     _publish(demographics.demographics_fact(cities), S.FACT_DEMOGRAPHICS, paths)
     _publish(demographics.states(cities), S.DIM_STATE, paths)
     land(demographics.demographic_cities(cities), paths.demographic_cities)
+    return unreadable
 
 
 def build_temperature(spark: SparkSession, path: str, paths: Paths) -> None:
@@ -298,26 +318,73 @@ def build_temperature(spark: SparkSession, path: str, paths: Paths) -> None:
 def check_tables(
     spark: SparkSession, paths: Paths, names: Sequence[str] = tuple(S.TABLES)
 ) -> DataFrame:
-    """Check that every table has rows and a unique key; raise if one fails."""
-    report = table_checks(
-        {
-            n: load_table(spark, S.TABLES[n], paths.output, paths.output_format)
-            for n in names
-        },
-        {n: [S.TABLES[n].key] for n in names},
+    """Check that every table has rows and a unique key; raise if one fails.
+
+    The report is computed once and returned as its rows.
+    """
+    report = collected(
+        table_checks(
+            {
+                n: load_table(spark, S.TABLES[n], paths.output, paths.output_format)
+                for n in names
+            },
+            {n: [S.TABLES[n].key] for n in names},
+        )
     )
     enforce(report, ["non_empty", "unique_key"])
     return report
 
 
+def check_totals(
+    spark: SparkSession, paths: Paths, names: Sequence[str] = ("arrivals", "ports")
+) -> DataFrame:
+    """Check that the facts count every cleaned arrival and port; raise if not."""
+    known = {
+        "arrivals": lambda: (S.FACT_IMMIGRATION, "all_travellers", staged_arrivals(spark, paths)),
+        "ports": lambda: (S.FACT_PORTS, "num_of_ports", read_parquet(spark, paths.ports)),
+    }
+    checks = {}
+    for name in names:
+        contract, measure, source = known[name]()
+        fact = load_table(spark, contract, paths.output, paths.output_format)
+        checks[name] = (fact, measure, source)
+    report = collected(reconcile_totals(checks))
+    enforce(report, ["reconciled"])
+    return report
+
+
 def check_arrivals(spark: SparkSession, paths: Paths) -> DataFrame:
     """Check that the arrivals fact counts every cleaned arrival; raise if not."""
-    report = reconcile(
-        load_table(spark, S.FACT_IMMIGRATION, paths.output, paths.output_format),
-        "all_travellers",
-        staged_arrivals(spark, paths),
-    )
-    enforce(report, ["reconciled"])
+    return check_totals(spark, paths, ["arrivals"])
+
+
+#: Columns of facts and the dimensions they point to.  States come from sources of their
+#: own, so a fact may have one that the dimension lacks; dates and profiles are built from
+#: the fact's own rows and must be there.
+REFERENCES = (
+    Reference("fact_immigration", "state_id", "dim_state", "state_id"),
+    Reference("fact_immigration", "arrival_date", "dim_datetime", "timestamp"),
+    Reference("fact_immigration", "profile_id", "dim_traveller_profile", "profile_id"),
+    Reference("fact_ports", "state_id", "dim_state", "state_id"),
+    Reference("fact_demographics", "state_id", "dim_state", "state_id"),
+    Reference("fact_temperature", "state_id", "dim_state", "state_id"),
+)
+REQUIRED = ("dim_datetime", "dim_traveller_profile")
+
+
+def check_references(
+    spark: SparkSession,
+    paths: Paths,
+    references: Sequence[Reference] = REFERENCES,
+    required: Sequence[str] = REQUIRED,
+) -> DataFrame:
+    """Report facts without dimension rows; raise if a ``required`` dimension lacks one."""
+    names = dict.fromkeys(n for r in references for n in (r.fact, r.dimension))
+    tables = {
+        n: load_table(spark, S.TABLES[n], paths.output, paths.output_format) for n in names
+    }
+    report = collected(orphans(tables, references))
+    enforce(report.where(F.col("dimension_name").isin(*required)), ["complete"])
     return report
 
 

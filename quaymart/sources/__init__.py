@@ -7,14 +7,15 @@ from quaymart.sources.publish import (
     publish_table,
     register_tables,
     table_folders,
-    with_ids,
 )
 from quaymart.sources.readers import (
+    UnreadableRows,
     covers,
     land,
     monthly_paths,
     read_batches,
     read_csv,
+    read_csv_checked,
     read_lookup,
     read_parquet,
 )
@@ -32,6 +33,7 @@ from quaymart.sources.versions import (
 
 __all__ = [
     "Part",
+    "UnreadableRows",
     "Version",
     "commit",
     "conform",
@@ -46,6 +48,7 @@ __all__ = [
     "publish_table",
     "read_batches",
     "read_csv",
+    "read_csv_checked",
     "read_lookup",
     "read_parquet",
     "register_tables",
@@ -54,6 +57,5 @@ __all__ = [
     "remove_staging",
     "staging_path",
     "table_folders",
-    "with_ids",
     "written_parts",
 ]

@@ -10,9 +10,8 @@ from pyspark.sql.types import StructType
 
 from quaymart.functions import sequence_id, stable_id, strict_cast
 from quaymart.schemas import TABLES, Table
-from quaymart.sources.readers import land
-from quaymart.sources.staging import staging_path
 from quaymart.sources.versions import (
+    Part,
     Version,
     commit,
     find_version,
@@ -44,6 +43,7 @@ def publish(
     refresh: str = "all",
     rebalance: bool = True,
     sequence: str | None = None,
+    first: int = 0,
 ) -> str:
     """Write a table so that running it again leaves the same table.
 
@@ -59,8 +59,8 @@ def publish(
     files of good size and a dominant one is split over many tasks.  Turn it off
     where the input already arrives ordered by partition.
 
-    ``sequence`` names a column to put first and fill with unique ids, in the
-    stage that writes the files.
+    ``sequence`` names a column to put first and fill with unique ids from ``first`` on,
+    in the stage that writes the files; where the column is there, only its nulls.
     """
     if refresh not in ("all", "partitions", "append"):
         raise ValueError(f"unknown refresh {refresh!r}")
@@ -72,7 +72,11 @@ def publish(
     if directories and rebalance:
         df = df.hint("rebalance", *directories)
     if sequence:
-        df = df.select(sequence_id().alias(sequence), *df.columns)
+        given = F.lit(first) + sequence_id()
+        if sequence in df.columns:
+            given = F.coalesce(sequence, given)
+        others = [c for c in df.columns if c != sequence]
+        df = df.select(given.alias(sequence), *others)
     writer = df.write.mode("append" if refresh == "append" else "overwrite")
     if directories:
         writer = writer.partitionBy(*directories).option(
@@ -84,46 +88,31 @@ def publish(
     return path
 
 
-def _directories(df: DataFrame, partitions: Mapping[str, str]) -> set[str]:
-    """The directories, named by whole numbers, that the rows of ``df`` go to.
-
-    A row for each is collected.
-    """
-    names = df.select(*(F.expr(e).alias(c) for c, e in partitions.items())).distinct().collect()
-    return {"/".join(f"{c}={r[c]}" for c in partitions) for r in names}
-
+def _keys(
+    spark: SparkSession, table: Table, root: str, parts: Sequence[Part], file_format: str
+) -> DataFrame:
+    """Ids and natural keys of some directories of a table."""
+    options = {"header": "true", "enforceSchema": "false"} if file_format == "csv" else {}
+    rows = load_parts(spark, f"{root}/{table.name}", parts, table.schema, file_format, **options)
+    return rows.select(table.key, *table.natural_key)
 
-def with_ids(rows: DataFrame, table: Table, root: str) -> DataFrame:
-    """``rows`` with the table's surrogate id, the same for a natural key in every load.
 
-    A table of keys below ``root`` maps natural keys to ids.  Keys it lacks are added with
-    ids beyond all given so far, in the stage that writes them; ids are then read from the
-    written keys, so a lost executor cannot make two rows share one.  It is partitioned
-    like the table: a refresh of some partitions reads only their keys.  ``rows`` is read
-    several times and should be a stored table.
-    """
-    spark = rows.sparkSession
+def _left_keys(spark: SparkSession, table: Table, root: str) -> tuple[str, Version | None]:
+    """Where the keys are kept that have left the table, and their version."""
     path = f"{root}/keys/{table.name}"
-    natural = list(table.natural_key)
-    schema = StructType([f for f in table.schema.fields if f.name in (table.key, *natural)])
-    now = find_version(spark, path)
-    touched = _directories(rows, table.partitions) if table.partitions else {""}
+    return path, find_version(spark, path)
 
-    def held(version: Version | None) -> DataFrame:
-        parts = [p for p in version.parts if p.part in touched] if version else []
-        return load_parts(spark, path, parts, schema)
 
-    new = rows.select(*natural).distinct().join(held(now), natural, "left_anti")
-    first = int(now.about["next"]) if now else 0
-    new = new.select((F.lit(first) + sequence_id()).alias(table.key), *natural)
+def _keep_left_keys(old: DataFrame, new: DataFrame, table: Table, root: str) -> None:
+    """Keep the ids of keys that a load takes out of the table: they may come back."""
+    spark = old.sparkSession
+    gone = old.join(new.select(*table.natural_key), list(table.natural_key), "left_anti")
+    path, now = _left_keys(spark, table, root)
     folder = new_folder()
-    publish(new, f"{path}/{folder}", partition_by=table.partitions, rebalance=False)
-    added = written_parts(spark, path, folder, bool(table.partitions))
-    last = load_parts(spark, path, added, schema).agg(F.max(table.key)).first()[0]
-    if last is not None:
-        parts = (*(now.parts if now else ()), *added)
-        now = commit(spark, path, parts, {"next": str(last + 1)}, now)
-    return rows.join(held(now), natural)
+    publish(gone.select(*old.columns), f"{path}/{folder}")
+    added = written_parts(spark, path, folder, False)
+    if not load_parts(spark, path, added, old.schema).isEmpty():
+        commit(spark, path, (*(now.parts if now else ()), *added), after=now)
 
 
 def publish_table(
@@ -133,18 +122,22 @@ def publish_table(
     file_format: str = "parquet",
     refresh: str = "all",
     stable_ids: bool = False,
-    drop: Iterable[str] = (),
+    directories: Iterable[str] | None = None,
     about: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Conform to the table's contract, write a new version below ``root`` and read it back.
 
     Readers see the old version until the new one is whole; a load that fails leaves the
     old one.  ``refresh`` is ``all`` (replace the table), ``partitions`` (replace those
-    that occur in ``df`` and those that ``drop`` names) or ``append`` (add rows).
-
-    A key that ``df`` lacks is a surrogate id and is added here, from the table of keys
-    (:func:`with_ids`) or, with ``stable_ids``, as a hash of the natural key.  ``about``
-    is kept with the version.
+    that occur in ``df``) or ``append`` (add rows).  ``directories`` names the partitions
+    that ``df`` replaces, also those it has no rows for; rows elsewhere are an error then.
+
+    A key that ``df`` lacks is a surrogate id and is added here.  A natural key keeps its id
+    in every later load, also if it left the table and came back: ids are joined from the
+    table itself (only ``directories`` of it) and from the few keys that have left it; new
+    keys get ids beyond all given so far, in the stage that writes the files, so a lost
+    executor cannot make two rows share one.  With ``stable_ids`` the id is a hash of the
+    natural key instead.  ``about`` is kept with the version.
     """
     if refresh not in ("all", "partitions", "append"):
         raise ValueError(f"unknown refresh {refresh!r}")
@@ -153,24 +146,54 @@ def publish_table(
     spark = df.sparkSession
     path = f"{root}/{table.name}"
     now = find_version(spark, path)
-    if table.key not in df.columns:
-        if stable_ids:
-            df = df.withColumn(table.key, stable_id(table.natural_key))
-        else:
-            without = StructType([f for f in table.schema.fields if f.name != table.key])
-            rows = land(conform(df, without), staging_path(spark, table.name))
-            df = with_ids(rows, table, root)
+    held = now.parts if now else ()
+    only = None if directories is None else set(directories)
+    touched = [p for p in held if only is None or p.part in only]
+    sequence, first = None, 0
+    if table.key in df.columns:
+        rows = conform(df, table.schema)
+    elif stable_ids:
+        rows = conform(df.withColumn(table.key, stable_id(table.natural_key)), table.schema)
+    else:
+        sequence = table.key
+        rows = conform(df, StructType([f for f in table.schema.fields if f.name != sequence]))
+        if now:
+            known = _keys(spark, table, root, touched, file_format)
+            left, version = _left_keys(spark, table, root)
+            if version:
+                known = known.unionByName(load_parts(spark, left, version.parts, known.schema))
+            rows = rows.join(known.distinct(), list(table.natural_key), "left")
+            first = int(now.about.get("next_id", 0)) or _next_id(
+                _keys(spark, table, root, held, file_format), sequence
+            )
+        rows = rows.select(*(c for c in table.columns if c in rows.columns))
     folder = new_folder()
-    publish(conform(df, table.schema), f"{path}/{folder}", file_format, table.partitions)
+    publish(
+        rows, f"{path}/{folder}", file_format, table.partitions, sequence=sequence, first=first
+    )
     added = written_parts(spark, path, folder, bool(table.partitions))
-    kept = now.parts if now and refresh != "all" else ()
+    if only is not None and (other := sorted({p.part for p in added} - only)):
+        raise ValueError(f"rows outside the directories to replace: {other[:5]}")
+    kept = held if refresh != "all" else ()
     if refresh == "partitions":
-        gone = {p.part for p in added} | set(drop)
-        kept = tuple(p for p in kept if p.part not in gone)
+        gone = {p.part for p in added} | (only or set())
+        kept = tuple(p for p in held if p.part not in gone)
+    about = dict(about or {})
+    if sequence:
+        new = _keys(spark, table, root, added, file_format)
+        about["next_id"] = str(max(first, _next_id(new, sequence)))
+        replaced = [p for p in held if p not in kept]
+        if replaced:
+            _keep_left_keys(_keys(spark, table, root, replaced, file_format), new, table, root)
     commit(spark, path, (*kept, *added), about, now)
     return load_table(spark, table, root, file_format)
 
 
+def _next_id(keys: DataFrame, name: str) -> int:
+    last = keys.agg(F.max(name)).first()[0]
+    return 0 if last is None else last + 1
+
+
 def load_table(
     spark: SparkSession,
     table: Table,

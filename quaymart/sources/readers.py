@@ -38,6 +38,46 @@ def read_csv(
     return reader.csv(path)
 
 
+class UnreadableRows(ValueError):
+    """More rows of a file could not be read than are allowed."""
+
+
+def read_csv_checked(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType,
+    landing: str,
+    sep: str = ",",
+    date_format: str | None = None,
+    most: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of a CSV table that fit its schema, and ``file, record`` of those that don't.
+
+    A value that is no number or date, or a missing or additional field, makes a row
+    unreadable, where :func:`read_csv` would make the value null.  The text is parsed once,
+    into Parquet at ``landing``; both results read that.  More than ``most`` unreadable
+    rows are an error.
+    """
+    text, file = "_unreadable", "_file"
+    full = StructType([*schema.fields, StructField(text, StringType())])
+    reader = spark.read.options(header=True, sep=sep, enforceSchema=False)
+    if date_format:
+        reader = reader.option("dateFormat", date_format)
+    parsed = (
+        reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=text)
+        .schema(full)
+        .csv(path)
+        .withColumn(file, F.input_file_name())
+    )
+    rows = land(parsed, landing)
+    bad = rows.where(F.col(text).isNotNull()).select(
+        F.col(file).alias("file"), F.col(text).alias("record")
+    )
+    if most is not None and (n := bad.count()) > most:
+        raise UnreadableRows(f"{n} unreadable rows in {path}, {most} allowed; see {landing}")
+    return rows.where(F.col(text).isNull()).select(*schema.fieldNames()), bad
+
+
 def read_lookup(
     spark: SparkSession, path: str, columns: Sequence[str], sep: str = ","
 ) -> DataFrame:

@@ -5,10 +5,12 @@ from pyspark.sql.types import DoubleType
 from quaymart.operators import (
     InvalidLookup,
     QualityError,
+    Reference,
     ambiguous_keys,
     attribute_variants,
     broadcast_if_small,
     clean_lookup,
+    collected,
     column_info,
     counts_by_category,
     coverage_totals,
@@ -25,8 +27,10 @@ from quaymart.operators import (
     null_profile,
     numeric_summary,
     one_value_per_key,
+    orphans,
     prepare_lookups,
     reconcile,
+    reconcile_totals,
     rollup,
     schema_difference,
     share_of_total,
@@ -397,3 +401,56 @@ def test_distinct_counts(spark):
         [("a", "x"), ("a", "x"), ("a", "y"), ("b", None)], "k string, v string"
     )
     assert rows(distinct_counts(df, ["k"], "v", "n")) == [("a", 2), ("b", 0)]
+
+
+def test_reconcile_totals(spark, trips):
+    fact = rollup(trips, ["state"], {"total": F.count("*")})
+    report = reconcile_totals(
+        {
+            "whole": (fact, "total", trips),
+            "part": (fact.where("state = 'CA'"), "total", trips),
+            "nothing": (fact.limit(0), "total", trips.limit(0)),
+        }
+    )
+    assert rows(report) == [("nothing", 0, 0, True), ("part", 3, 6, False), ("whole", 6, 6, True)]
+    assert plan(report).count("Exchange") == 3  # the two facts, and the sums
+    once = collected(report)
+    assert "Scan parquet" not in plan(once) and rows(once) == rows(report)
+
+
+def test_orphans(spark):
+    fact = spark.createDataFrame(
+        [(1, "a.b", 2), (1, "x", 2), (9, "x", 2), (None, "x", 2), (9, "y", 2)],
+        "k int, `s.t` string, all int",
+    )
+    numbers = spark.createDataFrame([(1,), (2,), (None,)], "id long")
+    texts = spark.createDataFrame([("x",), ("y",), ("a.b",)], "`t.x` string")
+    tables = {"fact": fact, "numbers": numbers, "texts": texts, "none": numbers.limit(0)}
+    references = [
+        Reference("fact", "k", "numbers", "id"),
+        Reference("fact", "s.t", "texts", "t.x"),
+        Reference("fact", "all", "none", "id"),
+        Reference("none", "id", "numbers", "id"),
+    ]
+    report = orphans(tables, references)
+    assert rows(report) == [
+        ("fact", "all", "none", 5, 5, 1, False),
+        ("fact", "k", "numbers", 5, 3, 2, False),
+        ("fact", "s.t", "texts", 5, 0, 0, True),
+        ("none", "id", "numbers", 0, 0, 0, True),
+    ]
+
+
+def test_names_with_dots_and_both_zeros(spark):
+    df = spark.createDataFrame(
+        [("a.", 0.0, 1), ("a.", -0.0, 2), (None, 1.5, 1), ("None", 1.5, 1)], "`k.x` string, `v.y` double, n int"
+    )
+    assert rows(value_counts(df, ["v.y"])) == [("v.y", "0.0", 2), ("v.y", "1.5", 2)]
+    (profile,) = distinct_profile(df, ["v.y"]).collect()
+    assert profile.distinct_count == 2
+    assert clean_lookup(df).count() == 2
+    assert rows(one_value_per_key(clean_lookup(df), "k.x", "n")) == [("a.", 1)]
+    assert rows(unstable_keys(df, ["k.x"], ["n"])) == [("a.", 2)]
+    assert attribute_variants(df, ["k.x"], ["n"]).count() == 4
+    assert keep_first(df, ["k.x"], ["n"]).count() == 3
+    assert rollup(df, ["k.x"], {"total": F.sum("n")}).count() == 3

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from quaymart import schemas as S
+from quaymart.functions import calendar_columns
 from quaymart.sources import (
     conform,
     land,
@@ -13,7 +14,9 @@ from quaymart.sources import (
     load_table,
     monthly_paths,
     publish,
+    UnreadableRows,
     publish_table,
+    read_csv_checked,
     read_batches,
     read_csv,
     read_lookup,
@@ -248,3 +251,33 @@ def test_files_that_a_path_covers(path, file, expected):
 def test_every_part_of_a_month_template_is_filled():
     months = monthly_paths("Raw/%Y/a_%b%y.parquet", dt.date(2016, 12, 1), dt.date(2017, 1, 1))
     assert months == ["Raw/2016/a_dec16.parquet", "Raw/2017/a_jan17.parquet"]
+
+
+def test_unreadable_rows_are_kept_apart(spark, tmp_path):
+    for name, lines in {"a": ["A;1;0.5", "B;abc;1", "C;;2"], "b": ["D;4", "E;5;6;7", "F;6;x"]}.items():
+        (tmp_path / f"{name}.csv").write_text("\n".join(["s;n;v", *lines]) + "\n")
+    schema = spark.createDataFrame([], "s string, n int, v double").schema
+    source = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    good, bad = read_csv_checked(spark, source, schema, f"{tmp_path}/landed", ";")
+    assert rows(good) == [("A", 1, 0.5), ("C", None, 2.0)]
+    found = [(os.path.basename(r.file), r.record) for r in bad.collect()]
+    assert sorted(found) == [("a.csv", "B;abc;1"), ("b.csv", "D;4"), ("b.csv", "E;5;6;7"), ("b.csv", "F;6;x")]
+    with pytest.raises(UnreadableRows, match="4 unreadable rows"):
+        read_csv_checked(spark, source, schema, f"{tmp_path}/again", ";", most=3)
+    read_csv_checked(spark, source, schema, f"{tmp_path}/again", ";", most=4)
+
+
+def test_rows_outside_the_directories_to_replace(spark, tmp_path):
+    days = spark.createDataFrame([(dt.date(2016, 1, 5),), (dt.date(2016, 2, 1),)], "timestamp date")
+    table = days.select(
+        "timestamp", *[c.alias(n) for n, c in calendar_columns(F.col("timestamp")).items()]
+    )
+    publish_table(table, S.DIM_DATETIME, str(tmp_path))
+    january = ["month_=1/year_=2016"]
+    with pytest.raises(ValueError, match="outside the directories"):
+        publish_table(
+            table, S.DIM_DATETIME, str(tmp_path), refresh="partitions", directories=january
+        )
+    none = table.where("month = 3")
+    publish_table(none, S.DIM_DATETIME, str(tmp_path), refresh="partitions", directories=january)
+    assert rows(load_table(spark, S.DIM_DATETIME, str(tmp_path)), "month") == [(2,)]
