@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from quaymart.llm.common import quoted, slices, stored, text_key, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-MIN_SEEDS, MIN_PATTERN, MIN_INSTANCE, ROUNDS = 5, 0.8, 0.9, 5
+MIN_SEEDS, MIN_PATTERN, MIN_INSTANCE, LONG_WORD = 5, 0.8, 0.9, 64
 
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -93,8 +94,46 @@ def shape_kinds(value: str) -> list[int]:
 
 
 def _masked(word: str) -> str:
-    """A context word: lower case, digits alike, outer punctuation away."""
-    return re.sub(r"[0-9]", "0", word.lower().strip("\"'.,;:!?()[]{}<>"))
+    """A context word: lower case, digits alike, outer punctuation away; a long one as a hash."""
+    word = re.sub(r"[0-9]", "0", word.lower().strip("\"'.,;:!?()[]{}<>"))
+    if len(word) <= LONG_WORD:
+        return word
+    return "#" + hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+class _Context:
+    """The words around places that come in order of their start; each word is cut out once."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.starts, self.ends = [], []
+        for m in _TOKEN.finditer(text):
+            self.starts.append(m.start())
+            self.ends.append(m.end())
+        self.words: dict[int, str] = {}
+        self.last = 0  # end of the place before
+
+    def word(self, i: int) -> str | None:
+        """The i-th word, None outside the text."""
+        if not 0 <= i < len(self.starts):
+            return None
+        if i not in self.words:
+            self.words[i] = _masked(self.text[self.starts[i] : self.ends[i]])
+        return self.words[i]
+
+    def around(self, a: int, b: int) -> tuple[list[str], str | None]:
+        """Up to two words before ``a`` and the one after ``b``.
+
+        What stands before ``a`` in its own word counts as one, but for what belongs to an
+        earlier place; a word that goes on after ``b`` is passed over.
+        """
+        first = bisect_right(self.starts, a) - 1
+        before = [self.word(first - 2), self.word(first - 1)]
+        own = self.text[max(self.starts[first], min(self.last, a)) : a]
+        if own:
+            before = [before[1], _masked(own)]
+        self.last = max(self.last, b)
+        return [w for w in before if w is not None], self.word(bisect_left(self.starts, b))
 
 
 def instances(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
@@ -120,14 +159,11 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
         kinds = shape_kinds(text[a:b])
         if kinds:
             found.append((a, b, kinds, False))
-    result = []
-    for a, b, kinds, seed in found:
-        before = [_masked(w) for w in _TOKEN.findall(_tail(text, a))[-2:]]
-        after = [_masked(w) for w in _TOKEN.findall(text[b : b + 64])[:1]]
-        if text[b : b + 1].strip() and after:
-            after = [_masked(w) for w in _TOKEN.findall(text[b : b + 64])[1:2]]
+    result, context = [], _Context(text)
+    for a, b, kinds, seed in sorted(found, key=lambda f: f[:3]):
+        before, after = context.around(a, b)
         left = ["^"] * (2 - len(before)) + before
-        patterns = [f"{left[0]} {left[1]} _", f"{left[1]} _ {(after or ['$'])[0]}"]
+        patterns = [f"{left[0]} {left[1]} _", f"{left[1]} _ {'$' if after is None else after}"]
         value = hashlib.blake2b(text[a:b].encode("utf-8", "surrogatepass"), digest_size=8)
         for kind in kinds:
             result.append(
@@ -143,12 +179,6 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
     return result
 
 
-def _tail(text: str, end: int) -> str:
-    """Enough of the text before ``end`` for two context words of usual length."""
-    start = max(0, end - 96)
-    return text[start:end]
-
-
 _INSTANCE = pa.struct(
     [
         ("start", pa.int64()),
@@ -208,7 +238,7 @@ def bootstrap(
     known = graph.where("seed").select("kind", "value").distinct()
     known = stored(known.withColumn("score", F.lit(1.0)), "known")
     n_known = known.count()
-    for _ in range(ROUNDS):
+    while True:  # known values only grow, so this ends when none is added
         scored = graph.join(known, ["kind", "value"], "left")
         patterns = (
             scored.groupBy("kind", "pattern")
@@ -229,9 +259,8 @@ def bootstrap(
         known = stored(known.unionByName(new), "known")
         n = known.count()
         if n == n_known:
-            break
+            return known.select("kind", "value")
         n_known = n
-    return known.select("kind", "value")
 
 
 def _spans(array: Column, names: Column) -> Column:
@@ -250,8 +279,10 @@ def scan(docs: DataFrame) -> DataFrame:
     """Counts of fixed-format spans, their hash, and all spans of every row.
 
     Places are code points, the end exclusive.  A null text is an empty one and has
-    no spans; a repeated row has the same result each time.  Where two discovered
-    kinds name the same place, the first as listed stays.
+    no spans; a very long one is searched whole, its long words stand as hashes in patterns;
+    a repeated row has the same result each time.  Where two discovered kinds name the same
+    place, the first as listed stays.  An empty table gives no row; columns other than
+    ``doc_id, text`` are ignored, whatever their names.
     """
     found = stored(extracted(docs), "instances")
     flat = found.select("doc_id", "text_hash", F.explode("found").alias("i")).select(

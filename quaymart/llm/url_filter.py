@@ -97,52 +97,57 @@ def propagate(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     if not (sums["g"] or sums["b"]):
         return nodes.select("host", F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust"))
     seed = {k: F.col(c) / F.lit(float(sums[s] or 1)) for k, c, s in (("trust", "good", "g"), ("distrust", "bad", "b"))}
-    base = stored(
-        nodes.select("host", seed["trust"].alias("seed_t"), seed["distrust"].alias("seed_d")), "seeds"
-    )
     ways = {
         "trust": stored(_weights(edges, "src", "dst"), "links"),
         "distrust": stored(_weights(edges, "dst", "src"), "links-back"),
     }
-    scores = base.select("host", F.col("seed_t").alias("trust"), F.col("seed_d").alias("distrust"))
+    base = nodes.select("host", seed["trust"].alias("seed_t"), seed["distrust"].alias("seed_d"))
+    for kind, way in ways.items():  # whether the walk leaves a host over an edge
+        leaves = way.select(F.col("src").alias("host"), F.lit(1.0).alias(f"{kind}_leaves"))
+        base = base.join(leaves.distinct(), "host", "left")
+    base = stored(base, "seeds")
+    start = {"trust": F.col("seed_t"), "distrust": F.col("seed_d"), "step": F.lit(2.0)}
+    scores = base.withColumns(start)
     if ways["trust"].isEmpty():
-        return scores
+        return scores.select("host", "trust", "distrust")
     while True:
+        state = scores.agg(
+            *(F.sum(F.col(k) * F.col(f"{k}_leaves")).alias(k) for k in ways), F.sum("step").alias("step")
+        ).first()
+        if state["step"] < TOLERANCE:
+            return scores.select("host", "trust", "distrust")
+        # What the walk does not carry over an edge starts again at the seeds.
+        again = {k: F.lit(1 - DAMPING * (state[k] or 0.0)) for k in ways}
         flow = [
-            way.join(scores, way["src"] == scores["host"]).select(
+            way.join(scores.select(F.col("host").alias("src"), "trust", "distrust"), "src").select(
                 F.col("dst").alias("host"),
                 *(
-                    (F.col("share") * F.col(kind) if kind == own else F.lit(0.0)).alias(kind)
+                    (F.col("share") * F.col(kind) if kind == own else F.lit(0.0)).alias(f"in_{kind}")
                     for kind in ways
                 ),
             )
             for own, way in ways.items()
         ]
         came = flow[0].unionByName(flow[1]).groupBy("host").agg(
-            F.sum("trust").alias("in_t"), F.sum("distrust").alias("in_d")
-        )
-        moved = came.agg(F.sum("in_t"), F.sum("in_d")).first()
-        # What the walk does not carry over an edge starts again at the seeds.
-        again = [1 - DAMPING * (x or 0.0) for x in moved]
-        joined = base.join(came, "host", "left").join(
-            scores.select("host", F.col("trust").alias("old_t"), F.col("distrust").alias("old_d")), "host"
+            *(F.sum(f"in_{kind}").alias(f"in_{kind}") for kind in ways)
         )
-        new = stored(
-            joined.select(
-                "host",
-                (F.lit(again[0]) * F.col("seed_t") + DAMPING * F.coalesce("in_t", F.lit(0.0))).alias("trust"),
-                (F.lit(again[1]) * F.col("seed_d") + DAMPING * F.coalesce("in_d", F.lit(0.0))).alias("distrust"),
-                "old_t",
-                "old_d",
-            ),
+        carried = {k: DAMPING * F.coalesce(f"in_{k}", F.lit(0.0)) for k in ways}
+        scores = stored(
+            scores.withColumnsRenamed({"trust": "old_t", "distrust": "old_d"})
+            .join(came, "host", "left")
+            .withColumns(
+                {
+                    "trust": again["trust"] * F.col("seed_t") + carried["trust"],
+                    "distrust": again["distrust"] * F.col("seed_d") + carried["distrust"],
+                }
+            )
+            .withColumn(
+                "step",
+                F.abs(F.col("trust") - F.col("old_t")) + F.abs(F.col("distrust") - F.col("old_d")),
+            )
+            .select(*base.columns, "trust", "distrust", "step"),
             "scores",
         )
-        step = new.agg(
-            F.sum(F.abs(F.col("trust") - F.col("old_t")) + F.abs(F.col("distrust") - F.col("old_d")))
-        ).first()[0]
-        scores = new.select("host", "trust", "distrust")
-        if (step or 0.0) < TOLERANCE:
-            return scores
 
 
 def host_scores(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:

@@ -267,6 +267,72 @@ def test_places_of_known_values_that_the_formats_pass_over(spark):
     assert found[3].spans == "card:0:16,card:28:44"
 
 
+def test_context_has_no_bound():
+    long = "w" * 300
+    text = f"x {long}   {long}1  {'y' * 100} 4111111111111111" + " " * 200 + f"{long}2 z"
+    (found,) = [i for i in pii.instances(text, pii.base_spans(text)) if i["seed"]]
+    words = [pii._masked(w) for w in (long + "1", "y" * 100, long + "2")]
+    assert found["patterns"] == [f"{words[0]} {words[1]} _", f"{words[1]} _ {words[2]}"]
+    # Digits are alike, so two of the words are.
+    assert len(set(words)) == 2 and pii._masked(long) not in words
+    glued = "to:4111111111111111,4012888888881881! end"
+    first, second = [i["patterns"] for i in pii.instances(glued, pii.base_spans(glued)) if i["seed"]]
+    assert first == ["^ to _", "to _ end"] and second == ["^  _", " _ end"]
+
+
+def plain_bootstrap(graph, min_seeds=5, min_pattern=0.8, min_instance=0.9):
+    """Patterns and instances scored in turn until nothing is added, in plain Python."""
+    edges = {(k, v, p) for k, v, _, p in graph}
+    score = {(k, v): 1.0 for k, v, seed, _ in graph if seed}
+    while True:
+        trust = {}
+        for pattern in {(k, p) for k, _, p in edges}:
+            values = [(k, v) for k, v, p in edges if (k, p) == pattern]
+            known = [score[x] for x in values if x in score]
+            if len(known) >= min_seeds and sum(known) / len(values) >= min_pattern:
+                trust[pattern] = sum(known) / len(values)
+        new = {}
+        for k, v, p in edges:
+            if (k, v) not in score and (k, p) in trust:
+                new[k, v] = new.get((k, v), 1.0) * (1 - min(trust[k, p], 0.999))
+        new = {x: 1 - doubt for x, doubt in new.items() if 1 - doubt >= min_instance}
+        if not new:
+            return set(score)
+        score |= new
+
+
+def test_bootstrapping_follows_chains_of_patterns_to_their_end(spark):
+    """Eight patterns, each trusted by what the one before discovers; and some that are not."""
+    graph = [(2, v, True, "p0") for v in range(20)]
+    for step in range(8):
+        graph += [(2, 100 * (step + 1) + v, False, f"p{step}") for v in range(2)]
+        values = [100 * (step + 1) + v for v in range(2)] + list(range(18))
+        graph += [(2, v, v < 20, f"p{step + 1}") for v in values]
+    graph += [(2, 5000 + v, False, "p8") for v in range(30)]  # too many strangers
+    graph += [(3, 9, False, "p0"), (3, 8, True, "q"), (3, 7, False, "q")]  # another kind
+    columns = "kind int, value long, seed boolean, pattern string"
+    found = pii.bootstrap(spark.createDataFrame(graph, columns))
+    expected = plain_bootstrap(graph)
+    assert {tuple(r) for r in found.collect()} == expected
+    assert (2, 801) in expected and (2, 5000) not in expected
+
+
+def test_likeness_against_all_anchors(spark):
+    """Sketches grow with the text, and likeness is near that over every anchor."""
+    texts = [r.text for r in table(spark, "documents").select("text").collect() if len(r.text or "") > 1500]
+    errors = []
+    for one, other in zip(texts, texts[1:]):
+        changed = syncmers.edited(one, other)
+        a, b = syncmers.sketch(one), syncmers.sketch(changed)
+        every = [set((syncmers.anchors(t)[0] >> np.uint64(32)).tolist()) for t in (one, changed)]
+        exact = 2 * len(every[0] & every[1]) / (len(every[0]) + len(every[1]))
+        errors.append(abs(syncmers.likeness(a, b) - exact))
+        for held, whole in zip((a, b), every):
+            kept = set(held[0].tolist())
+            assert kept == (whole if len(whole) <= syncmers.SHORT else {h for h in whole if h < syncmers.BOUND})
+    assert len(errors) > 20 and np.mean(errors) < 0.05
+
+
 def test_syncmers_depend_on_their_own_characters_only():
     text = "the quick brown fox jumps over the lazy dog, again and again and yet again"
     base = {text[p : p + syncmers.K] for p in syncmers.anchors(text)[1].tolist()}
