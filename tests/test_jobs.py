@@ -107,7 +107,7 @@ def test_arrivals_fact(spark, built):
     got = sorted(tuple(r)[1:] for r in fact.collect())
     assert got == expected and len(got) > 100
     report = warehouse.check_arrivals(spark, built)
-    assert rows(report) == [(len(expected_arrivals()), len(expected_arrivals()), True)]
+    assert rows(report) == [("arrivals", len(expected_arrivals()), len(expected_arrivals()), True)]
 
 
 def test_traveller_profiles(spark, built):
@@ -457,6 +457,22 @@ def test_checks_pass_and_fail(spark, built, tmp_path):
         warehouse.check_tables(spark, broken, ["dim_state"])
 
 
+def test_totals_and_references(spark, built):
+    assert [r.reconciled for r in warehouse.check_totals(spark, built).collect()] == [True, True]
+    report = {(r.fact_name, r.column_name): r for r in warehouse.check_references(spark, built).collect()}
+    assert report["fact_immigration", "profile_id"].complete
+    assert report["fact_immigration", "arrival_date"].orphan_rows == 0
+    known = {r.state_id for r in table(spark, built, S.DIM_STATE).collect()}
+    for contract in (S.FACT_IMMIGRATION, S.FACT_PORTS, S.FACT_TEMPERATURE):
+        states = [r.state_id for r in table(spark, built, contract).collect()]
+        found = report[contract.name, "state_id"]
+        assert found.row_count == len(states)
+        assert found.orphan_rows == sum(x not in known for x in states)
+        assert found.orphan_keys == len(set(states) - known)
+    with pytest.raises(QualityError, match="dim_state"):
+        warehouse.check_references(spark, built, required=["dim_state"])
+
+
 def test_traveller_share(spark, built):
     travellers = Counter(r["state"] for r in expected_arrivals())
     foreign = Counter()
