@@ -183,7 +183,12 @@ def decode(
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
-    """Ids of every text, with hashes of the ids and of the bytes decoded from them."""
+    """Ids of every text, with hashes of the ids and of the bytes decoded from them.
+
+    A null or empty text has no ids and decodes to no bytes; a very long one is encoded whole.
+    A repeated row has the same result each time, an empty table none; columns other than
+    ``doc_id, text`` are ignored, whatever their names.
+    """
     return decode(encode(docs)).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -304,8 +304,10 @@ def scan(
 ) -> DataFrame:
     """Words, phrases, labels and the best containment of every row.
 
-    A null text is an empty one, without words or labels; a repeated row has the same
-    result each time.
+    A null text is an empty one, without words or labels; a very long one is scanned whole;
+    a repeated row has the same result each time, and an empty table none.  Of templates met
+    to an equal share all labels count.  Columns other than ``doc_id, text`` are ignored,
+    whatever their names.
     """
     found = stored(scanned(docs, templates, threshold), "scanned")
     counts = (

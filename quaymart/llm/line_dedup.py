@@ -106,7 +106,10 @@ def dedup_lines(
     """All rows as ``row``, the text without boilerplate, ``n_lines`` and ``n_removed``.
 
     A null text is an empty one: one empty line, none removed.  Rows of equal id and
-    text are one document: they keep or lose the same lines.
+    text are one document: they keep or lose the same lines.  Of a line's places the one of
+    the smallest id stays, nulls last, then by text and position.  Very long texts are cut
+    into lines whole; an empty table gives no row; all columns are in ``row``, so their names
+    clash with nothing.
     """
     common = stored(boilerplate(docs, site_column, min_sites, min_words), "boilerplate")
     here = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash", "position")

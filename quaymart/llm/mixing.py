@@ -117,7 +117,10 @@ def copies(docs: DataFrame, leaf: int = LEAF, share: float = SHARE, most: float
 
     Returns ``doc_id, text_hash, source, size, source_size, target, copies``.  A null
     text has no words and a null source is a source.  A run with the same rows takes
-    the same copies.  Rows of equal id and text may differ in their copies.
+    the same copies.  Rows of equal id and text may differ in their copies, which of them
+    takes more is a tie that the order within a leaf settles.  Very long texts count by all
+    their words; an empty table gives no row; columns other than ``doc_id, text, source``
+    are ignored, whatever their names.
     """
     rows = stored(
         docs.select(

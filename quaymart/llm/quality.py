@@ -158,8 +158,9 @@ def quality(
 ) -> DataFrame:
     """Features and verdict of every row: id, :data:`FEATURES`, ``base_failed``, ``kept``.
 
-    A null text is an empty one and fails; other columns are not looked at; a
-    repeated row gives a repeated result.
+    A null text is an empty one and fails; a very long one is judged whole; other columns
+    are not looked at, whatever their names; a repeated row gives a repeated result, and an
+    empty table none.  A value at a rule's limit passes.
     """
     text = text_or_empty(text_column)
     # One step a projection: each value is computed once, and the sort is compiled.

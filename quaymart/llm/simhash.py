@@ -308,7 +308,13 @@ def near_duplicates(
 
 
 def clusters(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint`` in hexadecimal, ``component_id``."""
+    """``doc_id, fingerprint`` in hexadecimal, ``component_id``.
+
+    Null and empty texts have fingerprint zero; very long ones are hashed whole, in pieces; a
+    repeated row has the same result each time.  A component is named by its smallest id, null
+    only if it has no other.  An empty table gives no row; columns other than ``doc_id, text``
+    are ignored, whatever their names.
+    """
     return near_duplicates(docs).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
