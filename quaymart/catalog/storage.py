@@ -26,8 +26,10 @@ from quaymart.sources import (
     read_batches,
     read_csv,
     read_csv_checked,
+    read_footers,
     read_lookup,
     read_parquet,
+    schema_report,
     staging_path,
 )
 
@@ -177,6 +179,78 @@ def drifting_batches(t: Tables) -> DataFrame:
     )
 
 
+def drifted(t: Tables) -> list[str]:
+    """Line items by month of the year in three folders whose columns and types differ."""
+    month = F.month("l_shipdate")
+    early = t.lineitem.where(month <= 4).select(
+        "l_orderkey",
+        F.col("l_linenumber").cast("short").alias("l_linenumber"),
+        F.col("l_quantity").cast("float").alias("l_quantity"),
+        F.to_date("l_shipdate").alias("l_shipdate"),
+    )
+    middle = t.lineitem.where((month > 4) & (month <= 8)).select(
+        "l_returnflag", "l_orderkey", "l_linenumber", "l_quantity"
+    )
+    late = t.lineitem.where(month > 8).select(
+        F.col("l_shipdate").alias("L_SHIPDATE"),
+        F.col("l_linenumber").cast("long").alias("l_linenumber"),
+        "l_orderkey",
+        F.col("l_quantity").cast("decimal(12,2)").alias("l_tax"),
+    )
+    paths = [staging_path(t.spark, name) for name in ("early", "middle", "late")]
+    for part, path in zip((early, middle, late), paths, strict=True):
+        land(part, path)
+    return paths
+
+
+@query(
+    """
+    WITH parts AS (
+        SELECT CASE WHEN month(l_shipdate) <= 4 THEN 1
+            WHEN month(l_shipdate) <= 8 THEN 2 ELSE 3 END AS part
+        FROM lineitem
+    ), columns (column_name, data_types, first, second, third) AS (
+        VALUES ('l_orderkey', 'long', 1, 2, 3),
+            ('l_linenumber', 'integer,long,short', 1, 2, 3),
+            ('l_quantity', 'double,float', 1, 2, 0),
+            ('l_shipdate', 'date,timestamp_ntz', 1, 0, 3),
+            ('l_returnflag', 'string', 0, 2, 0),
+            ('l_tax', 'decimal(12,2)', 0, 0, 3)
+    )
+    SELECT column_name, data_types,
+        CAST(count(*) FILTER (WHERE part IN (first, second, third)) AS BIGINT) AS row_count,
+        CAST(count(*) FILTER (WHERE part NOT IN (first, second, third)) AS BIGINT)
+            AS missing_rows
+    FROM parts, columns GROUP BY column_name, data_types
+    """
+)
+def schema_differences(t: Tables) -> DataFrame:
+    """Columns and types of files that differ, with the rows that have and lack them."""
+    footers = land(read_footers(t.spark, drifted(t)), staging_path(t.spark, "footers"))
+    return schema_report(footers).drop("file_count")
+
+
+@query(
+    """
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+        CASE WHEN month(l_shipdate) <= 8 THEN l_quantity END AS l_quantity,
+        CASE WHEN month(l_shipdate) <= 4 THEN date_trunc('day', l_shipdate)
+            WHEN month(l_shipdate) > 8 THEN l_shipdate END AS l_shipdate,
+        CASE WHEN month(l_shipdate) BETWEEN 5 AND 8 THEN l_returnflag END AS l_returnflag,
+        CASE WHEN month(l_shipdate) > 8 THEN l_quantity END AS l_tax
+    FROM lineitem
+    """
+)
+def widened_batches(t: Tables) -> DataFrame:
+    """Files whose columns and types differ, read as one table in one scan."""
+    paths = drifted(t)
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag", "l_tax"]
+    table = read_batches(t.spark, paths, columns, schemas_differ=True)
+    return table.withColumns(
+        {"l_tax": F.col("l_tax").cast("double"), "l_shipdate": F.col("l_shipdate").cast("timestamp_ntz")}
+    )
+
+
 @query(
     """
     SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier

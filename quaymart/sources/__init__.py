@@ -1,5 +1,6 @@
 """Reading and writing tables."""
 
+from quaymart.sources.footers import read_footers, schema_report
 from quaymart.sources.publish import (
     conform,
     load_table,
@@ -49,12 +50,14 @@ __all__ = [
     "read_batches",
     "read_csv",
     "read_csv_checked",
+    "read_footers",
     "read_lookup",
     "read_parquet",
     "register_tables",
     "remove_folder",
     "remove_old_versions",
     "remove_staging",
+    "schema_report",
     "staging_path",
     "table_folders",
     "written_parts",

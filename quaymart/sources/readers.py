@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from quaymart.sources.footers import read_footers, read_reconciled
+from quaymart.sources.staging import staging_path
+
 
 def read_csv(
     spark: SparkSession,
@@ -155,8 +158,10 @@ def read_batches(
 
     Files whose columns differ are best read with a ``schema``: formats that store
     column names then fill the columns a file lacks with null, still in one scan.
-    Where types differ too, or the format is CSV, ``schemas_differ`` reads file by
-    file, matches columns by name and widens their types.
+    Without one, ``schemas_differ`` finds it: footers of Parquet files are read in tasks,
+    columns matched by name and their types widened, for one scan of all files; types that
+    no scan widens (number and text) take one scan a type.  Other formats are read path by
+    path.
 
     ``file_column`` adds the file that a row comes from.
     """
@@ -166,7 +171,11 @@ def read_batches(
     if schema is not None:
         reader = reader.schema(schema)
     named = {file_column: F.input_file_name()} if file_column else {}
-    if schemas_differ:
+    if schemas_differ and file_format == "parquet" and schema is None:
+        footers = land(read_footers(spark, paths), staging_path(spark, "footers"))
+        new_reader = lambda: spark.read.format(file_format).options(**options)
+        table = read_reconciled(new_reader, footers, paths).withColumns(named)
+    elif schemas_differ:
         table = reduce(
             lambda a, b: a.unionByName(b, allowMissingColumns=True),
             [reader.load(path).withColumns(named) for path in paths],
