@@ -41,6 +41,12 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--input", required=True)
         if name == "demographics":
             job.add_argument("--most-unreadable", type=int, help="rows that may be left out")
+        if name == "temperature":
+            job.add_argument(
+                "--refresh",
+                choices=["all", "batches"],
+                help="merge stored figures of files: start them anew, or add or replace the input",
+            )
     jobs.add_parser("check", parents=[shared])
     jobs.add_parser("share", parents=[shared])
     clean = jobs.add_parser("clean", parents=[shared], help="delete old versions of tables")
@@ -93,7 +99,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
         unreadable = warehouse.build_demographics(spark, options.input, paths, most)
         show_all(unreadable.groupBy("file").count())
     elif options.job == "temperature":
-        warehouse.build_temperature(spark, options.input, paths)
+        if options.refresh:
+            warehouse.refresh_temperature(spark, [options.input], paths, options.refresh)
+        else:
+            warehouse.build_temperature(spark, options.input, paths)
     elif options.job == "check":
         for report in (
             warehouse.check_tables,

@@ -47,11 +47,18 @@ from quaymart.operators.rollup import (
     sums_by_category,
 )
 from quaymart.operators.shares import share_of_total
+from quaymart.operators.sketches import (
+    SKETCH_SIZE,
+    merge_sketches,
+    sketch_quantile,
+    value_sketches,
+)
 
 __all__ = [
     "InvalidLookup",
     "QualityError",
     "Reference",
+    "SKETCH_SIZE",
     "ambiguous_keys",
     "attribute_variants",
     "broadcast_if_small",
@@ -70,6 +77,7 @@ __all__ = [
     "matched_rows",
     "membership_flags",
     "merge_lookups",
+    "merge_sketches",
     "null_profile",
     "numeric_summary",
     "one_value_per_key",
@@ -80,10 +88,12 @@ __all__ = [
     "rollup",
     "schema_difference",
     "share_of_total",
+    "sketch_quantile",
     "span",
     "sums_by_category",
     "table_checks",
     "unstable_keys",
     "value_counts",
+    "value_sketches",
     "with_labels",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +13,11 @@ from quaymart.operators import (
     join_measures,
     map_through,
     merge_lookups,
+    merge_sketches,
     one_value_per_key,
     rollup,
+    sketch_quantile,
+    value_sketches,
 )
 from quaymart.schemas import FACT_TEMPERATURE
 
@@ -73,3 +78,32 @@ def temperature_fact(mapped: DataFrame) -> DataFrame:
     )
     cities = distinct_counts(yearly, keys, "City", "num_of_cities")
     return join_measures(figures, [cities], keys)
+
+
+def city_sketches(observed: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Mergeable figures of each city and year, and of each value of ``more`` columns.
+
+    They name no state, so that cities are mapped anew at each merge.
+    """
+    yearly = observed.withColumn("year", F.year("dt"))
+    return value_sketches(yearly, ["City", "year", *more], "AverageTemperature")
+
+
+def merged_temperature_fact(sketches: DataFrame, lookup: DataFrame) -> DataFrame:
+    """:func:`temperature_fact` from :func:`city_sketches` of any number of batches.
+
+    Medians are observed temperatures, exact for groups of up to about
+    :data:`quaymart.operators.SKETCH_SIZE` observations.
+    """
+    keys = list(FACT_TEMPERATURE.natural_key)
+    by_city = merge_sketches(map_states(sketches, lookup), [*keys, "City"])
+    merged = merge_sketches(by_city, keys, {"num_of_cities": F.count("*")})
+    return merged.select(
+        *keys,
+        F.col("value_count").alias("observation_count"),
+        F.col("lowest").alias("min_temp"),
+        F.col("highest").alias("max_temp"),
+        (F.col("total") / F.col("value_count")).alias("avg_temp"),
+        sketch_quantile(0.5).alias("median_temp"),
+        "num_of_cities",
+    )

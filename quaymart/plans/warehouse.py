@@ -67,6 +67,10 @@ class Paths:
     def port_cities(self) -> str:
         return f"{self.staging}/port_cities"
 
+    @property
+    def temperatures(self) -> str:
+        return f"{self.staging}/temperature_sketches"
+
     @property
     def demographic_cities(self) -> str:
         return f"{self.staging}/demographic_cities"
@@ -291,6 +295,66 @@ def build_demographics(
     return unreadable
 
 
+def _city_lookup(spark: SparkSession, paths: Paths) -> DataFrame:
+    pairs = temperature.city_states(
+        read_parquet(spark, paths.demographic_cities),
+        read_parquet(spark, paths.port_cities),
+    )
+    return land(temperature.state_lookup(pairs), f"{paths.staging}/state_city_lookup")
+
+
+def prepare_temperatures(
+    spark: SparkSession, batches: Sequence[str], paths: Paths, refresh: str = "batches"
+) -> DataFrame:
+    """Store figures of each city, year and file that can be merged; returns those of all files.
+
+    A ``refresh`` of ``batches`` replaces what came before from files that the given
+    paths, folders and globs cover and reads no other file; ``all`` starts anew.
+    """
+    if refresh not in ("all", "batches"):
+        raise ValueError(f"unknown refresh {refresh!r}")
+    raw = read_csv(spark, list(batches), schema=S.TEMPERATURES, date_format="yyyy-MM-dd")
+    now = find_version(spark, paths.temperatures)
+    folder = new_folder()
+    publish(
+        temperature.city_sketches(
+            temperature.observations(raw.withColumn("file", F.input_file_name())), ["file"]
+        ),
+        f"{paths.temperatures}/{folder}",
+        partition_by={"batch": "concat('b-', sha2(file, 256))"},
+    )
+    parts = written_parts(spark, paths.temperatures, folder, True)
+    files = {}
+    if parts:
+        staged = load_parts(spark, paths.temperatures, parts).select("file").distinct()
+        named = staged.select("file", F.concat(F.lit("batch=b-"), F.sha2("file", 256)).alias("part"))
+        files = {r["part"]: r["file"] for r in named.collect()}
+    added = [Part(p.part, p.folder, {"file": files[p.part]}) for p in parts]
+    kept = []
+    if now and refresh == "batches":
+        kept = [p for p in now.parts if not any(covers(b, p.about["file"]) for b in batches)]
+    commit(spark, paths.temperatures, [*kept, *added], after=now)
+    return load_parts(spark, paths.temperatures, [*kept, *added], _SKETCHES)
+
+
+_SKETCHES = (
+    "City string, year int, file string, value_count long, total double, lowest double, "
+    "highest double, sketch binary"
+)
+
+
+def refresh_temperature(
+    spark: SparkSession, batches: Sequence[str], paths: Paths, refresh: str = "batches"
+) -> None:
+    """Add or replace files of observations and publish the fact from the figures of all.
+
+    Cities are mapped by the lookups as they are now, also those of files read before.
+    """
+    sketches = prepare_temperatures(spark, batches, paths, refresh)
+    fact = temperature.merged_temperature_fact(sketches, _city_lookup(spark, paths))
+    _publish(fact, S.FACT_TEMPERATURE, paths)
+
+
 def build_temperature(spark: SparkSession, path: str, paths: Paths) -> None:
     """Publish the temperature fact; needs the city lookups of two other jobs.
 
@@ -298,14 +362,7 @@ def build_temperature(spark: SparkSession, path: str, paths: Paths) -> None:
     that the text is parsed once.
     """
     raw = read_csv(spark, path, schema=S.TEMPERATURES, date_format="yyyy-MM-dd")
-    pairs = temperature.city_states(
-        read_parquet(spark, paths.demographic_cities),
-        read_parquet(spark, paths.port_cities),
-    )
-    lookup = land(
-        temperature.state_lookup(pairs),
-        f"{paths.staging}/state_city_lookup",
-    )
+    lookup = _city_lookup(spark, paths)
     mapped = land(
         temperature.map_states(temperature.observations(raw), lookup).select(
             "state_id", "City", "dt", "AverageTemperature"
@@ -390,7 +447,7 @@ def check_references(
 
 def remove_old(spark: SparkSession, paths: Paths, keep: int = 2) -> list[str]:
     """Delete what only versions before the last ``keep`` hold, of all tables."""
-    tables = [paths.arrivals, *(f"{paths.output}/{n}" for n in S.TABLES)]
+    tables = [paths.arrivals, paths.temperatures, *(f"{paths.output}/{n}" for n in S.TABLES)]
     return [f"{t}/{folder}" for t in tables for folder in remove_old_versions(spark, t, keep)]
 
 

@@ -104,7 +104,7 @@ def load_parts(
     spark: SparkSession,
     path: str,
     parts: Sequence[Part],
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     file_format: str = "parquet",
     **options: str,
 ) -> DataFrame:

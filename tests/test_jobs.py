@@ -519,3 +519,39 @@ def test_command_line(spark, inputs, tmp_path, capsys):
     main(["check", *folders])
     shown = capsys.readouterr().out
     assert "fact_temperature" in shown and "state_traveller_perc" in shown
+
+
+def temperature_text(found):
+    lines = [
+        f"{day},{'' if value is None else value},,{city},{country},,"
+        for day, value, city, country in found
+    ]
+    return "\n".join([",".join(S.TEMPERATURES.fieldNames()), *lines]) + "\n"
+
+
+def test_temperatures_are_refreshed_without_the_files_read_before(
+    spark, built, inputs, tmp_path
+):
+    other = warehouse.Paths(built.staging, str(tmp_path / "out"))
+    everything = sorted(X.temperatures(), key=lambda r: str(r[0]))
+    half = len(everything) // 2
+    first, second = tmp_path / "first.csv", tmp_path / "second.csv"
+    first.write_text(temperature_text(everything[:half]))
+    second.write_text(temperature_text(everything))  # to be corrected
+    warehouse.refresh_temperature(spark, [str(first)], other, "all")
+    warehouse.refresh_temperature(spark, [str(second)], other)
+    first.unlink()
+    second.write_text(temperature_text(everything[half:]))
+    warehouse.refresh_temperature(spark, [str(second)], other)
+    columns = [c for c in S.FACT_TEMPERATURE.schema.fieldNames() if c != S.FACT_TEMPERATURE.key]
+    assert rows(table(spark, other, S.FACT_TEMPERATURE), *columns) == rows(
+        table(spark, built, S.FACT_TEMPERATURE), *columns
+    )
+    with pytest.raises(ValueError, match="unknown refresh"):
+        warehouse.refresh_temperature(spark, [str(second)], other, "some")
+    # A file without one observation leaves nothing of what it had.
+    second.write_text(temperature_text([]))
+    warehouse.refresh_temperature(spark, [str(second)], other)
+    left = rows(table(spark, other, S.FACT_TEMPERATURE), "observation_count")
+    kept = [r for r in everything[:half] if r[1] is not None and r[3] == "United States"]
+    assert 0 < sum(n for (n,) in left) <= len(kept)

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -28,7 +30,10 @@ from quaymart.operators import (
     numeric_summary,
     one_value_per_key,
     orphans,
+    merge_sketches,
     prepare_lookups,
+    sketch_quantile,
+    value_sketches,
     reconcile,
     reconcile_totals,
     rollup,
@@ -454,3 +459,34 @@ def test_names_with_dots_and_both_zeros(spark):
     assert attribute_variants(df, ["k.x"], ["n"]).count() == 4
     assert keep_first(df, ["k.x"], ["n"]).count() == 3
     assert rollup(df, ["k.x"], {"total": F.sum("n")}).count() == 3
+
+
+def test_sketches_of_few_values_are_exact_also_merged(spark):
+    values = [("a", float(v), v % 3) for v in range(100)] + [("b", -0.5, 0)]
+    values += [("b", None, 1), ("b", math.nan, 1), ("c", None, 0)]
+    df = spark.createDataFrame(values, "k string, `a.b` double, part int")
+    parts = value_sketches(df, ["k", "part"], "a.b")
+    assert {r["k"] for r in parts.collect()} == {"a", "b"}
+    merged = merge_sketches(parts, ["k"], {"n_parts": F.count("*")})
+    found = rows(
+        merged.withColumn("median", sketch_quantile(0.5)),
+        "k", "value_count", "total", "lowest", "highest", "n_parts", "median",
+    )
+    assert found == [("a", 100, 4950.0, 0.0, 99.0, 3, 49.0), ("b", 1, -0.5, -0.5, -0.5, 1, -0.5)]
+    assert merge_sketches(parts.limit(0), ["k"]).count() == 0
+
+
+def test_sketches_of_many_values_keep_their_rank_error(spark):
+    """A key with most rows, in 20 parts of different ranges: the error in rank stays small."""
+    n = 400_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 4 == 0, "small").otherwise("hot").alias("k"),
+        F.col("id").cast("double").alias("v"),
+        F.floor(F.col("id") * 20 / n).alias("part"),
+    )
+    merged = merge_sketches(value_sketches(df, ["k", "part"], "v"), ["k"])
+    for rank in (0.01, 0.25, 0.5, 0.9):
+        for found in merged.select(sketch_quantile(rank).alias("q")).collect():
+            assert abs(found["q"] / n - rank) < 0.003
+    text = plan(value_sketches(df, ["k"], "v"))
+    assert "partial_kll_sketch_agg_double" in text and text.count("Exchange") == 1
