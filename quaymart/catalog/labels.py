@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaymart.catalog.registry import Tables, query
-from quaymart.operators import prepare_lookups, with_labels
+from quaymart.operators import hot_values, join_hot, prepare_lookups, with_labels
 
 
 def nation_labels(t: Tables) -> DataFrame:
@@ -89,3 +89,21 @@ def unlabelled_documents(t: Tables) -> DataFrame:
         F.count("*").alias("num_documents"),
         F.count_if(F.col("quality").isNull()).alias("num_unlabelled"),
     )
+
+
+@query(
+    """
+    SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, p.p_brand, p.p_size
+    FROM lineitem l LEFT JOIN part p
+        ON p.p_partkey = CASE WHEN l.l_linenumber <= 2 THEN 1 ELSE l.l_partkey * 2 END
+    """
+)
+def hot_labels(t: Tables) -> DataFrame:
+    """Line items labelled by part, where one part has a large share of all rows."""
+    part = F.when(F.col("l_linenumber") <= 2, F.lit(1).cast("bigint")).otherwise(F.col("l_partkey") * 2)
+    items = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_quantity", part.alias("p_partkey")
+    )
+    parts = t.part.select("p_partkey", "p_brand", "p_size")
+    hot = hot_values(items, ["p_partkey"])["p_partkey"]
+    return join_hot(items, parts, "p_partkey", hot).drop("p_partkey")

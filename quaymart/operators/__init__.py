@@ -13,6 +13,9 @@ from quaymart.operators.checks import (
 from quaymart.operators.labels import (
     InvalidLookup,
     broadcast_if_small,
+    hot_values,
+    join_hot,
+    join_labels,
     prepare_lookups,
     with_labels,
 )
@@ -71,6 +74,9 @@ __all__ = [
     "distinct_profile",
     "enforce",
     "header_detail_rollup",
+    "hot_values",
+    "join_hot",
+    "join_labels",
     "join_measures",
     "keep_first",
     "map_through",

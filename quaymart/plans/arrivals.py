@@ -18,9 +18,8 @@ from quaymart.functions import (
 )
 from quaymart.operators import (
     counts_by_category,
-    prepare_lookups,
+    join_labels,
     rollup,
-    with_labels,
 )
 from quaymart.schemas import ARRIVALS, FACT_IMMIGRATION, MODE_LABELS, VISA_LABELS
 
@@ -94,7 +93,7 @@ def label_arrivals(
         "i94visa": visas,
         "i94cit": citizenship,
     }
-    return with_labels(arrivals, prepare_lookups(lookups, types))
+    return join_labels(arrivals, lookups, types)
 
 
 def clean_arrivals(labelled: DataFrame) -> DataFrame:

@@ -30,6 +30,9 @@ from quaymart.operators import (
     numeric_summary,
     one_value_per_key,
     orphans,
+    hot_values,
+    join_hot,
+    join_labels,
     merge_sketches,
     prepare_lookups,
     sketch_quantile,
@@ -490,3 +493,59 @@ def test_sketches_of_many_values_keep_their_rank_error(spark):
             assert abs(found["q"] / n - rank) < 0.003
     text = plan(value_sketches(df, ["k"], "v"))
     assert "partial_kll_sketch_agg_double" in text and text.count("Exchange") == 1
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """No join is broadcast but those marked."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def skewed(spark, n=30_000):
+    """A third of all rows have the key 7, a third have none, in eight tasks."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 1000)
+    return spark.range(0, n, 1, 8).select("id", key.cast("int").alias("k"))
+
+
+def test_hot_values(spark):
+    df = skewed(spark).withColumn("other key.", F.lit("x")).withColumn("none", F.lit(None).cast("date"))
+    found = hot_values(df, ["k", "other key.", "none"], 0.1)
+    assert found == {"k": ["7"], "other key.": ["x"], "none": []}
+    assert hot_values(df.limit(0), ["k"]) == {"k": []}
+    assert hot_values(df, []) == {}
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "full"])
+def test_hot_join_equals_the_plain_join(spark, how):
+    df = skewed(spark, 3000).where("k IS NULL OR k < 500")
+    lookup = spark.range(5, 600).select(F.col("id").cast("int").alias("k"), F.col("id").alias("label"))
+    # keys without a row in the lookup, null keys on both sides
+    lookup = lookup.unionByName(spark.sql("SELECT CAST(NULL AS INT) AS k, -1L AS label"))
+    columns = ["id", "k", "label"]
+    for hot in (["7"], ["7", "3"], []):
+        got = join_hot(df, lookup, "k", hot, how)
+        assert rows(got, *columns) == rows(df.join(lookup, "k", how), *columns)
+
+
+def test_hot_rows_are_not_shuffled(spark, shuffled_joins, monkeypatch):
+    from quaymart.operators import labels
+
+    df = skewed(spark)
+    lookup = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit("l").alias("label"))
+    small = codes(spark, ("1", "a")).withColumnRenamed("code", "c")
+    lookups, types = {"k": lookup}, {}
+    assert "SortMergeJoin" not in plan(join_labels(df, lookups, types))
+    monkeypatch.setattr(labels, "MAX_BROADCAST_ROWS", 1000)
+    # Both together are over the budget: the smaller one is broadcast, the other is not.
+    both = join_labels(df.withColumn("c", F.lit("1")), {**lookups, "c": small}, types)
+    text = plan(both)
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" in text
+    got = join_hot(df, lookup, "k", hot_values(df, ["k"], 0.1)["k"])
+    text = plan(got)
+    assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+    tasks = got.where("k = 7").groupBy(F.spark_partition_id().alias("task")).count()
+    found = [n for (n,) in rows(tasks, "count")]
+    assert len(found) == 8 and max(found) < 1300  # as they came, in all eight tasks
+    assert both.count() == df.count()
