@@ -53,7 +53,9 @@ class Codec:
         self._model = models.BPE(vocabulary, merges)
         self._shown = table  # code points up to 255 stand for bytes
         self._split = regex.compile(pattern).findall
-        self._bytes = {rank: token for token, rank in ranks.items()}
+        # The byte table reversed, once for each token of the vocabulary.
+        byte_of = {shown: byte for byte, shown in table.items()}
+        self._bytes = {i: bytes(map(byte_of.__getitem__, t)) for t, i in vocabulary.items()}
         self._known: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 

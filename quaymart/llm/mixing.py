@@ -22,6 +22,8 @@ from pyspark.sql.window import Window
 from quaymart.llm.common import WORD, quoted, stored, text_key, text_or_empty
 
 WEIGHTS, SHARE, MOST, LEAF, SEED = (5, 2, 1), 1.5, 2.0, 4096, 42
+# Equal rows go to a leaf this many at a time.
+BUNDLE = 64
 
 
 def n_words(text: Column) -> Column:
@@ -100,6 +102,7 @@ def round_pairs(sizes: list[int], fractions: list[float], seed: str) -> list[flo
 
 def _leaf(frame: pd.DataFrame) -> pd.DataFrame:
     """Round one leaf, large documents first, so that a small one is left over."""
+    frame = frame.loc[frame.index.repeat(frame["n"])].assign(n=1)
     frame = frame.sort_values(["size", "doc_id", "text_hash"], ascending=[False, True, True])
     first = frame.iloc[0]
     seed = f"{SEED}:{first['source']}:{first['leaf']}:{first['level']}"
@@ -108,14 +111,35 @@ def _leaf(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 COLUMNS = (
-    "source string, doc_id long, text_hash long, size long, part double, leaf long, level int"
+    "source string, doc_id long, text_hash long, size long, part double, n long, leaf long, level int"
 )
 
 
+def _bundles(rows: DataFrame, bundle: int) -> DataFrame:
+    """Different rows with ``n`` of the equal ones, at most ``bundle``, and the bundle's number.
+
+    Equal rows are counted in each task first, and it does not matter which of them is
+    in which bundle: the same rows give the same bundles.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("rows"))
+    batch = bundle * 4096  # rows of a batch of bundles, so that no array grows with the rows
+    step = F.explode(F.expr(f"sequence(0L, (rows - 1) div {batch})")).alias("step")
+    last = F.least(F.lit(4095), F.expr(f"(rows - 1 - step * {batch}) div {bundle}"))
+    within = F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("within")
+    return (
+        counted.select("*", step)
+        .select("*", within)
+        .withColumn("bundle", F.col("step") * 4096 + F.col("within"))
+        .withColumn("n", F.least(F.lit(bundle), F.col("rows") - F.col("bundle") * bundle).cast("long"))
+        .drop("rows", "step", "within")
+    )
+
+
 def copies(docs: DataFrame, leaf: int = LEAF, share: float = SHARE, most: float = MOST) -> DataFrame:
     """How often each row is taken.
 
-    Returns ``doc_id, text_hash, source, size, source_size, target, copies``.  A null
+    Rows are dealt over leaves by hash, equal ones in bundles, so that no leaf holds all of
+    them.  Returns ``doc_id, text_hash, source, size, source_size, target, copies``.  A null
     text has no words and a null source is a source.  A run with the same rows takes
     the same copies.  Rows of equal id and text may differ in their copies, which of them
     takes more is a tie that the order within a leaf settles.  Very long texts count by all
@@ -140,13 +164,15 @@ def copies(docs: DataFrame, leaf: int = LEAF, share: float = SHARE, most: float
         .select(goals["source"].alias("of"), "rate", F.ceil(F.col("n") / leaf).alias("leaves")),
         "leaves",
     )
-    open_rows = rows.join(plan, rows["source"].eqNullSafe(plan["of"])).select(
+    bundles = _bundles(rows, min(BUNDLE, max(1, leaf // 64)))
+    open_rows = bundles.join(plan, bundles["source"].eqNullSafe(plan["of"])).select(
         "source",
         "doc_id",
         "text_hash",
         "size",
         (F.col("rate") - F.floor("rate")).alias("part"),
-        F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("leaf")), "leaves").alias("leaf"),
+        "n",
+        F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("leaf"), "bundle"), "leaves").alias("leaf"),
         F.lit(0).alias("level"),
     )
     deepest = plan.agg(F.max("leaves")).first()[0] or 0
@@ -169,6 +195,7 @@ def copies(docs: DataFrame, leaf: int = LEAF, share: float = SHARE, most: float
             "text_hash",
             "size",
             "part",
+            "n",
             F.floor(F.col("leaf") / leaf).alias("leaf"),
             F.lit(level).alias("level"),
         )

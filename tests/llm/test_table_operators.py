@@ -178,6 +178,45 @@ def test_mixing(spark):
     assert mixing.copies(empty(spark)).collect() == []
 
 
+def test_equal_rows_are_dealt_over_leaves(spark, monkeypatch):
+    """20,000 equal rows beside some others: the leaves stay small and the mix exact."""
+    levels = {}
+
+    def kept(df, name):
+        levels[name] = made(df, name)
+        return levels[name]
+
+    made = mixing.stored
+    monkeypatch.setattr(mixing, "stored", kept)
+    same = spark.range(20_000).select(
+        F.lit(5).cast("long").alias("doc_id"), F.lit("one two three").alias("text"), F.lit("a").alias("source")
+    )
+    other = spark.range(700).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('w ', int(id % 50))").alias("text"), F.lit("a").alias("source")
+    )
+    docs = same.unionByName(other)
+    taken = mixing.copies(docs)
+    sizes = [r["count"] for r in levels["level-0"].groupBy("leaf").count().collect()]
+    assert len(sizes) == 6 and sum(sizes) == 20_700 and max(sizes) < 2 * mixing.LEAF
+    copies = [(r.doc_id, r.size, r.copies) for r in taken.collect()]
+    assert len(copies) == 20_700 and {c for _, _, c in copies} <= {1, 2}
+    words = sum(s for _, s, _ in copies)
+    assert abs(sum(s * c for _, s, c in copies) - 1.5 * words) <= 49
+    again = mixing.copies(docs.repartition(7)).collect()
+    assert Counter(copies) == Counter((r.doc_id, r.size, r.copies) for r in again)
+
+
+def test_bundles_hold_every_row_once(spark):
+    rows = spark.range(50).select(F.explode(F.expr("sequence(0, id * id)")), "id").drop("col")
+    found = mixing._bundles(rows, 4).groupBy("id").agg(
+        F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("bundles"),
+        F.count_distinct("bundle").alias("numbers"),
+    )
+    for r in found.collect():
+        n = r.id * r.id + 1
+        assert (r.n, r.most, r.bundles, r.numbers) == (n, min(n, 4), -(-n // 4), -(-n // 4))
+
+
 def test_pairs_keep_mass_and_leave_one_fraction():
     rng = random.Random(5)
     sums = np.zeros(40)

@@ -399,6 +399,16 @@ def test_bpe_is_that_of_the_other_library(spark):
     assert found == sorted(expected, key=lambda r: [(v is not None, str(type(v)), v) for v in r])
 
 
+def test_decoding_reverses_the_byte_table():
+    path = public_tokenizers.path(bpe.RANKS)
+    coder = bpe.codec(path, public_tokenizers.PATTERN)
+    with open(path, "rb") as lines:
+        ranks = dict(line.split() for line in lines)
+    assert len(ranks) == len(coder._bytes)
+    for token, rank in ranks.items():
+        assert coder.decode(np.array([int(rank)])) == base64.b64decode(token)
+
+
 def test_bpe_offsets_and_split_characters(spark):
     text = "né 漢字\U0001f600 end"
     row = bpe.encode(documents(spark, [(1, text, "en", "a")]), offsets=True).first()
