@@ -16,6 +16,7 @@ from quaymart.operators import (
     span,
     unstable_keys,
     value_counts,
+    wide_profile,
     with_labels,
 )
 
@@ -192,6 +193,40 @@ def double_profile(t: Tables) -> DataFrame:
     )
 
 
+_PROFILED = {
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount",
+                 "l_returnflag", "l_shipdate"],
+}
+
+
+def _wide_row(table: str, column: str) -> str:
+    return f"""SELECT '{column}' AS column_name, CAST(sum(n) AS BIGINT) AS row_count,
+        CASE WHEN count(*) <= 1000 OR count(*) * 100 >= sum(n) * 99
+             THEN count(*) END AS distinct_count,
+        coalesce(string_agg(value || ':' || n, ',' ORDER BY n DESC, value)
+            FILTER (WHERE n * 100 >= (SELECT count(*) FROM {table})), '') AS frequent
+    FROM (SELECT CAST({column} AS VARCHAR) AS value, count(*) AS n FROM {table} GROUP BY 1)"""
+
+
+@query(
+    " UNION ALL ".join(_wide_row(t, c) for t, columns in _PROFILED.items() for c in columns),
+    "wide_profile",
+)
+def sketched_profile(t: Tables) -> DataFrame:
+    """Exact counts where they matter, found by sketches: frequent values and possible keys."""
+    both = wide_profile(t.orders, _PROFILED["orders"]).unionByName(
+        wide_profile(t.lineitem, _PROFILED["lineitem"])
+    )
+    shown = F.transform(
+        "frequent_values",
+        lambda x: F.concat(x["value"], F.lit(":"), x["row_count"].cast("string")),
+    )
+    return both.select(
+        "column_name", "row_count", "distinct_count", F.array_join(shown, ",").alias("frequent")
+    )
+
+
 @query(
     """
     SELECT count(*) AS common_rows FROM documents

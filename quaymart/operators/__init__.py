@@ -56,6 +56,7 @@ from quaymart.operators.sketches import (
     sketch_quantile,
     value_sketches,
 )
+from quaymart.operators.wide_profile import wide_profile
 
 __all__ = [
     "InvalidLookup",
@@ -101,5 +102,6 @@ __all__ = [
     "unstable_keys",
     "value_counts",
     "value_sketches",
+    "wide_profile",
     "with_labels",
 ]

@@ -1,4 +1,6 @@
 import math
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +49,7 @@ from quaymart.operators import (
     table_checks,
     unstable_keys,
     value_counts,
+    wide_profile,
     with_labels,
 )
 from tests.helpers import final_plan, plan, rows
@@ -336,6 +339,59 @@ def test_distinct_profile_counts_values_once(sample):
     assert "ReusedExchange" in final_plan(distinct_profile(sample, ["name"], sample=2))
 
 
+def by_column(profile):
+    return {r["column_name"]: r for r in profile.collect()}
+
+
+def test_wide_profile_against_plain_counts(spark):
+    # A value at the bound, one just below it, one half, many rare ones, a key, both zeros.
+    def row(i):
+        hot = "hot" if i % 2 else f"rare {i}"
+        edge = "at" if i < 400 else "below" if i < 799 else f"x{i}"
+        zero = -0.0 if i % 2 else 0.0
+        return i, hot, edge, zero, None if i % 4 == 0 else i % 3000, [i % 2], None
+
+    data = [row(i) for i in range(40_000)]
+    df = spark.createDataFrame(
+        data, "key int, hot string, `ed.ge` string, zero double, some int, `list` array<int>, "
+        "nothing string"
+    ).repartition(7)
+    got = by_column(wide_profile(df))
+    texts = {"key": str, "hot": str, "ed.ge": str, "zero": lambda v: "0.0", "some": str,
+             "list": lambda v: f"[{v[0]}]", "nothing": str}
+    for at, (name, text) in enumerate(texts.items()):
+        filled = [text(r[at]) for r in data if r[at] is not None]
+        counts = Counter(filled)
+        frequent = sorted(
+            ((v, n) for v, n in counts.items() if n * 100 >= len(data)),
+            key=lambda x: (-x[1], x[0]),
+        )
+        r = got[name]
+        assert r["row_count"] == len(data) and r["null_count"] == len(data) - len(filled)
+        assert [tuple(x) for x in r["frequent_values"]] == frequent
+        known = len(counts) <= 1000 or len(counts) * 100 >= len(filled) * 99
+        assert r["distinct_count"] == (len(counts) if known else None)
+        assert abs(r["distinct_estimate"] - len(counts)) <= 0.05 * len(counts)
+    assert [tuple(x) for x in got["ed.ge"]["frequent_values"]] == [("at", 400)]
+
+
+def test_wide_profile_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "column_name string, value double")
+    for r in wide_profile(df).collect():
+        assert (r["row_count"], r["distinct_estimate"], r["distinct_count"]) == (0, 0, 0)
+        assert r["frequent_values"] == []
+
+
+def test_wide_profile_reads_no_column_twice_without_need(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20_000).select(
+        (F.col("id") % 5000).alias("middle"), (F.col("id") % 3).alias("small")
+    ).write.parquet(path)
+    profile = wide_profile(spark.read.parquet(path))
+    (scan,) = re.findall(r"ReadSchema: (.*)", plan(profile))
+    assert "small" in scan and "middle" not in scan
+
+
 def test_variants(spark):
     df = spark.createDataFrame(
         [("x", 1), ("x", 1), ("y", 1), ("y", 2), ("z", None), ("z", 1)],
