@@ -15,15 +15,19 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymart.llm.common import quoted, slices, stored, text_key, text_or_empty
 
 THRESHOLD = 0.8
+#: Bytes of license texts that are read as templates.
+TEMPLATE_BYTES = 64 << 20
+#: Bytes of the templates' words that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 #: Phrases whose places are counted, and their labels.
 PHRASES = {
     ("mit", "license"): "mit",
@@ -256,47 +260,71 @@ def matches(
     order = sorted(range(len(vocabulary)), key=lambda w: (held.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     number = {w: i for i, w in enumerate(vocabulary)}
-    rows = []
+    prefixes, whole = [], []
     for name, own in sets.items():
         ranked = sorted(rank[number[w]] for w in own)
         needed = _needed(len(ranked), threshold)
-        rows += [
-            (name, ranked, needed, word, at)
+        whole.append((name, ranked))
+        prefixes += [
+            (name, len(ranked), needed, word, at)
             for at, word in enumerate(ranked[: len(ranked) - needed + 1])
         ]
-    prefixes = spark.createDataFrame(
-        rows,
-        "template string, template_words array<int>, needed int, word int, template_at int",
+    starts = spark.createDataFrame(
+        prefixes, "template string, template_size int, needed int, word int, template_at int"
+    )
+    contents = spark.createDataFrame(whole, "template string, template_words array<int>")
+    if 40 * len(prefixes) + 8 * sum(map(len, sets.values())) <= BROADCAST_BYTES:
+        starts, contents = F.broadcast(starts), F.broadcast(contents)
+    # Looked up by word, so that the plan is the same for any number of templates.
+    first = {r[3] for r in prefixes}
+    by_word = spark.createDataFrame(
+        [([rank[w] for w in range(len(order))], [r in first for r in range(len(order))])],
+        "ranks array<int>, starting array<boolean>",
     )
-    ranks = F.array(*(F.lit(rank[w]) for w in range(len(vocabulary))))
     ordered = blocks.select(
         "block",
         "size",
-        F.array_sort(F.transform("words", lambda w: F.get(ranks, w))).alias("words"),
-    )
-    wanted = sorted({r[3] for r in rows})
+        "words",
+        by_word.select("ranks").scalar().alias("ranks"),
+        by_word.select("starting").scalar().alias("starting"),
+    ).withColumn("words", F.array_sort(F.transform("words", lambda w: F.get("ranks", w))))
     tokens = ordered.select(
         "*",
         F.explode(
             F.filter(
                 F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))),
-                lambda x: x["word"].isin(wanted),
+                lambda x: F.get("starting", x["word"]),
             )
         ).alias("token"),
     ).select("block", "words", "size", "token.word", "token.at")
     rest = F.least(
-        F.size("template_words") - F.col("template_at"), F.size("words") - F.col("at")
+        F.col("template_size") - F.col("template_at"), F.size("words") - F.col("at")
     )
     shared = F.size(F.array_intersect("words", "template_words"))
-    # As many rows as the templates have words in their prefixes, whatever the corpus.
     return (
-        tokens.join(F.broadcast(prefixes), "word")
+        tokens.join(starts, "word")
         .where((F.col("size") >= F.col("needed")) & (rest >= F.col("needed")))
+        .join(contents, "template")
         .where(shared >= F.col("needed"))
-        .select("block", "template", (shared / F.size("template_words")).alias("containment"))
+        .select("block", "template", (shared / F.col("template_size")).alias("containment"))
     )
 
 
+def read_templates(spark: SparkSession, path: str, label: Callable[[str], str] = str) -> dict:
+    """Templates from a folder of license texts, one a file, named by the file.
+
+    ``label`` gives a template's label from its name, else the name is the label.  Texts
+    without words are left out.  Beyond ``TEMPLATE_BYTES`` of texts the folder is refused.
+    """
+    files = spark.read.text(path, wholetext=True)
+    size = files.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+    if size > TEMPLATE_BYTES:
+        raise ValueError(f"{size} bytes of license texts, at most {TEMPLATE_BYTES}")
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+?)(\.[A-Za-z]+)?$", 1)
+    found = files.select(name, "value").collect()
+    return {n: (label(n), text) for n, text in sorted(found) if words(text)}
+
+
 def scan(
     docs: DataFrame,
     templates: Mapping[str, tuple[str, str]] = TEMPLATES,
@@ -321,12 +349,16 @@ def scan(
     blocks = rows.select(key.alias("block"), F.explode("blocks").alias("b")).select(
         "block", "b.words", "b.size"
     )
-    label = F.create_map(*(F.lit(x) for name, (own, _) in templates.items() for x in (name, own)))
+    labels = docs.sparkSession.createDataFrame(
+        [(name, own) for name, (own, _) in templates.items()], "template string, label string"
+    )
+    # One row a template, as those that `matches` holds.
     best = (
         matches(blocks, counts, templates, threshold)
+        .join(F.broadcast(labels), "template")
         .groupBy("block")
         .agg(
-            F.collect_set(F.element_at(label, F.col("template"))).alias("more"),
+            F.collect_set("label").alias("more"),
             F.max("containment").alias("score"),
         )
         if templates

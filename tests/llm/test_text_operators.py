@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import textwrap
 from collections import Counter, defaultdict
@@ -125,9 +126,9 @@ def test_line_spread_is_exact_near_the_threshold(spark, least):
     assert texts == {f"line on {n} sites here" for n in (least, least + 1)}
 
 
-def plain_blocks(text):
+def plain_blocks(text, templates=licenses.TEMPLATES):
     """Lines, and from each line on as many as hold the longest template begun in it."""
-    longest = max(len(licenses.words(t)) for _, t in licenses.TEMPLATES.values())
+    longest = max(len(licenses.words(t)) for _, t in templates.values())
     blocks = text.split("\n")
     for paragraph in re.split(r"\n(?:\s*\n)+", text):
         lines = [x for x in paragraph.split("\n") if licenses.words(x)]
@@ -140,16 +141,16 @@ def plain_blocks(text):
     return blocks
 
 
-def plain_licenses(text):
+def plain_licenses(text, templates=licenses.TEMPLATES):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(
         c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     places = []
     for phrase, label in licenses.PHRASES.items():
         places += [(i, label) for i in range(len(words)) if tuple(words[i : i + len(phrase)]) == phrase]
     score, labels = 0.0, {label for _, label in places}
-    for label, template in licenses.TEMPLATES.values():
+    for label, template in templates.values():
         own = set(licenses.words(template))
-        for line in plain_blocks(text or ""):
+        for line in plain_blocks(text or "", templates):
             shared = len(own & set(licenses.words(line))) / len(own)
             if shared >= licenses.THRESHOLD:
                 score = max(score, shared)
@@ -198,6 +199,50 @@ def test_licenses_broken_over_lines(spark):
         assert found[100 * i + 50].score == 0.0
 
 
+@pytest.fixture(scope="module")
+def license_folder(tmp_path_factory):
+    """Many long texts that share most of their words, a text a file."""
+    folder = tmp_path_factory.mktemp("licenses")
+    rng = random.Random(4)
+    for i in range(120):
+        text = [f"term{int(400 * rng.random() ** 2)}" for _ in range(rng.randint(20, 200))]
+        (folder / f"lic-{i}.0.txt").write_text(textwrap.fill(" ".join(text), 70))
+    (folder / "empty.txt").write_text(" \n")
+    return folder
+
+
+def test_licenses_of_a_folder(spark, license_folder):
+    templates = licenses.read_templates(spark, str(license_folder), lambda n: n.split(".")[0])
+    assert len(templates) == 120 and templates["lic-7.0"][0] == "lic-7"
+    rng = random.Random(5)
+    rows = []
+    for i, (_, text) in enumerate(list(templates.values())[::6]):
+        words = text.split()
+        for j, share in enumerate((0.7, 0.8, 0.85, 1.0)):
+            kept = [w for w in words if rng.random() < share]
+            rows.append((10 * i + j, textwrap.fill(" ".join(kept), 60), "en", "a"))
+        rows.append((10 * i + 5, " ".join(words + words), "en", None))
+    found = values(licenses.scan(documents(spark, rows), templates))
+    assert found == sorted(
+        ((doc_id, *plain_licenses(text, templates)) for doc_id, text, _, _ in rows),
+        key=lambda r: [(v is not None, str(type(v)), v) for v in r],
+    )
+    assert {r[-1] == 0.0 for r in found} == {True, False}
+
+
+def test_licenses_plan_does_not_grow_with_the_templates(spark, license_folder):
+    templates = licenses.read_templates(spark, str(license_folder))
+    few = dict(list(templates.items())[:3])
+    sizes = [len(plan(licenses.scan(documents(spark), some))) for some in (few, templates)]
+    assert sizes[1] < 1.2 * sizes[0]
+
+
+def test_license_folder_beyond_its_bound(spark, license_folder, monkeypatch):
+    monkeypatch.setattr(licenses, "TEMPLATE_BYTES", 1000)
+    with pytest.raises(ValueError, match="at most 1000"):
+        licenses.read_templates(spark, str(license_folder))
+
+
 def plain_spans(text):
     """The formats as they are stated, by ordinary searches."""
     found = [
