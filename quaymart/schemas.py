@@ -143,20 +143,21 @@ FACT_PORTS = Table(
     natural_key=("state_id", "port_type"),
 )
 
+# People are summed over all cities of a state, which an INTEGER may not hold.
 FACT_DEMOGRAPHICS = Table(
     "fact_demographics",
     _struct(
         ("state_id", StringType(), "required"),
-        ("total_pop", IntegerType()),
-        ("male_pop", IntegerType()),
-        ("female_pop", IntegerType()),
-        ("veteran_pop", IntegerType()),
-        ("foreign_pop", IntegerType()),
-        ("hispanic_pop", IntegerType()),
-        ("white_pop", IntegerType()),
-        ("asian_pop", IntegerType()),
-        ("black_pop", IntegerType()),
-        ("native_pop", IntegerType()),
+        ("total_pop", LongType()),
+        ("male_pop", LongType()),
+        ("female_pop", LongType()),
+        ("veteran_pop", LongType()),
+        ("foreign_pop", LongType()),
+        ("hispanic_pop", LongType()),
+        ("white_pop", LongType()),
+        ("asian_pop", LongType()),
+        ("black_pop", LongType()),
+        ("native_pop", LongType()),
         ("avg_hh_size", MEASURE),
         ("total_hh", MEASURE),
     ),
