@@ -81,3 +81,17 @@ def test_star_schema_of_states_beyond_an_integer(spark, written):
     folder = written(orders=CROWDED, lineitem=CROWDED_ITEMS)
     totals = {r.table_name: r.total for r in result(spark, folder, "published_star_schema")}
     assert totals["fact_demographics"] == 12_000_000_000
+
+
+def test_traveller_share_of_states_beyond_an_integer(spark, written):
+    folder = written(orders=CROWDED[:4], lineitem=CROWDED_ITEMS[:4])
+    (row,) = result(spark, folder, "published_traveller_share")
+    assert (row.state_total_travellers, row.state_foreign_pop) == (4, 1_600_000_000)
+    assert dict(QUERIES["published_traveller_share"](spark, folder).dtypes)["state_foreign_pop"] == "int"
+
+
+def test_traveller_share_where_its_sql_has_no_result(spark, written):
+    folder = written(orders=CROWDED, lineitem=CROWDED_ITEMS)
+    (row,) = QUERIES["published_traveller_share"](spark, folder).collect()
+    assert (row.state_total_travellers, row.state_foreign_pop) == (6, 2_400_000_000)
+    assert (row.state_traveller_perc, row.foreign_pop_perc) == (100.0, 100.0)
