@@ -95,3 +95,11 @@ def test_traveller_share_where_its_sql_has_no_result(spark, written):
     (row,) = QUERIES["published_traveller_share"](spark, folder).collect()
     assert (row.state_total_travellers, row.state_foreign_pop) == (6, 2_400_000_000)
     assert (row.state_traveller_perc, row.foreign_pop_perc) == (100.0, 100.0)
+
+
+def test_types_of_all_events_with_properties(spark, written):
+    folder = written()
+    found = {r.event_type for r in result(spark, folder, "types_with_props")}
+    assert found == {"error", "view", None}
+    every = SQL["types_with_props"].replace("props IS NOT NULL", "true")
+    assert len(in_duckdb(folder, every)) == 4  # the filter matters
