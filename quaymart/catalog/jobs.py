@@ -57,7 +57,13 @@ ITEMS_SQL = """items AS (
 # ------------------------------------------------------------------ arrivals
 
 
-def raw_arrivals(t: Tables) -> DataFrame:
+# In some queries the last items of long orders have no date.
+SHORT_ORDERS = "l_linenumber <> 7"
+
+
+def raw_arrivals(t: Tables, dated: str | None = None) -> DataFrame:
+    """Arrivals; with ``dated`` all others than those of this condition have no date."""
+    day = date_to_epoch_day(F.col("l_shipdate"))
     priority = F.substring("o_orderpriority", 1, 1)
     mode = F.when(priority == "4", 9.0).when(priority != "5", priority.cast("double"))
     visa = (
@@ -73,8 +79,7 @@ def raw_arrivals(t: Tables) -> DataFrame:
     return sold_items(t).select(
         F.col("c_nationkey").cast("double").alias("i94cit"),
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("i94port"),
-        # The last items of long orders have no date.
-        F.when(F.col("l_linenumber") != 7, date_to_epoch_day(F.col("l_shipdate"))).alias("arrdate"),
+        (day if dated is None else F.when(F.expr(dated), day)).alias("arrdate"),
         mode.alias("i94mode"),
         visa.alias("i94visa"),
         (F.col("c_acctbal") / 80).alias("i94bir"),
@@ -106,9 +111,9 @@ def citizenship_lookup(t: Tables) -> DataFrame:
     )
 
 
-def cleaned(t: Tables) -> DataFrame:
+def cleaned(t: Tables, dated: str | None = None) -> DataFrame:
     labelled = arrivals.label_arrivals(
-        raw_arrivals(t),
+        raw_arrivals(t, dated),
         modes=arrivals.mode_labels(t.spark),
         ports=port_lookup(t),
         visas=arrivals.visa_labels(t.spark),
@@ -117,7 +122,8 @@ def cleaned(t: Tables) -> DataFrame:
     return arrivals.clean_arrivals(labelled)
 
 
-CLEANED_SQL = f"""{ITEMS_SQL}, coded AS (
+def _cleaned_sql(dated: str) -> str:
+    return f"""{ITEMS_SQL}, coded AS (
         SELECT
             CAST(l_shipdate AS DATE) AS arrdateclean,
             CASE left(o_orderpriority, 1) WHEN '1' THEN 'Air' WHEN '2' THEN 'Sea'
@@ -138,7 +144,7 @@ CLEANED_SQL = f"""{ITEMS_SQL}, coded AS (
         JOIN supplier ON l_suppkey = s_suppkey AND s_acctbal > 0
         JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey AND r_name <> 'MIDDLE EAST'
-        WHERE l_shipdate IS NOT NULL AND l_linenumber <> 7
+        WHERE {dated}
     ), aged AS (
         SELECT *, CASE
             WHEN age >= 0 AND age < 18 THEN 'Below 18'
@@ -157,6 +163,10 @@ CLEANED_SQL = f"""{ITEMS_SQL}, coded AS (
             CAST(year(arrdateclean) AS INTEGER) AS year
         FROM aged
     )"""
+
+
+WHOLE_SQL = _cleaned_sql("l_shipdate IS NOT NULL")
+CLEANED_SQL = _cleaned_sql(f"l_shipdate IS NOT NULL AND {SHORT_ORDERS}")
 CLEANED_COLUMNS = [
     "i94port_name",
     "i94port_state",
@@ -172,7 +182,7 @@ CLEANED_COLUMNS = [
 ]
 
 
-@query(f"WITH {CLEANED_SQL} SELECT {', '.join(CLEANED_COLUMNS)} FROM cleaned")
+@query(f"WITH {WHOLE_SQL} SELECT {', '.join(CLEANED_COLUMNS)} FROM cleaned")
 def arrivals_clean(t: Tables) -> DataFrame:
     """Labelled and cleaned arrivals."""
     return cleaned(t).select(*CLEANED_COLUMNS)
@@ -197,7 +207,7 @@ FACT_SQL = """
 @query(f"WITH {CLEANED_SQL} {FACT_SQL}")
 def arrivals_fact(t: Tables) -> DataFrame:
     """Travellers per state, day and profile."""
-    return arrivals.arrivals_fact(cleaned(t))
+    return arrivals.arrivals_fact(cleaned(t, SHORT_ORDERS))
 
 
 @query(
@@ -211,7 +221,7 @@ def arrivals_fact(t: Tables) -> DataFrame:
 )
 def traveller_profiles(t: Tables) -> DataFrame:
     """Distinct traveller profiles."""
-    return arrivals.traveller_profiles(cleaned(t))
+    return arrivals.traveller_profiles(cleaned(t, SHORT_ORDERS))
 
 
 @query(
@@ -226,7 +236,7 @@ def traveller_profiles(t: Tables) -> DataFrame:
 )
 def arrival_calendar(t: Tables) -> DataFrame:
     """Distinct arrival dates with their parts."""
-    return arrivals.calendar(cleaned(t), "arrdateclean")
+    return arrivals.calendar(cleaned(t, SHORT_ORDERS), "arrdateclean")
 
 
 # --------------------------------------------------------------------- ports
@@ -496,7 +506,9 @@ def published_traveller_share(t: Tables) -> DataFrame:
     """Two facts published under their contracts, checked, then queried in SQL."""
     paths = warehouse.Paths(staging_path(t.spark, "stage"), staging_path(t.spark, "out"))
     t = with_items(t)
-    publish_table(arrivals.arrivals_fact(cleaned(t)), S.FACT_IMMIGRATION, paths.output)
+    publish_table(
+        arrivals.arrivals_fact(cleaned(t, SHORT_ORDERS)), S.FACT_IMMIGRATION, paths.output
+    )
     publish_table(
         demographics.demographics_fact(raw_demographics(t)),
         S.FACT_DEMOGRAPHICS,
@@ -547,7 +559,7 @@ def published_star_schema(t: Tables) -> DataFrame:
     """All seven tables published from inputs read once, checked, then counted and summed."""
     root = staging_path(t.spark, "out")
     t = with_items(t)
-    staged = land(cleaned(t), staging_path(t.spark, "cleaned"))
+    staged = land(cleaned(t, SHORT_ORDERS), staging_path(t.spark, "cleaned"))
     located = land(ports.country_ports(raw_ports(t)), staging_path(t.spark, "ports"))
     cities = raw_demographics(t)
     fact = publish_table(arrivals.arrivals_fact(staged), S.FACT_IMMIGRATION, root)
@@ -585,7 +597,7 @@ def refreshed_arrivals(t: Tables) -> DataFrame:
     leave months when it is corrected; the third is a glob whose files get new names.
     """
     paths = warehouse.Paths(staging_path(t.spark, "stage"), staging_path(t.spark, "out"))
-    raw = land(raw_arrivals(t), staging_path(t.spark, "raw"))
+    raw = land(raw_arrivals(t, SHORT_ORDERS), staging_path(t.spark, "raw"))
     root = staging_path(t.spark, "batches")
     labels = {}
     for name, lookup in {
@@ -626,7 +638,9 @@ def refreshed_arrivals(t: Tables) -> DataFrame:
 def lasting_ids(t: Tables) -> DataFrame:
     """Ids after a load of the early years, of all years, and of all again: none has changed."""
     root = staging_path(t.spark, "out")
-    fact = land(arrivals.arrivals_fact(cleaned(t)), staging_path(t.spark, "fact"))
+    fact = land(
+        arrivals.arrivals_fact(cleaned(t, SHORT_ORDERS)), staging_path(t.spark, "fact")
+    )
     keys = list(S.FACT_IMMIGRATION.natural_key)
     first = publish_table(fact.where(F.year("arrival_date") < 1998), S.FACT_IMMIGRATION, root)
     early = first.select(*keys, F.col("record_id").alias("early_id"))

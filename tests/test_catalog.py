@@ -63,7 +63,7 @@ def test_entry(spark):
 # Parts of queries that drop or change rows, and what the SQL would be without them.
 MATTERS = [
     ("merged_pairs", " AND c_mktsegment NOT IN ('HOUSEHOLD', 'FURNITURE')", ""),
-    ("arrivals_clean", " AND l_linenumber <> 7", ""),
+    ("lasting_ids", " AND l_linenumber <> 7", ""),
     ("temperature_fact", " AND o_orderstatus <> 'P'", ""),
     ("share_of_total", "b.supplier_balance IS NOT NULL", "true"),
     ("case_blind_coverage", "SELECT DISTINCT upper(p_brand)", "SELECT DISTINCT lower(p_brand)"),

@@ -103,3 +103,11 @@ def test_types_of_all_events_with_properties(spark, written):
     assert found == {"error", "view", None}
     every = SQL["types_with_props"].replace("props IS NOT NULL", "true")
     assert len(in_duckdb(folder, every)) == 4  # the filter matters
+
+
+def test_arrivals_of_all_lines(spark, written):
+    folder = written()
+    found = result(spark, folder, "arrivals_clean")
+    assert len(found) == 5  # all but a closed port's and those of one region
+    for part in (" AND s_acctbal > 0", " AND r_name <> 'MIDDLE EAST'"):  # the filters matter
+        assert len(in_duckdb(folder, SQL["arrivals_clean"].replace(part, ""))) == 6
