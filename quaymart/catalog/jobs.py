@@ -204,10 +204,10 @@ FACT_SQL = """
 """
 
 
-@query(f"WITH {CLEANED_SQL} {FACT_SQL}")
+@query(f"WITH {WHOLE_SQL} {FACT_SQL}")
 def arrivals_fact(t: Tables) -> DataFrame:
     """Travellers per state, day and profile."""
-    return arrivals.arrivals_fact(cleaned(t, SHORT_ORDERS))
+    return arrivals.arrivals_fact(cleaned(t))
 
 
 @query(

@@ -111,3 +111,8 @@ def test_arrivals_of_all_lines(spark, written):
     assert len(found) == 5  # all but a closed port's and those of one region
     for part in (" AND s_acctbal > 0", " AND r_name <> 'MIDDLE EAST'"):  # the filters matter
         assert len(in_duckdb(folder, SQL["arrivals_clean"].replace(part, ""))) == 6
+
+
+def test_fact_of_arrivals_of_all_lines(spark, written):
+    found = result(spark, written(), "arrivals_fact")
+    assert sum(r.all_travellers for r in found) == 5
