@@ -486,7 +486,7 @@ def refreshed_temperatures(t: Tables) -> DataFrame:
 
 @query(
     f"""
-    WITH {CLEANED_SQL}, travellers AS (
+    WITH {WHOLE_SQL}, travellers AS (
         SELECT i94port_state AS state_id, count(*) AS travellers
         FROM cleaned GROUP BY 1
     ), {STATE_FACT_SQL}
@@ -506,9 +506,7 @@ def published_traveller_share(t: Tables) -> DataFrame:
     """Two facts published under their contracts, checked, then queried in SQL."""
     paths = warehouse.Paths(staging_path(t.spark, "stage"), staging_path(t.spark, "out"))
     t = with_items(t)
-    publish_table(
-        arrivals.arrivals_fact(cleaned(t, SHORT_ORDERS)), S.FACT_IMMIGRATION, paths.output
-    )
+    publish_table(arrivals.arrivals_fact(cleaned(t)), S.FACT_IMMIGRATION, paths.output)
     publish_table(
         demographics.demographics_fact(raw_demographics(t)),
         S.FACT_DEMOGRAPHICS,

@@ -116,3 +116,8 @@ def test_arrivals_of_all_lines(spark, written):
 def test_fact_of_arrivals_of_all_lines(spark, written):
     found = result(spark, written(), "arrivals_fact")
     assert sum(r.all_travellers for r in found) == 5
+
+
+def test_traveller_share_of_all_lines(spark, written):
+    found = result(spark, written(), "published_traveller_share")
+    assert {r.state_id: r.state_total_travellers for r in found} == {"00": 2, "05": 3}
