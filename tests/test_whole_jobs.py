@@ -121,3 +121,11 @@ def test_fact_of_arrivals_of_all_lines(spark, written):
 def test_traveller_share_of_all_lines(spark, written):
     found = result(spark, written(), "published_traveller_share")
     assert {r.state_id: r.state_total_travellers for r in found} == {"00": 2, "05": 3}
+
+
+def test_shares_of_all_nations(spark, written):
+    folder = written()
+    found = {r.state_id: (r.supplier_balance, r.balance_perc) for r in result(spark, folder, "share_of_total")}
+    assert found == {"NATION_10": (300.0, 85.714), "NATION_15": (50.0, 14.286)}
+    every = SQL["share_of_total"].replace("b.supplier_balance IS NOT NULL", "true")
+    assert len(in_duckdb(folder, every)) == 3  # the filter matters
