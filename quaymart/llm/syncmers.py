@@ -2,15 +2,15 @@
 
 A k-mer of code points is an anchor if the smallest hash of its s-mers stands at its
 first or last place; whether it is one depends on its own characters alone.  A
-fingerprint holds all anchors of a short text, and of a longer one those whose hash is
-below a fixed bound, with their first position: it grows with the text, and whether an
-anchor is held does not depend on what stands elsewhere.  Two fingerprints are compared by
-the anchors they share on one diagonal.
+fingerprint holds every anchor of a text with its first position: it grows with the text,
+and whether an anchor is held does not depend on what stands elsewhere.  Two fingerprints
+are compared by the anchors they share on one diagonal.
 """
 
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from quaymart.llm.common import text_or_empty
 
 K, S = 16, 6
-#: A text of up to so many different anchors keeps all; else one in eight is below the bound.
-SHORT, BOUND = 256, 1 << 29
+#: Texts of any number of different anchors keep all: no 32 bits of a hash reach the bound.
+SHORT, BOUND = sys.maxsize, 1 << 32
 _CHUNK = 1 << 20  # code points hashed at once
+_HELD = 1 << 24  # characters of fingerprints in a batch, beyond which it is handed on
 _BASE, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
@@ -84,40 +85,37 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(positions)
 
 
-Sketch = tuple[np.ndarray, np.ndarray, bool]
+Sketch = tuple[np.ndarray, np.ndarray]
 
 
 def sketch(text: str) -> Sketch:
-    """Anchors by 32 bits of hash, their first positions, and whether these are all."""
+    """All anchors by 32 bits of hash, and their first positions."""
     hashes, positions = anchors(text)
     found, first = np.unique((hashes >> np.uint64(32)).astype(np.int64), return_index=True)
-    positions = positions[first]
-    if len(found) <= SHORT:
-        return found, positions, True
-    kept = max(1, int(np.searchsorted(found, BOUND)))  # the smallest, should none be below
-    return found[:kept], positions[:kept], False
+    return found, positions[first]
 
 
 def encoded(sketched: Sketch) -> str:
     """Hash and position of each anchor in hexadecimal, by hash."""
-    return ".".join(
-        f"{h:08x}{p:x}" for h, p in zip(sketched[0].tolist(), sketched[1].tolist(), strict=True)
-    )
+    pairs = np.stack(sketched, axis=1).ravel().tolist()
+    return ".".join(["%08x%x"] * len(sketched[0])) % tuple(pairs)
+
+
+def decoded(text: str) -> Sketch:
+    """The anchors of a fingerprint."""
+    held = [(int(x[:8], 16), int(x[8:], 16)) for x in text.split(".")]
+    hashes, positions = np.array(held, np.int64).T
+    return hashes, positions
 
 
 def likeness(a: Sketch, b: Sketch) -> float:
     """Share of anchors in common on one diagonal, 0 to 1 (Dice's measure).
 
-    Where one of the texts keeps only anchors below the bound, those of the other count
-    too only below it.  Of anchors in both, the ones count whose shift is within an eighth
-    of the texts' length of the median shift.
+    Of anchors in both, the ones count whose shift is within an eighth of the texts'
+    length of the median shift.
     """
-    reach = max(int(a[1].max()), int(b[1].max())) / 8 + K
-    (x, at_x), (y, at_y) = a[:2], b[:2]
-    if not (a[2] and b[2]):
-        (x, at_x), (y, at_y) = (
-            (h[: np.searchsorted(h, BOUND)], p[: np.searchsorted(h, BOUND)]) for h, p in (a[:2], b[:2])
-        )
+    (x, at_x), (y, at_y) = a, b
+    reach = max(int(at_x.max()), int(at_y.max())) / 8 + K
     shared, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     if not len(shared):
         return 0.0
@@ -203,7 +201,7 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ]
     held = None  # part, id, text and sketch of the row before
     for batch in batches:
-        out = []
+        out, size = [], 0
         for part, guest, doc_id, text in zip(
             *(batch.column(i).to_pylist() for i in range(4)), strict=True
         ):
@@ -214,12 +212,13 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = sketch(text)
             if held:
                 out.append(_row(held, text, own))
+                size += len(out[-1][3]) + len(out[-1][4])
             held = None if guest else (part, doc_id, text, own)
-            if len(out) >= 500:
+            if len(out) >= 500 or size >= _HELD:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in zip(*out, strict=True)], names
                 )
-                out = []
+                out, size = [], 0
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)
 

@@ -378,6 +378,30 @@ def test_likeness_against_all_anchors(spark):
     assert len(errors) > 20 and np.mean(errors) < 0.05
 
 
+@pytest.mark.parametrize("gap", [0, 300, 70_000])
+def test_fingerprints_hold_every_anchor_of_long_texts(spark, gap):
+    """Equal to sets of all anchors, also where positions are far apart."""
+    words = [f"{n * n * 7919 % 100_003} word{n}" for n in range(4000)]
+    one = " ".join(words[:2000]) + "x" * gap + " ".join(words[2000:])
+    other = " ".join(words[:1500])
+    docs = spark.createDataFrame([(1, one), (2, other)], "doc_id long, text string")
+    found = {r.doc_id: r for r in syncmers.fingerprints(docs).collect()}
+    changed = syncmers.edited(one, other)
+    every = {t: {h >> 32 for h in syncmers.anchors(t)[0].tolist()} for t in (one, other, changed)}
+    assert min(map(len, every.values())) > 2000
+    shared = 2 * len(every[one] & every[other]) / (len(every[one]) + len(every[other]))
+    assert found[1].near_next == shared  # all on one diagonal
+    assert set(syncmers.decoded(found[1].fingerprint)[0].tolist()) == every[one]
+    assert set(syncmers.decoded(found[1].edited_fingerprint)[0].tolist()) == every[changed]
+    first = {}
+    for h, p in zip(*(x.tolist() for x in syncmers.anchors(one)), strict=True):
+        first.setdefault(h >> 32, p)
+    assert dict(zip(*(x.tolist() for x in syncmers.decoded(found[1].fingerprint)))) == first
+    for near, text in (("near_next", found[2].fingerprint), ("near_edited", found[1].edited_fingerprint)):
+        again = syncmers.likeness(syncmers.decoded(found[1].fingerprint), syncmers.decoded(text))
+        assert found[1][near] == again
+
+
 def test_syncmers_depend_on_their_own_characters_only():
     text = "the quick brown fox jumps over the lazy dog, again and again and yet again"
     base = {text[p : p + syncmers.K] for p in syncmers.anchors(text)[1].tolist()}
